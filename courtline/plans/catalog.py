@@ -171,3 +171,79 @@ def bi_export(spark, sf_dir):
     """FactTeamBoxScore as exported to the BI layer: display names, whole numbers."""
     from courtline.sources.sinks import bi_projection
     return bi_projection(model(spark, sf_dir)["team_boxscores"], "team_boxscores")
+
+
+# ---- data-quality checks (DQ1-DQ10) ---------------------------------------------------
+def _checks():
+    from courtline.operators import checks
+    return checks
+
+
+@query("check_orphans")
+def check_orphans(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return _checks().orphan_players(m["v_player"], m["v_bios"])
+
+
+@query("check_dup_player")
+def check_dup_player(spark, sf_dir):
+    return _checks().dup_player_rows(model(spark, sf_dir)["v_player"])
+
+
+@query("check_dup_team")
+def check_dup_team(spark, sf_dir):
+    return _checks().dup_team_rows(model(spark, sf_dir)["v_team"])
+
+
+@query("check_missing_logo")
+def check_missing_logo(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return _checks().missing_logos(m["v_team"], m["team_logos_by_year"])
+
+
+@query("check_fact_parity")
+def check_fact_parity(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return _checks().fact_parity(m["player_boxscores"], m["v_player"])
+
+
+@query("check_selfjoin_parity")
+def check_selfjoin_parity(spark, sf_dir):
+    return _checks().self_join_parity(model(spark, sf_dir)["v_team"])
+
+
+@query("check_homonyms")
+def check_homonyms(spark, sf_dir):
+    return _checks().homonyms(model(spark, sf_dir)["dim_players"])
+
+
+@query("check_dup_dim")
+def check_dup_dim(spark, sf_dir):
+    return _checks().dup_dim_players(model(spark, sf_dir)["dim_players"])
+
+
+@query("check_completeness")
+def check_completeness(spark, sf_dir):
+    return _checks().completeness_by_season(model(spark, sf_dir)["v_team"])
+
+
+@query("check_dim_parity")
+def check_dim_parity(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return _checks().dim_parity(m["dim_players"], m["v_bios"])
+
+
+@query("check_dups_native")
+def check_dups_native(spark, sf_dir):
+    """DQ2 on native lineitem: (order, line number) pairs that repeat."""
+    li = _read(spark, sf_dir, "lineitem")
+    return _checks().duplicate_keys(li, ["l_orderkey", "l_linenumber"])
+
+
+@query("check_missing_native")
+def check_missing_native(spark, sf_dir):
+    """DQ9 on native tables: per document language, percent of documents lacking a label."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "lang")
+    labels = _read(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    j = docs.join(labels, "doc_id", "left")
+    return _checks().completeness_by_season(j, ["quality", "toxic"], F.col("lang"))

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from courtline.operators import derived, dims, facts
-from courtline.operators.staging import stage_all
 from courtline.sources import lookups
 from courtline.sources.raw import read_table, write_table
 
@@ -26,29 +25,99 @@ LOOKUP_TABLES = ["country_codes", "name_overrides", "dim_season_type", "team_log
 PARTITIONED_BY_YEAR = {"player_boxscores", "team_boxscores_base", "team_boxscores"}
 
 
-def build_model(spark: SparkSession, raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All staging, lookup and model DataFrames from raw inputs.
+class Model:
+    """Lazily built model tables: a table's plan is constructed on first access only.
+
+    PySpark analyses every DataFrame as it is built, so building all twenty plans for
+    a query that needs two is wasted driver time.
+    """
+
+    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame]):
+        self.spark = spark
+        self.raw = raw
+        self._memo: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._memo:
+            self._memo[name] = getattr(self, "_" + name)()
+        return self._memo[name]
+
+    def __contains__(self, name: str) -> bool:
+        return hasattr(self, "_" + name)
+
+    def keys(self):
+        return [k[1:] for k in dir(self) if k.startswith("_") and not k.startswith("__")
+                and k not in ("_memo",) and callable(getattr(self, k))]
+
+    # staging views
+    def _v_bios(self):
+        from courtline.operators.staging import stage_bios
+        return stage_bios(self.raw["bios"])
+
+    def _v_player(self):
+        from courtline.operators.staging import stage_player_boxscores
+        return stage_player_boxscores(self.raw["player_boxscores"])
+
+    def _v_team(self):
+        from courtline.operators.staging import stage_team_boxscores
+        return stage_team_boxscores(self.raw["team_boxscores"])
+
+    # lookups
+    def _country_codes(self):
+        return lookups.country_codes(self.spark)
+
+    def _name_overrides(self):
+        return lookups.name_overrides(self.spark)
+
+    def _dim_season_type(self):
+        return lookups.dim_season_type(self.spark)
+
+    def _team_logos_by_year(self):
+        return self.raw["team_logos"]
+
+    # dimensions
+    def _dim_seasons(self):
+        return dims.dim_seasons(self["v_team"])
+
+    def _dim_teams(self):
+        return dims.dim_teams(self["v_team"], self["team_logos_by_year"])
+
+    # facts
+    def _player_boxscores(self):
+        return facts.player_fact(self["v_player"], self["v_bios"], self["v_team"])
+
+    def _team_boxscores_base(self):
+        return facts.team_base(self["v_team"])
+
+    def _team_boxscores_agg_team_only(self):
+        return facts.rollup_reconstruct(self["player_boxscores"])
+
+    def _team_boxscores_agg(self):
+        return facts.opponent_join(self["team_boxscores_agg_team_only"],
+                                   carry=["team_id", "game_id", *facts.STATS16])
+
+    def _team_boxscores(self):
+        return facts.team_fact(self["team_boxscores_base"], self["team_boxscores_agg"])
+
+    # derived
+    def _player_signature_team(self):
+        return derived.signature_team(self["player_boxscores"], self["dim_teams"])
+
+    def _career_percentiles(self):
+        return derived.career_percentiles(self["player_boxscores"])
+
+    def _dim_players(self):
+        return derived.player_dim(self["v_bios"], self["country_codes"], self["name_overrides"],
+                                  self["player_signature_team"], self["career_percentiles"])
+
+
+def build_model(spark: SparkSession, raw: dict[str, DataFrame]) -> Model:
+    """All staging, lookup and model tables from raw inputs, built on access.
 
     ``raw`` needs ``bios``, ``player_boxscores``, ``team_boxscores`` (all-text) and
     ``team_logos`` (team, year, logo).
     """
-    stg = stage_all(raw)
-    out: dict[str, DataFrame] = {f"v_{k}": v for k, v in stg.items()}
-    out["country_codes"] = lookups.country_codes(spark)
-    out["name_overrides"] = lookups.name_overrides(spark)
-    out["dim_season_type"] = lookups.dim_season_type(spark)
-    out["team_logos_by_year"] = raw["team_logos"]
-    out["dim_seasons"] = dims.dim_seasons(stg["team"])
-    out["dim_teams"] = dims.dim_teams(stg["team"], raw["team_logos"])
-    out.update(facts.build_facts(stg))
-    out["player_signature_team"] = derived.signature_team(out["player_boxscores"],
-                                                          out["dim_teams"])
-    out["career_percentiles"] = derived.career_percentiles(out["player_boxscores"])
-    out["dim_players"] = derived.player_dim(stg["bios"], out["country_codes"],
-                                            out["name_overrides"],
-                                            out["player_signature_team"],
-                                            out["career_percentiles"])
-    return out
+    return Model(spark, raw)
 
 
 def write_model(spark: SparkSession, raw: dict[str, DataFrame], root: str,
@@ -67,7 +136,7 @@ def write_model(spark: SparkSession, raw: dict[str, DataFrame], root: str,
     def table(name: str) -> DataFrame:
         return materialised[name]
 
-    stg = {k[2:]: v for k, v in built.items() if k.startswith("v_")}
+    stg = {"bios": built["v_bios"], "player": built["v_player"], "team": built["v_team"]}
     steps = {
         "dim_seasons": lambda: dims.dim_seasons(stg["team"]),
         "dim_teams": lambda: dims.dim_teams(stg["team"], read_table(spark, root, "model",

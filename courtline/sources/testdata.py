@@ -26,8 +26,19 @@ POSITIONS = ["Guard", "Forward", "Center"]
 GAP_STATS = ["oreb", "dreb", "stl", "blk", "tov"]
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _memo(key: tuple, build):
+    """Reuse a built plan (not data) for the same session and input folder."""
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _memo((id(spark), sf_dir, "read", name),
+                 lambda: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _txt(c: Column) -> Column:
@@ -45,6 +56,10 @@ def _season_label(y: Column) -> Column:
 
 def player_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed player-game rows (numeric stats with NULL gaps) before text encoding."""
+    return _memo((id(spark), sf_dir, "player_games"), lambda: _player_games(spark, sf_dir))
+
+
+def _player_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber",
                                                   "l_quantity")
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
@@ -254,10 +269,29 @@ def team_logos(spark: SparkSession, sf_dir: str) -> DataFrame:
                              y.cast("string"), F.lit(".svg")).alias("logo")))
 
 
+class _LazyRaw(dict):
+    """Raw fixture tables, each built on first access."""
+
+    _BUILDERS = {}
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = _memo((id(self.spark), self.sf_dir, "raw", name),
+                   lambda: self._BUILDERS[name](self.spark, self.sf_dir))
+        self[name] = df
+        return df
+
+
+_LazyRaw._BUILDERS = {
+    "bios": raw_bios,
+    "player_boxscores": raw_player_boxscores,
+    "team_boxscores": raw_team_boxscores,
+    "team_logos": team_logos,
+}
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "bios": raw_bios(spark, sf_dir),
-        "player_boxscores": raw_player_boxscores(spark, sf_dir),
-        "team_boxscores": raw_team_boxscores(spark, sf_dir),
-        "team_logos": team_logos(spark, sf_dir),
-    }
+    return _LazyRaw(spark, sf_dir)
