@@ -247,3 +247,126 @@ def check_missing_native(spark, sf_dir):
     labels = _read(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = docs.join(labels, "doc_id", "left")
     return _checks().completeness_by_season(j, ["quality", "toxic"], F.col("lang"))
+
+
+# ---- measures -------------------------------------------------------------------------
+# Fixture parameters: the testdata's complete-stats era starts in 1998 (the reference
+# data's in 1983); PER's minutes-per-team-game floor is unspecified by the reference,
+# and 0.5 suits the fixture's minutes (about half the players clear it).
+FIXTURE_CUTOFF = 1998
+FIXTURE_MPG_FLOOR = 0.5
+PLAYER_SEASON = ["player_id", "year", "season_type_key"]
+TEAM_SEASON = ["team_id", "year", "season_type_key"]
+
+
+def _measures():
+    from courtline.operators import measures
+    return measures
+
+
+def _per(spark, sf_dir, grain=PLAYER_SEASON):
+    m = model(spark, sf_dir)
+    return _measures().per_frame(m["player_boxscores"], m["team_boxscores"], grain,
+                                 cutoff=FIXTURE_CUTOFF, mpg_floor=FIXTURE_MPG_FLOOR)
+
+
+@query("tm_gp")
+def tm_gp(spark, sf_dir):
+    return present(_measures().team_games(model(spark, sf_dir)["team_boxscores"], TEAM_SEASON)
+                   .select(*TEAM_SEASON, "tm_gp"))
+
+
+@query("mov")
+def mov(spark, sf_dir):
+    return present(_measures().team_games(model(spark, sf_dir)["team_boxscores"], TEAM_SEASON)
+                   .select(*TEAM_SEASON, "mov"))
+
+
+@query("ts_pct")
+def ts_pct(spark, sf_dir):
+    return present(_measures().true_shooting(model(spark, sf_dir)["player_boxscores"],
+                                             PLAYER_SEASON, FIXTURE_CUTOFF))
+
+
+@query("tm_poss")
+def tm_poss(spark, sf_dir):
+    return present(_measures().team_possessions(model(spark, sf_dir)["team_boxscores"],
+                                                TEAM_SEASON, FIXTURE_CUTOFF)
+                   .select(*TEAM_SEASON, "tm_poss"))
+
+
+@query("pace")
+def pace_q(spark, sf_dir):
+    return present(_measures().team_possessions(model(spark, sf_dir)["team_boxscores"],
+                                                TEAM_SEASON, FIXTURE_CUTOFF)
+                   .select(*TEAM_SEASON, "pace"))
+
+
+@query("u_per")
+def u_per(spark, sf_dir):
+    return present(_per(spark, sf_dir).select(*PLAYER_SEASON, "u_per"))
+
+
+@query("a_per")
+def a_per(spark, sf_dir):
+    return present(_per(spark, sf_dir).select(*PLAYER_SEASON, "a_per"))
+
+
+@query("lga_per")
+def lga_per(spark, sf_dir):
+    return present(_per(spark, sf_dir).select(*PLAYER_SEASON, "lga_per"))
+
+
+@query("per")
+def per(spark, sf_dir):
+    return present(_per(spark, sf_dir).select(*PLAYER_SEASON, "per"))
+
+
+@query("per_career")
+def per_career(spark, sf_dir):
+    return present(_per(spark, sf_dir, ["player_id"]))
+
+
+@query("four_factors")
+def four_factors_q(spark, sf_dir):
+    return present(_measures().four_factors(model(spark, sf_dir)["team_boxscores"],
+                                            TEAM_SEASON, FIXTURE_CUTOFF))
+
+
+@query("ratings")
+def ratings_q(spark, sf_dir):
+    return present(_measures().ratings(model(spark, sf_dir)["team_boxscores"], TEAM_SEASON,
+                                       FIXTURE_CUTOFF))
+
+
+@query("usage")
+def usage_q(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return present(_measures().usage_and_share(m["player_boxscores"], m["team_boxscores"],
+                                               PLAYER_SEASON, FIXTURE_CUTOFF)
+                   .select(*PLAYER_SEASON, "usg_pct"))
+
+
+@query("team_share")
+def team_share(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return present(_measures().usage_and_share(m["player_boxscores"], m["team_boxscores"],
+                                               PLAYER_SEASON, FIXTURE_CUTOFF)
+                   .drop("usg_pct"))
+
+
+@query("current_team")
+def current_team_q(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return _measures().current_team(m["player_boxscores"], m["team_boxscores"],
+                                    m["dim_players"], m["dim_teams"])
+
+
+@query("display_flags")
+def display_flags_q(spark, sf_dir):
+    return _measures().display_flags(model(spark, sf_dir)["dim_players"], FIXTURE_CUTOFF)
+
+
+@query("display_text")
+def display_text_q(spark, sf_dir):
+    return _measures().display_text(model(spark, sf_dir)["dim_players"])

@@ -368,7 +368,8 @@ def _values() -> tuple[str, str]:
     return cv, ov
 
 
-def with_ctes(select_sql: str) -> str:
+def with_ctes(select_sql: str, extra_ctes: str = "") -> str:
     cv, ov = _values()
     model = MODEL_CTES.replace("{COUNTRY_VALUES}", cv).replace("{OVERRIDE_VALUES}", ov)
-    return "WITH " + RAW_CTES.strip() + "," + STAGING_CTES + "," + model + "\n" + select_sql
+    return ("WITH " + RAW_CTES.strip() + "," + STAGING_CTES + "," + model + extra_ctes + "\n"
+            + select_sql)

@@ -18,6 +18,12 @@ def _replace(table: str, big: list[str] = (), dbl: list[str] = ()) -> str:
 
 
 def reg(name: str, select_sql: str, ctes: bool = True) -> None:
+    """Register ``select_sql``; a leading ``__EXTRA__<ctes>__SELECT__`` block appends
+    CTEs after the model chain."""
+    if select_sql.startswith("__EXTRA__"):
+        extra, sel = select_sql[len("__EXTRA__"):].split("__SELECT__", 1)
+        SQL[name] = with_ctes(sel, extra)
+        return
     SQL[name] = with_ctes(select_sql) if ctes else select_sql
 
 
@@ -117,3 +123,6 @@ reg("check_missing_native",
     "SELECT d.lang, COUNT(*) AS games, "
     + ", ".join(f"{_pct('l.' + c + ' IS NULL')} AS pct_missing_{c}" for c in ["quality", "toxic"])
     + " FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.lang", ctes=False)
+
+
+import oracle.measures_sql  # noqa: E402,F401  (registers measure SQL)
