@@ -315,6 +315,19 @@ def current_team(player_fct: DataFrame, team_fct: DataFrame, dim_players_df: Dat
                     .otherwise(F.col("latest_team")).alias("current_team"))
 
 
+def latest_value(df: DataFrame, entity: str, order_col: str, value_col: str) -> DataFrame:
+    """Value at each entity's latest ``order_col``; NULL when that moment has several
+    distinct values (SELECTEDVALUE).  A max per entity, then a semi-join back - no
+    per-entity collection of rows."""
+    last = df.groupBy(entity).agg(F.max(order_col).alias("_last")).alias("l")
+    d = df.select(entity, order_col, value_col).alias("d")
+    at_last = d.join(last, (F.col(f"d.{entity}") == F.col(f"l.{entity}"))
+                     & (F.col(f"d.{order_col}") == F.col("l._last")))
+    return (at_last.groupBy(F.col(f"d.{entity}").alias(entity))
+            .agg(F.when(F.count_distinct(f"d.{value_col}") == 1, F.min(f"d.{value_col}"))
+                 .alias(value_col)))
+
+
 def display_flags(dim_players_df: DataFrame,
                   cutoff: int = STATS_COMPLETE_FROM_YEAR) -> DataFrame:
     """ME11/ME12: overlay colour and disclaimer for careers ending before the cutoff.

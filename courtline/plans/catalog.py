@@ -370,3 +370,110 @@ def display_flags_q(spark, sf_dir):
 @query("display_text")
 def display_text_q(spark, sf_dir):
     return _measures().display_text(model(spark, sf_dir)["dim_players"])
+
+
+# ---- season refresh (CMP10) -----------------------------------------------------------
+STALE_DAYS = 30  # the stale snapshot misses the current season's last 30 days of games
+
+
+def _refresh_inputs(spark, sf_dir):
+    """(stale raw team rows, freshly scraped current-season rows, current season).
+
+    The stale snapshot is the raw table as loaded a month before the data ends; the new
+    load is the whole current season, as a re-scrape delivers it.
+    """
+    raw = testdata.raw_tables(spark, sf_dir)["team_boxscores"]
+    current = raw.agg(F.max("Season")).scalar()
+    last = raw.agg(F.max(F.col("GAME_DATE").cast("date"))).scalar()
+    recent = (F.col("Season") == current) & (
+        F.col("GAME_DATE").cast("date") > F.date_sub(last, STALE_DAYS))
+    stale = raw.filter(~recent)
+    fresh = raw.filter(F.col("Season") == current)
+    return raw, stale, fresh, current
+
+
+@query("refresh_season")
+def refresh_season_q(spark, sf_dir):
+    from courtline.plans.refresh import replace_season
+    from courtline.schemas import TEAM_SPEC
+    raw, stale, fresh, current = _refresh_inputs(spark, sf_dir)
+    # the columns the staging layer reads
+    return replace_season(stale, fresh, current).select(*[src for _, src, _ in TEAM_SPEC])
+
+
+@query("refresh_equals_rebuild")
+def refresh_equals_rebuild(spark, sf_dir):
+    """The team fact rebuilt after the season replace equals the one built from scratch."""
+    from courtline.plans.model import build_model
+    from courtline.plans.refresh import replace_season, symmetric_difference
+    raw_all = testdata.raw_tables(spark, sf_dir)
+    raw, stale, fresh, current = _refresh_inputs(spark, sf_dir)
+    refreshed = {k: raw_all[k] for k in ["bios", "player_boxscores", "team_logos"]}
+    refreshed["team_boxscores"] = replace_season(stale, fresh, current)
+    rebuilt = build_model(spark, refreshed)["team_boxscores"]
+    scratch = model(spark, sf_dir)["team_boxscores"]
+    return symmetric_difference(rebuilt, scratch)
+
+
+# ---- operators on native tables -------------------------------------------------------
+@query("opponent_join_native")
+def opponent_join_native(spark, sf_dir):
+    """Orders split into two sides by line parity; each side sees the other's totals."""
+    from courtline.operators.facts import opponent_join, rollup_reconstruct
+    li = _read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", (F.col("l_linenumber") % 2).alias("side"),
+        F.col("l_quantity").cast("bigint").alias("qty"), F.lit(1).alias("lines"))
+    sides = rollup_reconstruct(li, ["l_orderkey", "side"], ["qty", "lines"])
+    return opponent_join(sides, game="l_orderkey", side="side", stats=["qty", "lines"],
+                         opponent_col="opp_side")
+
+
+@query("backfill_native")
+def backfill_native(spark, sf_dir):
+    """Order totals with every seventh one missing, refilled from the line items."""
+    from courtline.operators.facts import backfill
+    orders = _read(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus",
+        F.when(F.col("o_orderkey") % 7 != 0, F.round("o_totalprice", 2)).alias("o_totalprice"))
+    li = _read(spark, sf_dir, "lineitem")
+    recon = (li.groupBy(F.col("l_orderkey").alias("o_orderkey"))
+             .agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))
+                                * (1 + F.col("l_tax"))), 2).alias("o_totalprice")))
+    return backfill(orders, recon, ["o_orderkey"], ["o_totalprice"])
+
+
+@query("signature_native")
+def signature_native(spark, sf_dir):
+    """Each customer's main brand (by quantity) and, within it, main part type."""
+    from courtline.operators.derived import signature_category
+    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    part = _read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
+    weighted = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+                .join(part, li.l_partkey == part.p_partkey)
+                .groupBy("o_custkey", "p_brand", "p_type")
+                .agg(F.sum("l_quantity").cast("bigint").alias("qty")))
+    return signature_category(weighted, "o_custkey", "p_brand", ["p_type"], "qty")
+
+
+@query("percentile_native")
+def percentile_native(spark, sf_dir):
+    """Customers ranked within each order year on quantity and order count, averaged."""
+    from courtline.operators.derived import percentile_profile
+    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    per_order = li.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("q"))
+    rates = (orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
+             .groupBy("o_custkey", F.year("o_orderdate").alias("year"))
+             .agg(F.sum("q").cast("double").alias("qty"),
+                  F.count(F.lit(1)).cast("double").alias("orders")))
+    return present(percentile_profile(rates, "o_custkey", "year",
+                                      [("qty", "qty"), ("orders", "orders")]))
+
+
+@query("latest_state_native")
+def latest_state_native(spark, sf_dir):
+    """Each user's event type at their last event time (none when that time is ambiguous)."""
+    from courtline.operators.measures import latest_value
+    ev = _read(spark, sf_dir, "events").select("user_id", "ts", "event_type")
+    return latest_value(ev, "user_id", "ts", "event_type")

@@ -126,3 +126,53 @@ reg("check_missing_native",
 
 
 import oracle.measures_sql  # noqa: E402,F401  (registers measure SQL)
+
+# ---- season refresh -------------------------------------------------------------------
+_STALE = ("raw_stale AS (SELECT * FROM raw_team WHERE NOT (\"Season\" = (SELECT MAX(\"Season\") "
+          "FROM raw_team) AND CAST(\"GAME_DATE\" AS DATE) > (SELECT MAX(CAST(\"GAME_DATE\" AS DATE)) "
+          "FROM raw_team) - 30)), "
+          "raw_fresh AS (SELECT * FROM raw_team WHERE \"Season\" = (SELECT MAX(\"Season\") FROM raw_team)), "
+          "raw_refreshed AS (SELECT * FROM raw_stale WHERE \"Season\" IS DISTINCT FROM "
+          "(SELECT MAX(\"Season\") FROM raw_team) UNION ALL SELECT * FROM raw_fresh)")
+reg("refresh_season", "__EXTRA__, " + _STALE + "__SELECT__SELECT * FROM raw_refreshed")
+reg("refresh_equals_rebuild", "__EXTRA__, " + _STALE + "__SELECT__"
+    "SELECT 'only_left' AS side, COUNT(*) AS n FROM (SELECT * FROM raw_refreshed EXCEPT ALL "
+    "SELECT * FROM raw_team) UNION ALL SELECT 'only_right', COUNT(*) FROM (SELECT * FROM raw_team "
+    "EXCEPT ALL SELECT * FROM raw_refreshed)")
+
+# ---- operators on native tables -------------------------------------------------------
+reg("opponent_join_native",
+    "WITH s AS (SELECT l_orderkey, l_linenumber % 2 AS side, SUM(CAST(l_quantity AS BIGINT)) AS qty, "
+    "SUM(1) AS lines FROM lineitem GROUP BY 1, 2) "
+    "SELECT t.l_orderkey, t.side, o.side AS opp_side, t.qty, t.lines, o.qty AS opp_qty, "
+    "o.lines AS opp_lines FROM s t JOIN s o ON t.l_orderkey = o.l_orderkey AND t.side <> o.side",
+    ctes=False)
+reg("backfill_native",
+    "SELECT b.o_orderkey, b.o_orderstatus, COALESCE(b.o_totalprice, a.o_totalprice) AS o_totalprice "
+    "FROM (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 7 <> 0 THEN ROUND(o_totalprice, 2) "
+    "END AS o_totalprice FROM orders) b LEFT JOIN (SELECT l_orderkey AS o_orderkey, "
+    "ROUND(SUM(l_extendedprice * (1 - l_discount) * (1 + l_tax)), 2) AS o_totalprice FROM lineitem "
+    "GROUP BY 1) a ON b.o_orderkey = a.o_orderkey", ctes=False)
+reg("signature_native",
+    "WITH w AS (SELECT o.o_custkey, p.p_brand, p.p_type, CAST(SUM(l.l_quantity) AS BIGINT) AS qty "
+    "FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p "
+    "ON l.l_partkey = p.p_partkey GROUP BY 1, 2, 3), "
+    "bt AS (SELECT o_custkey, p_brand, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY SUM(qty) "
+    "DESC NULLS LAST, p_brand ASC) AS rk FROM w GROUP BY 1, 2), "
+    "tl AS (SELECT w.*, ROW_NUMBER() OVER (PARTITION BY w.o_custkey ORDER BY w.qty DESC NULLS LAST, "
+    "w.p_type ASC) AS rk2 FROM w JOIN bt ON w.o_custkey = bt.o_custkey AND w.p_brand = bt.p_brand "
+    "WHERE bt.rk = 1) SELECT o_custkey, p_brand, p_type, qty FROM tl WHERE rk2 = 1", ctes=False)
+reg("percentile_native",
+    "WITH po AS (SELECT l_orderkey, SUM(l_quantity) AS q FROM lineitem GROUP BY 1), "
+    "r AS (SELECT o.o_custkey, year(o.o_orderdate) AS year, CAST(SUM(po.q) AS DOUBLE) AS qty, "
+    "CAST(COUNT(*) AS DOUBLE) AS orders FROM orders o LEFT JOIN po ON o.o_orderkey = po.l_orderkey "
+    "GROUP BY 1, 2), "
+    "pr AS (SELECT o_custkey, PERCENT_RANK() OVER (PARTITION BY year ORDER BY qty ASC NULLS LAST) * 100 "
+    "AS qty_pctl, PERCENT_RANK() OVER (PARTITION BY year ORDER BY orders ASC NULLS LAST) * 100 "
+    "AS orders_pctl FROM r) "
+    "SELECT o_custkey, ROUND(AVG(qty_pctl), 6) AS qty_pctl, ROUND(AVG(orders_pctl), 6) AS orders_pctl "
+    "FROM pr GROUP BY 1", ctes=False)
+reg("latest_state_native",
+    "SELECT e.user_id, CASE WHEN COUNT(DISTINCT e.event_type) = 1 THEN MIN(e.event_type) END "
+    "AS event_type FROM events e JOIN (SELECT user_id, MAX(ts) AS last_ts FROM events GROUP BY 1) l "
+    "ON e.user_id = l.user_id AND e.ts = l.last_ts GROUP BY e.user_id", ctes=False)
