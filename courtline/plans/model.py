@@ -121,7 +121,7 @@ def build_model(spark: SparkSession, raw: dict[str, DataFrame]) -> Model:
 
 
 def write_model(spark: SparkSession, raw: dict[str, DataFrame], root: str,
-                mode: str = "overwrite") -> dict[str, str]:
+                mode: str = "overwrite", write_lookups: bool = True) -> dict[str, str]:
     """Materialise lookups and model tables under ``<root>/model`` in dependency order.
 
     Each table is written, then re-read for its dependants, so later stages read the
@@ -129,8 +129,9 @@ def write_model(spark: SparkSession, raw: dict[str, DataFrame], root: str,
     """
     built = build_model(spark, raw)
     paths: dict[str, str] = {}
-    for name in LOOKUP_TABLES:
-        paths[name] = write_table(built[name], root, "model", name, mode)
+    if write_lookups:  # first build; a rebuild reads the curated lookups already written
+        for name in LOOKUP_TABLES:
+            paths[name] = write_table(built[name], root, "model", name, mode)
     materialised: dict[str, DataFrame] = {}
 
     def table(name: str) -> DataFrame:
