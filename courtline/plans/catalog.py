@@ -43,8 +43,27 @@ def present(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
-def model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return build_model(spark, testdata.raw_tables(spark, sf_dir))
+_MODELS: dict[tuple, object] = {}
+
+
+def raw_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The raw layer for ``sf_dir``: the fixture mapping, materialised once per run
+    (the warehouse stores its raw CSV loads; re-deriving them per query would not)."""
+    from courtline.plans.store import session_store
+    store = session_store(spark, sf_dir)
+    fixture = testdata.raw_tables(spark, sf_dir)
+    return {name: store.materialize(f"raw_{name}", lambda n=name: fixture[n])
+            for name in ["bios", "player_boxscores", "team_boxscores", "team_logos"]}
+
+
+def model(spark: SparkSession, sf_dir: str):
+    """The model for ``sf_dir``: model tables materialised on first use, per run."""
+    from courtline.plans.store import session_store
+    key = (id(spark), sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = build_model(spark, raw_layer(spark, sf_dir),
+                                   store=session_store(spark, sf_dir))
+    return _MODELS[key]
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -382,7 +401,7 @@ def _refresh_inputs(spark, sf_dir):
     The stale snapshot is the raw table as loaded a month before the data ends; the new
     load is the whole current season, as a re-scrape delivers it.
     """
-    raw = testdata.raw_tables(spark, sf_dir)["team_boxscores"]
+    raw = raw_layer(spark, sf_dir)["team_boxscores"]
     current = raw.agg(F.max("Season")).scalar()
     last = raw.agg(F.max(F.col("GAME_DATE").cast("date"))).scalar()
     recent = (F.col("Season") == current) & (
@@ -406,7 +425,7 @@ def refresh_equals_rebuild(spark, sf_dir):
     """The team fact rebuilt after the season replace equals the one built from scratch."""
     from courtline.plans.model import build_model
     from courtline.plans.refresh import replace_season, symmetric_difference
-    raw_all = testdata.raw_tables(spark, sf_dir)
+    raw_all = raw_layer(spark, sf_dir)
     raw, stale, fresh, current = _refresh_inputs(spark, sf_dir)
     refreshed = {k: raw_all[k] for k in ["bios", "player_boxscores", "team_logos"]}
     refreshed["team_boxscores"] = replace_season(stale, fresh, current)

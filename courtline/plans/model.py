@@ -32,14 +32,20 @@ class Model:
     a query that needs two is wasted driver time.
     """
 
-    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame]):
+    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], store=None):
         self.spark = spark
         self.raw = raw
+        self.store = store
         self._memo: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._memo:
-            self._memo[name] = getattr(self, "_" + name)()
+            build = getattr(self, "_" + name)
+            if self.store is not None and name in MODEL_ORDER:
+                self._memo[name] = self.store.materialize(
+                    name, build, ["year"] if name in PARTITIONED_BY_YEAR else None)
+            else:
+                self._memo[name] = build()
         return self._memo[name]
 
     def __contains__(self, name: str) -> bool:
@@ -111,13 +117,14 @@ class Model:
                                   self["player_signature_team"], self["career_percentiles"])
 
 
-def build_model(spark: SparkSession, raw: dict[str, DataFrame]) -> Model:
+def build_model(spark: SparkSession, raw: dict[str, DataFrame], store=None) -> Model:
     """All staging, lookup and model tables from raw inputs, built on access.
 
     ``raw`` needs ``bios``, ``player_boxscores``, ``team_boxscores`` (all-text) and
-    ``team_logos`` (team, year, logo).
+    ``team_logos`` (team, year, logo).  With a ``store`` (``plans.store.TableStore``)
+    model tables are materialised on first access, as the warehouse keeps them.
     """
-    return Model(spark, raw)
+    return Model(spark, raw, store)
 
 
 def write_model(spark: SparkSession, raw: dict[str, DataFrame], root: str,
