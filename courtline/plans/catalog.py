@@ -51,6 +51,9 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     (the warehouse stores its raw CSV loads; re-deriving them per query would not)."""
     from courtline.plans.store import session_store
     store = session_store(spark, sf_dir)
+    # one pass over lineitem: the player-game rows feed raw player, team and logo rows
+    testdata.use_player_games(spark, sf_dir, store.materialize(
+        "fixture_player_games", lambda: testdata.player_games(spark, sf_dir)))
     fixture = testdata.raw_tables(spark, sf_dir)
     return {name: store.materialize(f"raw_{name}", lambda n=name: fixture[n])
             for name in ["bios", "player_boxscores", "team_boxscores", "team_logos"]}

@@ -11,8 +11,11 @@ process, so a later run never reads tables materialised from other inputs.
 
 from __future__ import annotations
 
+import os
 import re
+import sys
 import threading
+import time
 import uuid
 from collections.abc import Callable
 
@@ -38,10 +41,13 @@ class TableStore:
         """Write ``build()`` once as parquet; return a scan of the written table."""
         with _LOCK:
             if name not in self._written:
+                t0 = time.perf_counter()
                 w = build().write.mode("overwrite")
                 if partition_by:
                     w = w.partitionBy(*partition_by)
                 w.parquet(self.path(name))
+                if os.environ.get("COURTLINE_TIMING"):
+                    print(f"[store] {name}: {time.perf_counter() - t0:.2f}s", file=sys.stderr)
                 self._written[name] = self.spark.read.parquet(self.path(name))
             return self._written[name]
 

@@ -59,6 +59,11 @@ def player_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo((id(spark), sf_dir, "player_games"), lambda: _player_games(spark, sf_dir))
 
 
+def use_player_games(spark: SparkSession, sf_dir: str, df: DataFrame) -> None:
+    """Serve later fixture builds from ``df`` (e.g. a materialised player_games)."""
+    _PLANS[(id(spark), sf_dir, "player_games")] = df
+
+
 def _player_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber",
                                                   "l_quantity")
