@@ -81,12 +81,24 @@ def with_cutoff(df: DataFrame, cutoff: int | None) -> DataFrame:
     return df if cutoff is None else df.filter(F.col("year") >= cutoff)
 
 
-def team_scope(player_fct: DataFrame, team_fct: DataFrame, grain: list[str]) -> DataFrame:
-    """Team totals over the distinct team keys each group touched (many-to-many link)."""
-    keys = player_fct.select(*grain, "year_type_team_key").distinct()
+def team_scope(player_fct: DataFrame, team_fct: DataFrame, grain: list[str],
+               cutoff: int | None = None, floor_games: bool = False,
+               keep_all_groups: bool = False) -> DataFrame:
+    """Team totals over the distinct team keys each group touched (many-to-many link).
+
+    With ``cutoff``, totals count only keys of seasons from the cutoff on; with
+    ``floor_games`` the same pass also counts team games over every season
+    (``floor_gp``, the PER minutes floor), so one join serves both scopes.
+    ``keep_all_groups`` keeps groups whose keys match no team row (totals NULL).
+    """
+    keys = player_fct.select(*grain, "year_type_team_key", "year").distinct()
     per_key = team_totals(team_fct, ["year_type_team_key"])
-    sums = [F.sum(c).alias(c) for c in ["tm_gp"] + TEAM_COLS]
-    return keys.join(per_key, "year_type_team_key").groupBy(*grain).agg(*sums)
+    j = keys.join(per_key, "year_type_team_key", "left" if keep_all_groups else "inner")
+    inside = F.lit(True) if cutoff is None else F.col("year") >= cutoff
+    sums = [F.sum(F.when(inside, F.col(c))).alias(c) for c in ["tm_gp"] + TEAM_COLS]
+    if floor_games:
+        sums.append(F.sum("tm_gp").alias("floor_gp"))
+    return j.groupBy(*grain).agg(*sums)
 
 
 def league_pairs(player_fct: DataFrame, grain: list[str], pair_totals: DataFrame) -> DataFrame:
@@ -113,7 +125,8 @@ def league_scope(player_fct: DataFrame, team_fct: DataFrame, grain: list[str]) -
     lp = player_totals(player_fct, pair_keys, "lp_")
     totals = lg.join(lp, pair_keys, "left")
     value_cols = [c for c in totals.columns if c not in pair_keys]
-    pairs = league_pairs(player_fct, grain, totals)
+    # one row per (season, season type): bounded by the calendar, never by the data
+    pairs = league_pairs(player_fct, grain, F.broadcast(totals))
     return pairs.groupBy(*grain).agg(*[F.sum(c).alias(c) for c in value_cols])
 
 
@@ -186,13 +199,12 @@ def per_frame(player_fct: DataFrame, team_fct: DataFrame, grain: list[str],
     bound outside the cutoff), while the minutes compared with it are the cutoff's.
     """
     pf_c, tf_c = with_cutoff(player_fct, cutoff), with_cutoff(team_fct, cutoff)
-    groups = player_fct.select(*grain).distinct()
     p = player_totals(pf_c, grain)
-    t = team_scope(pf_c, tf_c, grain)
+    # every group appears here (all seasons), carrying in-cutoff team totals + floor games
+    t = team_scope(player_fct, team_fct, grain, cutoff=cutoff, floor_games=True,
+                   keep_all_groups=True)
     lg = league_scope(pf_c, tf_c, grain)
-    gp_all = team_scope(player_fct, team_fct, grain).select(*grain, F.col("tm_gp").alias("floor_gp"))
-    j = (groups.join(p, grain, "left").join(t, grain, "left").join(lg, grain, "left")
-         .join(gp_all, grain, "left"))
+    j = t.join(p, grain, "left").join(lg, grain, "left")
     j = j.withColumns(league_constants())
     j = j.withColumns({
         "pace": pace(possessions("tm_", "opp_"), _d("tm_min")),
