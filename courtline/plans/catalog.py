@@ -55,8 +55,9 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     testdata.use_player_games(spark, sf_dir, store.materialize(
         "fixture_player_games", lambda: testdata.player_games(spark, sf_dir)))
     fixture = testdata.raw_tables(spark, sf_dir)
-    return {name: store.materialize(f"raw_{name}", lambda n=name: fixture[n])
-            for name in ["bios", "player_boxscores", "team_boxscores", "team_logos"]}
+    names = ["bios", "player_boxscores", "team_boxscores", "team_logos"]
+    built = store.materialize_all({f"raw_{n}": (lambda n=n: fixture[n]) for n in names})
+    return {n: built[f"raw_{n}"] for n in names}
 
 
 def model(spark: SparkSession, sf_dir: str):

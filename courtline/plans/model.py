@@ -48,6 +48,18 @@ class Model:
                 self._memo[name] = build()
         return self._memo[name]
 
+    def prefetch(self, *names: str) -> None:
+        """Materialise independent tables concurrently (a no-op without a store)."""
+        if self.store is None:
+            return
+        todo = [n for n in names if n not in self._memo]
+        if len(todo) < 2:
+            return
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+            for f in [pool.submit(self.__getitem__, n) for n in todo]:
+                f.result()
+
     def __contains__(self, name: str) -> bool:
         return hasattr(self, "_" + name)
 
@@ -103,16 +115,19 @@ class Model:
                                    carry=["team_id", "game_id", *facts.STATS16])
 
     def _team_boxscores(self):
+        self.prefetch("team_boxscores_base", "player_boxscores")
         return facts.team_fact(self["team_boxscores_base"], self["team_boxscores_agg"])
 
     # derived
     def _player_signature_team(self):
+        self.prefetch("player_boxscores", "dim_teams")
         return derived.signature_team(self["player_boxscores"], self["dim_teams"])
 
     def _career_percentiles(self):
         return derived.career_percentiles(self["player_boxscores"])
 
     def _dim_players(self):
+        self.prefetch("player_signature_team", "career_percentiles")
         return derived.player_dim(self["v_bios"], self["country_codes"], self["name_overrides"],
                                   self["player_signature_team"], self["career_percentiles"])
 

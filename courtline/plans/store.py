@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame, SparkSession
 from courtline.session import checkpoint_dir
 
 _RUN_ID = uuid.uuid4().hex[:12]
-_LOCK = threading.RLock()  # re-entrant: a build materialises its dependencies
 
 
 class TableStore:
@@ -32,14 +31,24 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self._written: dict[str, DataFrame] = {}
+        self._locks: dict[str, threading.RLock] = {}
+        self._guard = threading.Lock()
+
+    def _lock(self, name: str) -> threading.RLock:
+        with self._guard:
+            return self._locks.setdefault(name, threading.RLock())
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def materialize(self, name: str, build: Callable[[], DataFrame],
                     partition_by: list[str] | None = None) -> DataFrame:
-        """Write ``build()`` once as parquet; return a scan of the written table."""
-        with _LOCK:
+        """Write ``build()`` once as parquet; return a scan of the written table.
+
+        One lock per table: independent tables can be written by concurrent jobs,
+        while a table is never written twice.
+        """
+        with self._lock(name):
             if name not in self._written:
                 t0 = time.perf_counter()
                 w = build().write.mode("overwrite")
@@ -52,6 +61,15 @@ class TableStore:
             return self._written[name]
 
 
+    def materialize_all(self, builders: dict[str, Callable[[], DataFrame]],
+                        max_workers: int = 4) -> dict[str, DataFrame]:
+        """Materialise independent tables as concurrent Spark jobs."""
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=max_workers) as pool:
+            futures = {n: pool.submit(self.materialize, n, b) for n, b in builders.items()}
+            return {n: f.result() for n, f in futures.items()}
+
+
 _STORES: dict[tuple, TableStore] = {}
 
 

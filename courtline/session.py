@@ -47,6 +47,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_LOCAL_CKPT: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -58,7 +61,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
-    local = tempfile.mkdtemp(prefix="courtline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    key = id(spark.sparkContext)
+    if key not in _LOCAL_CKPT:
+        _LOCAL_CKPT[key] = tempfile.mkdtemp(prefix="courtline-ckpt-",
+                                            dir=os.environ.get("TMPDIR", "/tmp"))
+        spark.sparkContext.setCheckpointDir(_LOCAL_CKPT[key])
+        try:
+            spark.conf.set("spark.checkpoint.dir", _LOCAL_CKPT[key])
+        except Exception:  # noqa: BLE001 - some deployments refuse core confs at runtime
+            pass
+    return _LOCAL_CKPT[key]
