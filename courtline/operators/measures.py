@@ -360,3 +360,118 @@ def display_text(dim_players_df: DataFrame) -> DataFrame:
         "player_id",
         F.concat(t("height"), F.lit(" ("), t("height_cm"), F.lit(" cm) • "), t("weight"),
                  F.lit(" lbs ("), t("weight_kg"), F.lit(" kg)")).alias("height_weight"))
+
+
+# ---- Win Shares (ME9 ws_48, MX9) ---------------------------------------------------
+# The reference names Win Shares and WS/48 but does not define them; this is the
+# published offensive / defensive method (points produced and individual defensive
+# rating, Oliver; marginal points per win, Basketball-Reference).
+# ---- fixed values: Win Shares constants -----------------------------------------------
+WS_OFF_PPP_WEIGHT = 0.92      # replacement-level offense, share of league points/poss
+WS_DEF_PPP_WEIGHT = 1.08      # replacement-level defense
+WS_PTS_PER_WIN = 0.32         # marginal points per win, share of league points/game
+WS_QAST_WEIGHT = 1.14
+
+
+def _sq(c: Column) -> Column:
+    return c * c
+
+
+def win_shares_frame(player_fct: DataFrame, team_fct: DataFrame, grain: list[str],
+                     cutoff: int | None = STATS_COMPLETE_FROM_YEAR) -> DataFrame:
+    """Offensive, defensive and total Win Shares and WS/48 per group of ``grain``.
+
+    Player sums are compared with the group's team scope (every game of every team
+    key it touched) and the league scope, as PER does.  Divisions are DIVIDE.
+    """
+    pf_c, tf_c = with_cutoff(player_fct, cutoff), with_cutoff(team_fct, cutoff)
+    p = player_totals(pf_c, grain)
+    t = team_scope(pf_c, tf_c, grain)
+    lg = league_scope(pf_c, tf_c, grain).select(
+        *grain, "lg_tm_gp", "lg_tm_pts", "lg_tm_min", *[c for c in league_scope_cols()])
+    j = p.join(t, grain).join(lg, grain, "left")
+    d = _d
+    one = F.lit(1.0)
+    mp, tmp = d("p_min"), d("tm_min")
+    share = divide(mp, divide(tmp, F.lit(5.0)))
+    j = j.withColumns({
+        "tm_poss": possessions("tm_", "opp_"),
+        "lg_poss": possessions("lg_tm_", "lg_opp_"),
+        "q_ast": share * (F.lit(WS_QAST_WEIGHT) * divide(d("tm_ast") - d("p_ast"), d("tm_fgm")))
+                 + divide(divide(d("tm_ast"), tmp) * mp * 5.0 - d("p_ast"),
+                          divide(d("tm_fgm"), tmp) * mp * 5.0 - d("p_fgm")) * (one - share),
+        "tm_sc_poss": d("tm_fgm") + (one - _sq(one - divide(d("tm_ftm"), d("tm_fta"))))
+                      * d("tm_fta") * 0.4,
+        "tm_orb_pct": divide(d("tm_oreb"), d("tm_oreb") + (d("opp_reb") - d("opp_oreb"))),
+        "shot_share": divide(d("p_pts") - d("p_ftm"), F.lit(2.0) * d("p_fga")),
+    })
+    j = j.withColumns({
+        "tm_play_pct": divide(F.col("tm_sc_poss"), d("tm_fga") + d("tm_fta") * 0.4 + d("tm_tov")),
+        "fg_part": d("p_fgm") * (one - F.lit(0.5) * F.col("shot_share") * F.col("q_ast")),
+        "ast_part": F.lit(0.5) * divide((d("tm_pts") - d("tm_ftm")) - (d("p_pts") - d("p_ftm")),
+                                        F.lit(2.0) * (d("tm_fga") - d("p_fga"))) * d("p_ast"),
+        "ft_part": (one - _sq(one - divide(d("p_ftm"), d("p_fta")))) * 0.4 * d("p_fta"),
+    })
+    j = j.withColumn("tm_orb_weight", divide(
+        (one - F.col("tm_orb_pct")) * F.col("tm_play_pct"),
+        (one - F.col("tm_orb_pct")) * F.col("tm_play_pct")
+        + F.col("tm_orb_pct") * (one - F.col("tm_play_pct"))))
+    orb_factor = one - divide(d("tm_oreb"), F.col("tm_sc_poss")) * F.col("tm_orb_weight") \
+        * F.col("tm_play_pct")
+    j = j.withColumns({
+        "orb_part": d("p_oreb") * F.col("tm_orb_weight") * F.col("tm_play_pct"),
+        "orb_factor": orb_factor,
+    })
+    j = j.withColumns({
+        "tot_poss": (F.col("fg_part") + F.col("ast_part") + F.col("ft_part")) * F.col("orb_factor")
+                    + F.col("orb_part")
+                    + (d("p_fga") - d("p_fgm")) * (one - F.lit(1.07) * F.col("tm_orb_pct"))
+                    + _sq(one - divide(d("p_ftm"), d("p_fta"))) * 0.4 * d("p_fta")
+                    + d("p_tov"),
+        "pprod": (F.lit(2.0) * (d("p_fgm") + F.lit(0.5) * d("p_fg3m"))
+                  * (one - F.lit(0.5) * F.col("shot_share") * F.col("q_ast"))
+                  + F.lit(2.0) * divide(d("tm_fgm") - d("p_fgm") + F.lit(0.5) * (d("tm_fg3m") - d("p_fg3m")),
+                                        d("tm_fgm") - d("p_fgm")) * F.col("ast_part")
+                  + d("p_ftm")) * F.col("orb_factor")
+                 + F.col("orb_part") * divide(d("tm_pts"), F.col("tm_sc_poss")),
+        "lg_ppp": divide(d("lg_tm_pts"), F.col("lg_poss")),
+        # defense
+        "dor_pct": divide(d("opp_oreb"), d("opp_oreb") + d("tm_dreb")),
+        "dfg_pct": divide(d("opp_fgm"), d("opp_fga")),
+    })
+    j = j.withColumns({
+        "fm_wt": divide(F.col("dfg_pct") * (one - F.col("dor_pct")),
+                        F.col("dfg_pct") * (one - F.col("dor_pct"))
+                        + (one - F.col("dfg_pct")) * F.col("dor_pct")),
+        "mppw": F.lit(WS_PTS_PER_WIN) * divide(d("lg_tm_pts"), d("lg_tm_gp"))
+                * divide(pace(F.col("tm_poss"), tmp), pace(F.col("lg_poss"), d("lg_tm_min"))),
+    })
+    stops = (d("p_stl") + d("p_blk") * F.col("fm_wt") * (one - F.lit(1.07) * F.col("dor_pct"))
+             + d("p_dreb") * (one - F.col("fm_wt"))
+             + (divide(d("opp_fga") - d("opp_fgm") - d("tm_blk"), tmp) * F.col("fm_wt")
+                * (one - F.lit(1.07) * F.col("dor_pct"))
+                + divide(d("opp_tov") - d("tm_stl"), tmp)) * mp
+             + divide(d("p_pf"), d("tm_pf")) * 0.4 * d("opp_fta")
+             * _sq(one - divide(d("opp_ftm"), d("opp_fta"))))
+    j = j.withColumns({
+        "stop_pct": divide(stops * tmp, F.col("tm_poss") * mp),
+        "tm_drtg": F.lit(100.0) * divide(d("opp_pts"), F.col("tm_poss")),
+        "d_pts_per_scposs": divide(d("opp_pts"), d("opp_fgm") + (one - _sq(
+            one - divide(d("opp_ftm"), d("opp_fta")))) * d("opp_fta") * 0.4),
+    })
+    j = j.withColumn("drtg", F.col("tm_drtg") + F.lit(0.2) * (
+        F.lit(100.0) * F.col("d_pts_per_scposs") * (one - F.col("stop_pct")) - F.col("tm_drtg")))
+    ows = divide(F.col("pprod") - F.lit(WS_OFF_PPP_WEIGHT) * F.col("lg_ppp") * F.col("tot_poss"),
+                 F.col("mppw"))
+    dws = divide(divide(mp, tmp) * F.col("tm_poss")
+                 * (F.lit(WS_DEF_PPP_WEIGHT) * F.col("lg_ppp") - F.col("drtg") / 100.0),
+                 F.col("mppw"))
+    j = j.withColumns({"ows": ows, "dws": dws})
+    j = j.withColumn("ws", F.col("ows") + F.col("dws"))
+    return j.select(*grain, "ows", "dws", "ws",
+                    (divide(F.col("ws"), mp) * 48.0).alias("ws_48"))
+
+
+def league_scope_cols() -> list[str]:
+    return [f"lg_tm_{c}" for c in STATS16 if c not in ("pts", "min")] + \
+        [f"lg_opp_{c}" for c in OPP_STATS]

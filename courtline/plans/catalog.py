@@ -500,3 +500,10 @@ def latest_state_native(spark, sf_dir):
     from courtline.operators.measures import latest_value
     ev = _read(spark, sf_dir, "events").select("user_id", "ts", "event_type")
     return latest_value(ev, "user_id", "ts", "event_type")
+
+
+@query("ws_48")
+def ws_48(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return present(_measures().win_shares_frame(m["player_boxscores"], m["team_boxscores"],
+                                                PLAYER_SEASON, FIXTURE_CUTOFF))

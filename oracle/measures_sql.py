@@ -226,3 +226,90 @@ reg("display_text",
     "SELECT player_id, COALESCE(CAST(height AS VARCHAR), '') || ' (' || "
     "COALESCE(CAST(height_cm AS VARCHAR), '') || ' cm) • ' || COALESCE(CAST(weight AS VARCHAR), '') "
     "|| ' lbs (' || COALESCE(CAST(weight_kg AS VARCHAR), '') || ' kg)' AS height_weight FROM dim_players")
+
+
+# ---- Win Shares ---------------------------------------------------------------------
+def sq(x: str) -> str:
+    return f"(({x}) * ({x}))"
+
+
+def _ws_sql() -> str:
+    D = d
+    mp, tmp = D("p_min"), D("tm_min")
+    share = div(mp, div(tmp, "5.0::DOUBLE"))
+    one = "1.0::DOUBLE"
+    return f"""
+, wsp AS ({_PT})
+, wsl AS (SELECT year, season_type_key, COUNT(*) AS lg_tm_gp, {tsum('lg_')}
+          FROM team_boxscores WHERE year >= {CUT} GROUP BY 1, 2)
+, w0 AS (SELECT wsp.*, {", ".join(f"wsl.{c}" for c in ["lg_tm_gp"] + [f"lg_tm_{c}" for c in STATS16] + [f"lg_opp_{c}" for c in OPP_STATS])}
+         FROM wsp LEFT JOIN wsl ON wsp.year = wsl.year AND wsp.season_type_key = wsl.season_type_key)
+, w1 AS (SELECT *,
+    {poss('tm_', 'opp_')} AS tm_poss2,
+    {poss('lg_tm_', 'lg_opp_')} AS lg_poss,
+    {share} * (1.14::DOUBLE * {div(f"{D('tm_ast')} - {D('p_ast')}", D('tm_fgm'))})
+      + {div(f"{div(D('tm_ast'), tmp)} * {mp} * 5.0::DOUBLE - {D('p_ast')}",
+             f"{div(D('tm_fgm'), tmp)} * {mp} * 5.0::DOUBLE - {D('p_fgm')}")} * ({one} - {share}) AS q_ast,
+    {D('tm_fgm')} + ({one} - {sq(f"{one} - {div(D('tm_ftm'), D('tm_fta'))}")}) * {D('tm_fta')} * 0.4::DOUBLE AS tm_sc_poss,
+    {div(D('tm_oreb'), f"{D('tm_oreb')} + ({D('opp_reb')} - {D('opp_oreb')})")} AS tm_orb_pct,
+    {div(f"{D('p_pts')} - {D('p_ftm')}", f"2.0::DOUBLE * {D('p_fga')}")} AS shot_share
+  FROM w0)
+, w2 AS (SELECT *,
+    {div('tm_sc_poss', f"{D('tm_fga')} + {D('tm_fta')} * 0.4::DOUBLE + {D('tm_tov')}")} AS tm_play_pct,
+    {D('p_fgm')} * ({one} - 0.5::DOUBLE * shot_share * q_ast) AS fg_part,
+    0.5::DOUBLE * {div(f"({D('tm_pts')} - {D('tm_ftm')}) - ({D('p_pts')} - {D('p_ftm')})",
+                       f"2.0::DOUBLE * ({D('tm_fga')} - {D('p_fga')})")} * {D('p_ast')} AS ast_part,
+    ({one} - {sq(f"{one} - {div(D('p_ftm'), D('p_fta'))}")}) * 0.4::DOUBLE * {D('p_fta')} AS ft_part
+  FROM w1)
+, w3 AS (SELECT *,
+    {div(f"({one} - tm_orb_pct) * tm_play_pct",
+         f"({one} - tm_orb_pct) * tm_play_pct + tm_orb_pct * ({one} - tm_play_pct)")} AS tm_orb_weight
+  FROM w2)
+, w4 AS (SELECT *,
+    {D('p_oreb')} * tm_orb_weight * tm_play_pct AS orb_part,
+    {one} - {div(D('tm_oreb'), 'tm_sc_poss')} * tm_orb_weight * tm_play_pct AS orb_factor
+  FROM w3)
+, w5 AS (SELECT *,
+    (fg_part + ast_part + ft_part) * orb_factor + orb_part
+      + ({D('p_fga')} - {D('p_fgm')}) * ({one} - 1.07::DOUBLE * tm_orb_pct)
+      + {sq(f"{one} - {div(D('p_ftm'), D('p_fta'))}")} * 0.4::DOUBLE * {D('p_fta')}
+      + {D('p_tov')} AS tot_poss,
+    (2.0::DOUBLE * ({D('p_fgm')} + 0.5::DOUBLE * {D('p_fg3m')})
+       * ({one} - 0.5::DOUBLE * shot_share * q_ast)
+     + 2.0::DOUBLE * {div(f"{D('tm_fgm')} - {D('p_fgm')} + 0.5::DOUBLE * ({D('tm_fg3m')} - {D('p_fg3m')})",
+                          f"{D('tm_fgm')} - {D('p_fgm')}")} * ast_part
+     + {D('p_ftm')}) * orb_factor + orb_part * {div(D('tm_pts'), 'tm_sc_poss')} AS pprod,
+    {div(D('lg_tm_pts'), 'lg_poss')} AS lg_ppp,
+    {div(D('opp_oreb'), f"{D('opp_oreb')} + {D('tm_dreb')}")} AS dor_pct,
+    {div(D('opp_fgm'), D('opp_fga'))} AS dfg_pct
+  FROM w4)
+, w6 AS (SELECT *,
+    {div(f"dfg_pct * ({one} - dor_pct)", f"dfg_pct * ({one} - dor_pct) + ({one} - dfg_pct) * dor_pct")} AS fm_wt,
+    0.32::DOUBLE * {div(D('lg_tm_pts'), D('lg_tm_gp'))}
+      * {div(pace('tm_poss2', tmp), pace('lg_poss', D('lg_tm_min')))} AS mppw
+  FROM w5)
+, w7 AS (SELECT *,
+    {div(f"""({D('p_stl')} + {D('p_blk')} * fm_wt * ({one} - 1.07::DOUBLE * dor_pct)
+             + {D('p_dreb')} * ({one} - fm_wt)
+             + ({div(f"{D('opp_fga')} - {D('opp_fgm')} - {D('tm_blk')}", tmp)} * fm_wt
+                * ({one} - 1.07::DOUBLE * dor_pct)
+                + {div(f"{D('opp_tov')} - {D('tm_stl')}", tmp)}) * {mp}
+             + {div(D('p_pf'), D('tm_pf'))} * 0.4::DOUBLE * {D('opp_fta')}
+             * {sq(f"{one} - {div(D('opp_ftm'), D('opp_fta'))}")}) * {tmp}""",
+         f"tm_poss2 * {mp}")} AS stop_pct,
+    100.0::DOUBLE * {div(D('opp_pts'), 'tm_poss2')} AS tm_drtg,
+    {div(D('opp_pts'), f"{D('opp_fgm')} + ({one} - {sq(f'{one} - ' + div(D('opp_ftm'), D('opp_fta')))}) * {D('opp_fta')} * 0.4::DOUBLE")} AS d_pts_per_scposs
+  FROM w6)
+, w8 AS (SELECT *,
+    tm_drtg + 0.2::DOUBLE * (100.0::DOUBLE * d_pts_per_scposs * ({one} - stop_pct) - tm_drtg) AS drtg
+  FROM w7)
+, w9 AS (SELECT *,
+    {div(f"pprod - 0.92::DOUBLE * lg_ppp * tot_poss", 'mppw')} AS ows,
+    {div(f"{div(mp, tmp)} * tm_poss2 * (1.08::DOUBLE * lg_ppp - drtg / 100.0::DOUBLE)", 'mppw')} AS dws
+  FROM w8)
+"""
+
+
+reg("ws_48", "__EXTRA__" + _ws_sql() + "__SELECT__"
+    f"SELECT {_PSJ}, ROUND(ows, 6) AS ows, ROUND(dws, 6) AS dws, ROUND(ows + dws, 6) AS ws, "
+    f"ROUND({div('ows + dws', d('p_min'))} * 48.0::DOUBLE, 6) AS ws_48 FROM w9")
