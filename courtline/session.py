@@ -27,6 +27,23 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for the 100 TB / ~1000-executor deployment.  Initial shuffle partitions are
+# sized for ~200 MB per partition at the largest shuffle (the player fact's game-keyed
+# join, roughly a fifth of raw box-score bytes after projection); AQE coalesces small
+# stages back down and splits skewed partitions above 5x the median and 256 MB.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "courtline", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the warehouse defaults.
