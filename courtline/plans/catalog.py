@@ -433,7 +433,10 @@ def refresh_equals_rebuild(spark, sf_dir):
     raw, stale, fresh, current = _refresh_inputs(spark, sf_dir)
     refreshed = {k: raw_all[k] for k in ["bios", "player_boxscores", "team_logos"]}
     refreshed["team_boxscores"] = replace_season(stale, fresh, current)
-    rebuilt = build_model(spark, refreshed)["team_boxscores"]
+    # the rebuild writes its tables, as a refresh does (each computed once)
+    from courtline.plans.store import session_store
+    rebuilt = build_model(spark, refreshed,
+                          store=session_store(spark, sf_dir + "#refreshed"))["team_boxscores"]
     scratch = model(spark, sf_dir)["team_boxscores"]
     return symmetric_difference(rebuilt, scratch)
 
