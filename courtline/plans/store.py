@@ -51,22 +51,30 @@ class TableStore:
         with self._lock(name):
             if name not in self._written:
                 t0 = time.perf_counter()
-                w = build().write.mode("overwrite")
+                df = build()
+                schema = df.schema
+                w = df.write.mode("overwrite")
                 if partition_by:
                     w = w.partitionBy(*partition_by)
                 w.parquet(self.path(name))
                 if os.environ.get("COURTLINE_TIMING"):
                     print(f"[store] {name}: {time.perf_counter() - t0:.2f}s", file=sys.stderr)
-                self._written[name] = self.spark.read.parquet(self.path(name))
+                # read back with the written schema: no footer sampling, and partition
+                # values (e.g. a '2001-02' season label) keep their declared type
+                self._written[name] = self.spark.read.schema(schema).parquet(self.path(name))
             return self._written[name]
 
 
     def materialize_all(self, builders: dict[str, Callable[[], DataFrame]],
-                        max_workers: int = 4) -> dict[str, DataFrame]:
+                        max_workers: int = 4,
+                        partition_by: dict[str, list[str]] | None = None
+                        ) -> dict[str, DataFrame]:
         """Materialise independent tables as concurrent Spark jobs."""
         from concurrent.futures import ThreadPoolExecutor
+        parts = partition_by or {}
         with ThreadPoolExecutor(max_workers=max_workers) as pool:
-            futures = {n: pool.submit(self.materialize, n, b) for n, b in builders.items()}
+            futures = {n: pool.submit(self.materialize, n, b, parts.get(n))
+                       for n, b in builders.items()}
             return {n: f.result() for n, f in futures.items()}
 
 
