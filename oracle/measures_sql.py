@@ -145,11 +145,6 @@ _PSJ = ", ".join(_PS)
 _TSJ = ", ".join(_TS)
 
 
-def _with(extra_ctes: str, select: str) -> str:
-    # extra CTEs start with ", name AS (...)" and are appended after the model CTEs
-    return select if not extra_ctes else select
-
-
 def reg_per(name: str, grain: list[str], cols: str) -> None:
     reg(name, "__EXTRA__" + per_sql(grain) + "__SELECT__" + f"SELECT {cols} FROM perf")
 

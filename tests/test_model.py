@@ -139,3 +139,19 @@ def test_dim_teams_and_missing_logo(spark):
     assert [(r.team_id, r.team_year_key, r.logo_by_year) for r in dt] == [(1, "1|1999", "l1.svg")]
     miss = checks.missing_logos(stg["team"], logos).collect()
     assert [(r.team_name, r.year) for r in miss] == [("Team 2", 1999)]
+
+
+def test_repeated_lookup_row_fans_out_and_dup_check_reports_it(spark):
+    stg = build(spark, [bio(1, country="France"), bio(2, country="USA")], [], [])
+    cc = lookups.country_codes(spark)
+    doubled = cc.unionByName(cc.filter(F.col("country") == "France"))
+    sig = spark.createDataFrame([], "player_id long, main_team_id long, main_team_name string, "
+                                    "main_logo string")
+    prof = spark.createDataFrame([], "player_id long, pts_pctl double, fg2m_pctl double, "
+                                     "fg3m_pctl double, ts_pctl double, ast_pctl double, "
+                                     "reb_pctl double, stl_pctl double, blk_pctl double")
+    dp = derived.player_dim(stg["bios"], doubled, lookups.name_overrides(spark), sig, prof)
+    dups = checks.dup_dim_players(dp).collect()
+    assert [(r.player_id, r["count"]) for r in dups] == [(1, 2)]
+    parity = {r.source: r.n for r in checks.dim_parity(dp, stg["bios"]).collect()}
+    assert parity == {"dim_players": 3, "v_bios": 2}
