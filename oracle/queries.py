@@ -142,8 +142,9 @@ reg("refresh_equals_rebuild", "__EXTRA__, " + _STALE + "__SELECT__"
 
 # ---- operators on native tables -------------------------------------------------------
 reg("opponent_join_native",
-    "WITH s AS (SELECT l_orderkey, l_linenumber % 2 AS side, SUM(CAST(l_quantity AS BIGINT)) AS qty, "
-    "SUM(1) AS lines FROM lineitem GROUP BY 1, 2) "
+    "WITH s AS (SELECT l_orderkey, l_linenumber % 2 AS side, "
+    "CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty, "
+    "CAST(SUM(1) AS BIGINT) AS lines FROM lineitem GROUP BY 1, 2) "
     "SELECT t.l_orderkey, t.side, o.side AS opp_side, t.qty, t.lines, o.qty AS opp_qty, "
     "o.lines AS opp_lines FROM s t JOIN s o ON t.l_orderkey = o.l_orderkey AND t.side <> o.side",
     ctes=False)
