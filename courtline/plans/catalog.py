@@ -44,6 +44,7 @@ def present(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 _MODELS: dict[tuple, object] = {}
+_MODELS_LOCK = __import__("threading").RLock()
 
 
 def raw_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -66,10 +67,11 @@ def model(spark: SparkSession, sf_dir: str):
     """The model for ``sf_dir``: model tables materialised on first use, per run."""
     from courtline.plans.store import session_store
     key = (id(spark), sf_dir)
-    if key not in _MODELS:
-        _MODELS[key] = build_model(spark, raw_layer(spark, sf_dir),
-                                   store=session_store(spark, sf_dir))
-    return _MODELS[key]
+    with _MODELS_LOCK:
+        if key not in _MODELS:
+            _MODELS[key] = build_model(spark, raw_layer(spark, sf_dir),
+                                       store=session_store(spark, sf_dir))
+        return _MODELS[key]
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

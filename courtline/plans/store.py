@@ -79,11 +79,17 @@ class TableStore:
 
 
 _STORES: dict[tuple, TableStore] = {}
+_STORES_LOCK = threading.Lock()
 
 
 def session_store(spark: SparkSession, scope: str) -> TableStore:
     """The per-process store for one input ``scope`` (e.g. a testdata folder)."""
     key = (id(spark), scope)
+    with _STORES_LOCK:
+        return _store_for(spark, scope, key)
+
+
+def _store_for(spark: SparkSession, scope: str, key: tuple) -> TableStore:
     if key not in _STORES:
         tag = re.sub(r"[^A-Za-z0-9_.-]+", "_", scope).strip("_")
         _STORES[key] = TableStore(spark, f"{checkpoint_dir(spark)}/courtline/{_RUN_ID}/{tag}")
