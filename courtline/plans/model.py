@@ -182,6 +182,8 @@ def write_model(spark: SparkSession, raw: dict[str, DataFrame], root: str,
     }
     for name in MODEL_ORDER:
         part = ["year"] if name in PARTITIONED_BY_YEAR else None
-        paths[name] = write_table(steps[name](), root, "model", name, mode, part)
-        materialised[name] = read_table(spark, root, "model", name)
+        df = steps[name]()
+        paths[name] = write_table(df, root, "model", name, mode, part)
+        # dependants read the written table, with the schema it was written with
+        materialised[name] = spark.read.schema(df.schema).parquet(paths[name])
     return paths
