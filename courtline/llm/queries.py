@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtline.llm import quality
+from courtline.llm import decontaminate, neardup, quality
 from courtline.llm.shared import documents
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir))
 
 
-QUERIES = {"op7_quality": op7_quality}
+QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op5_near_duplicates": op5_near_duplicates,
+    "op7_quality": op7_quality,
+}
 SQL: dict[str, str] = {}

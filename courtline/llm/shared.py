@@ -2,13 +2,34 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors the package, once per application, whatever their Python path holds."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp()), "courtline.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                file = os.path.join(folder, name)
+                z.write(file, os.path.relpath(file, os.path.dirname(package)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def scratch(spark: SparkSession, tag: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, which driver and executors share.
 
@@ -42,6 +63,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_of(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the key and the text of ``df``, a null text as the empty one; other columns go."""
+    ship(df.sparkSession)
     return df.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias(text))
 
 
