@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtline.llm.neardup import Words, mixed
-from courtline.llm.shared import text_of
+from courtline.llm.shared import ship, text_of
 
 MIN_WORDS = 5
 SHARE = 0.2
@@ -205,21 +205,28 @@ def recall(words: int, edits: int, trials: int = 200, seed: int = 1) -> float:
 OUT = "doc_id long, item_id long, distance long, item_words long, first_word long, last_word long, first_char long, last_char long"
 
 
+def _portions(texts: list[str], hashes: Words, size: int = 500_000) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The words of consecutive texts, about ``size`` at a time, with the place of the first text."""
+    at = 0
+    while at < len(texts):
+        words, total, begin = [], 0, at
+        while at < len(texts) and (not words or total < size):
+            words.append(word_hashes(texts[at], hashes))
+            total += len(words[-1])
+            at += 1
+        yield begin, words
+
+
 def _search(shared):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index, hashes = shared.value, Words()
         for b in batches:
-            ids, texts, rows, at = b["doc_id"].tolist(), b["text"].tolist(), [], 0
-            while at < len(ids):  # about 500,000 words at a time
-                words, total, begin = [], 0, at
-                while at < len(ids) and (not words or total < 500_000):
-                    words.append(word_hashes(texts[at], hashes))
-                    total += len(words[-1])
-                    at += 1
+            ids, texts, rows = b["doc_id"].tolist(), b["text"].tolist(), []
+            for at, words in _portions(texts, hashes):
                 for d, k, distance, first, last in matches(index, words):
                     item_id, item = index.items[k]
-                    d += begin
-                    rows.append((ids[d], item_id, distance, len(item), first, last, *char_span(texts[d], first, last)))
+                    rows.append((ids[at + d], item_id, distance, len(item), first, last,
+                                 *char_span(texts[at + d], first, last)))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in OUT.split(", ")]).astype(
                 {"doc_id": "Int64", "item_id": "Int64"})
     return search
@@ -248,7 +255,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
     return out if out is not None else spark.createDataFrame([], OUT)
 
 
+def _holds(shared):
+    @F.pandas_udf("boolean")
+    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hashes = Words()
+        for b in batches:
+            found = np.zeros(len(b), bool)
+            for at, words in _portions(b.fillna("").tolist(), hashes):
+                found[[at + d for d, *_ in matches(shared.value, words)]] = True
+            yield pd.Series(found)
+    return holds
+
+
 def clean_documents(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with their columns."""
-    held = contaminated(docs, benchmark, share).select("doc_id").distinct()
-    return docs.join(held, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that hold no item, with their columns; a row is judged where it is, without a join."""
+    spark = docs.sparkSession
+    ship(spark)
+    for block in blocks(benchmark):
+        docs = docs.filter(~_holds(spark.sparkContext.broadcast(Index(block, share)))("text"))
+    return docs

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtline.llm import decontaminate, neardup, quality
+from courtline.llm import decontaminate, neardup, packing, pii, quality
 from courtline.llm.shared import documents
 
 
@@ -12,6 +12,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir))
 
@@ -20,9 +24,15 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_personal_data": op2_personal_data,
     "op5_near_duplicates": op5_near_duplicates,
     "op7_quality": op7_quality,
+    "op8_packing": op8_packing,
 }
 SQL: dict[str, str] = {}
