@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtline.llm import decontaminate, neardup, packing, pii, quality
-from courtline.llm.shared import documents
+from courtline.llm import decontaminate, neardup, packing, pii, quality, warc
+from courtline.llm.shared import documents, pages
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(pages(spark, sf_dir))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir))
 
@@ -31,6 +35,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_personal_data": op2_personal_data,
+    "op4_warc": op4_warc,
     "op5_near_duplicates": op5_near_duplicates,
     "op7_quality": op7_quality,
     "op8_packing": op8_packing,
