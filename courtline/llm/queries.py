@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtline.llm import decontaminate, neardup, packing, pii, quality, warc
+from courtline.llm import decontaminate, neardup, packing, pii, quality, toxicity, warc
 from courtline.llm.shared import documents, pages
 
 
@@ -16,6 +16,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(pages(spark, sf_dir))
 
@@ -35,6 +39,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_personal_data": op2_personal_data,
+    "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
     "op5_near_duplicates": op5_near_duplicates,
     "op7_quality": op7_quality,
