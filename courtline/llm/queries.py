@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtline.llm import decontaminate, neardup, packing, pii, quality, toxicity, warc
+from courtline.llm import decontaminate, licenses, neardup, packing, pii, quality, toxicity, warc, webtext
 from courtline.llm.shared import documents, pages
 
 
@@ -28,6 +28,10 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(documents(spark, sf_dir))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir))
 
@@ -36,13 +40,19 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webtext.main_text(pages(spark, sf_dir))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_personal_data": op2_personal_data,
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_licenses": op6_licenses,
     "op7_quality": op7_quality,
     "op8_packing": op8_packing,
+    "op10_main_text": op10_main_text,
 }
 SQL: dict[str, str] = {}
