@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtline.llm import decontaminate, licenses, neardup, packing, pii, quality, toxicity, warc, webtext
+from courtline.llm import decontaminate, licenses, neardup, packing, pii, quality, substrings, toxicity, warc, webtext
 from courtline.llm.shared import documents, pages
 
 
@@ -40,6 +40,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_substrings(documents(spark, sf_dir))
+
+
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return webtext.main_text(pages(spark, sf_dir))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op6_licenses": op6_licenses,
     "op7_quality": op7_quality,
     "op8_packing": op8_packing,
+    "op9_substrings": op9_substrings,
     "op10_main_text": op10_main_text,
 }
 SQL: dict[str, str] = {}
