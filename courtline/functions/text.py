@@ -9,36 +9,46 @@ whole-stage codegen.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ---- fixed values: letters without a canonical decomposition ------------------------
-FOLD_SINGLE_FIXED = {
-    "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "Ħ": "H", "ħ": "h", "ı": "i",
-    "Ŀ": "L", "ŀ": "l", "Ł": "L", "ł": "l", "Ø": "O", "ø": "o", "Ŧ": "T", "ŧ": "t",
-}
+# ---- fixed values: letters that neither decompose nor carry their base in their name --
+FOLD_SINGLE_FIXED = {"Ð": "D", "ð": "d", "ı": "i", "Ŋ": "N", "ŋ": "n"}
 FOLD_MULTI_FIXED = {
     "ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Þ": "TH", "þ": "th",
     "Ĳ": "IJ", "ĳ": "ij",
 }
 
-# Latin-1 Supplement, Latin Extended-A and Extended-B.
-_FOLD_RANGE = (0x00C0, 0x0250)
+# Every Latin block beyond ASCII: Latin-1 Supplement to Extended-B, IPA Extensions, Extended
+# Additional, Extended-C and Extended-D.
+_LATIN_BLOCKS = ((0x00C0, 0x02B0), (0x1E00, 0x1F00), (0x2C60, 0x2C80), (0xA720, 0xA800))
+_NAMED = re.compile(r"LATIN (CAPITAL|SMALL) LETTER ([A-Z])(?: WITH .*)?")
+
+
+def _base_letter(ch: str) -> str | None:
+    """The letter under a Latin one: by decomposition, or by its name ("... LETTER L WITH STROKE")."""
+    base = unicodedata.normalize("NFD", ch)[0]
+    if base.isascii() and base.isalpha():
+        return base
+    if base != ch:  # what is left of an accented ligature is spelled out later
+        return base if base in FOLD_MULTI_FIXED else _base_letter(base)
+    named = _NAMED.fullmatch(unicodedata.name(ch, ""))
+    return (named[2] if named[1] == "CAPITAL" else named[2].lower()) if named else None
 
 
 @lru_cache(maxsize=1)
 def fold_translation() -> tuple[str, str]:
     """(from_chars, to_chars) for ``translate``: rule-generated plus fixed singles."""
     src, dst = [], []
-    for cp in range(*_FOLD_RANGE):
-        ch = chr(cp)
-        base = unicodedata.normalize("NFD", ch)[0]
-        if base != ch and base.isascii() and base.isalpha():
-            src.append(ch)
-            dst.append(base)
+    for block in _LATIN_BLOCKS:
+        for ch in map(chr, range(*block)):
+            if base := _base_letter(ch):
+                src.append(ch)
+                dst.append(base)
     for ch, repl in FOLD_SINGLE_FIXED.items():
         if ch not in src:
             src.append(ch)

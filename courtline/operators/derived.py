@@ -67,19 +67,13 @@ def season_rates(player_fct: DataFrame, entity: str = "player_id", period: str =
     weights, 50*pts / (100*fga + 44*fta), so equal shooting lines give equal doubles.
     """
     n = F.count(F.lit(1))
+    per_game = ["min", "fgm", "fga", "fg3m", "fg3a", "ftm", "fta", "oreb", "dreb", "reb", "ast", "stl", "blk", "tov", "pf", "pts"]
     agg = player_fct.groupBy(entity, period).agg(
         n.alias("gp"),
         F.sum("min").alias("min"),
-        (_dsum("min") / n).alias("min_pg"),
-        (_dsum("pts") / n).alias("pts_pg"),
+        *[(_dsum(c) / n).alias(f"{c}_pg") for c in per_game],
         ((F.sum("fgm") - F.sum("fg3m")).cast("double") / n).alias("fg2m_pg"),
         ((F.sum("fga") - F.sum("fg3a")).cast("double") / n).alias("fg2a_pg"),
-        (_dsum("fg3m") / n).alias("fg3m_pg"),
-        (_dsum("reb") / n).alias("reb_pg"),
-        (_dsum("ast") / n).alias("ast_pg"),
-        (_dsum("stl") / n).alias("stl_pg"),
-        (_dsum("blk") / n).alias("blk_pg"),
-        (_dsum("tov") / n).alias("tov_pg"),
         F.try_divide((F.sum("pts") * 50).cast("double"),
                      F.nullif(F.sum("fga") * 100 + F.sum("fta") * 44, F.lit(0)).cast("double"))
          .alias("ts"),

@@ -298,25 +298,18 @@ def usage_and_share(player_fct: DataFrame, team_fct: DataFrame, grain: list[str]
 
 
 # ---- player-page measures ------------------------------------------------------------
-def current_team(player_fct: DataFrame, team_fct: DataFrame, dim_players_df: DataFrame,
+def current_team(player_fct: DataFrame, dim_seasons_df: DataFrame, dim_players_df: DataFrame,
                  dim_teams_df: DataFrame) -> DataFrame:
-    """ME10: 'Retired' if the player's last season precedes the league's latest season,
+    """ME10: 'Retired' if the player's last season precedes the latest season there is,
     else the team name of the team-year he played for on his last game date.
 
-    The league's latest season is computed on its own (no back-propagation from the
-    player); an ambiguous last date (two team-years) gives no team, like SELECTEDVALUE.
+    The latest season is that of the season dimension, whether or not it has facts yet (no
+    back-propagation from the player); an ambiguous last date (two team-years) gives no team, like
+    SELECTEDVALUE.
     """
     # a scalar subquery: Catalyst runs it once and inlines the value
-    current_year = team_fct.agg(F.max("year")).scalar()
-    last_date = (player_fct.groupBy("player_id").agg(F.max("game_date").alias("last_date"))
-                 .alias("ld"))
-    pb = player_fct.select("player_id", "game_date", "team_year_key").alias("pb")
-    keys = (pb.join(last_date, (F.col("pb.player_id") == F.col("ld.player_id"))
-                    & (F.col("pb.game_date") == F.col("ld.last_date")))
-            .select(F.col("pb.player_id").alias("player_id"), F.col("pb.team_year_key"))
-            .groupBy("player_id")
-            .agg(F.when(F.count_distinct("team_year_key") == 1,
-                        F.min("team_year_key")).alias("team_year_key")))
+    current_year = dim_seasons_df.agg(F.max("year")).scalar()
+    keys = latest_value(player_fct, "player_id", "game_date", "team_year_key")
     names = (dim_teams_df.groupBy("team_year_key")
              .agg(F.when(F.count_distinct("team_name") == 1, F.min("team_name"))
                   .alias("latest_team")))
@@ -327,6 +320,19 @@ def current_team(player_fct: DataFrame, team_fct: DataFrame, dim_players_df: Dat
                     .otherwise(F.col("latest_team")).alias("current_team"))
 
 
+def latest_value(df: DataFrame, entity: str, order_col: str, value_col: str) -> DataFrame:
+    """Value at each entity's latest ``order_col``; NULL when that moment has several
+    distinct values (SELECTEDVALUE).
+
+    One scan: the latest moment of each (entity, value) is aggregated map-side, and the values of an
+    entity that share the overall latest one are counted.
+    """
+    each = df.groupBy(entity, value_col).agg(F.max(order_col).alias("_at"))
+    moments = each.groupBy(entity, "_at").agg(F.count(value_col).alias("_values"), F.min(value_col).alias("_value"))
+    last = moments.filter(F.col("_at").isNotNull()).groupBy(entity).agg(F.max(F.struct("_at", "_values", "_value")).alias("_last"))
+    return last.select(entity, F.when(F.col("_last._values") == 1, F.col("_last._value")).alias(value_col))
+
+
 def latest_value(df: DataFrame, entity: str, order_col: str, value_col: str) -> DataFrame:
     """Value at each entity's latest ``order_col``; NULL when that moment has several
     distinct values (SELECTEDVALUE).  A max per entity, then a semi-join back - no

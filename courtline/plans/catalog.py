@@ -9,6 +9,7 @@ places (summation order differs between engines).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,7 +67,7 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def model(spark: SparkSession, sf_dir: str):
     """The model for ``sf_dir``: model tables materialised on first use, per run."""
     from courtline.plans.store import session_store
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     with _MODELS_LOCK:
         if key not in _MODELS:
             _MODELS[key] = build_model(spark, raw_layer(spark, sf_dir),
@@ -188,6 +189,13 @@ def career_percentiles_q(spark, sf_dir):
     return present(model(spark, sf_dir)["career_percentiles"])
 
 
+@query("season_rates")
+def season_rates_q(spark, sf_dir):
+    """Season totals and per-game rates of players over the minutes floor."""
+    from courtline.operators.derived import season_rates
+    return present(season_rates(model(spark, sf_dir)["player_boxscores"]))
+
+
 @query("dim_players")
 def dim_players_q(spark, sf_dir):
     return present(model(spark, sf_dir)["dim_players"])
@@ -251,7 +259,7 @@ def check_dup_dim(spark, sf_dir):
 
 @query("check_completeness")
 def check_completeness(spark, sf_dir):
-    return _checks().completeness_by_season(model(spark, sf_dir)["v_team"])
+    return _checks().completeness_by_season(model(spark, sf_dir)["v_team"]).orderBy("year")
 
 
 @query("check_dim_parity")
@@ -385,8 +393,7 @@ def team_share(spark, sf_dir):
 @query("current_team")
 def current_team_q(spark, sf_dir):
     m = model(spark, sf_dir)
-    return _measures().current_team(m["player_boxscores"], m["team_boxscores"],
-                                    m["dim_players"], m["dim_teams"])
+    return _measures().current_team(m["player_boxscores"], m["dim_seasons"], m["dim_players"], m["dim_teams"])
 
 
 @query("display_flags")
@@ -400,51 +407,98 @@ def display_text_q(spark, sf_dir):
 
 
 # ---- season refresh (CMP10) -----------------------------------------------------------
-STALE_DAYS = 30  # the stale snapshot misses the current season's last 30 days of games
+def _game(c: str = "GAME_ID"):
+    return F.col(c).cast("bigint")
 
 
-def _refresh_inputs(spark, sf_dir):
-    """(stale raw team rows, freshly scraped current-season rows, current season).
+def _refreshed_root(spark, sf_dir) -> str:
+    """A warehouse that was built before the current season's last load, then refreshed with it.
 
-    The stale snapshot is the raw table as loaded a month before the data ends; the new
-    load is the whole current season, as a re-scrape delivers it.
+    The store lacks every seventh game of the current season (they are new), and the load
+    lacks every fifth (they were withdrawn) and has a point more in all others (corrections).
     """
-    raw = raw_layer(spark, sf_dir)["team_boxscores"]
-    current = raw.agg(F.max("Season")).scalar()
-    last = raw.agg(F.max(F.col("GAME_DATE").cast("date"))).scalar()
-    recent = (F.col("Season") == current) & (
-        F.col("GAME_DATE").cast("date") > F.date_sub(last, STALE_DAYS))
-    stale = raw.filter(~recent)
-    fresh = raw.filter(F.col("Season") == current)
-    return raw, stale, fresh, current
+    from courtline.plans import refresh
+    from courtline.plans.model import write_model
+    from courtline.plans.store import session_store
+    from courtline.sources.raw import write_table
+    root = session_store(spark, sf_dir).path(f"refreshed-{uuid.uuid4().hex[:8]}")
+    raw = raw_layer(spark, sf_dir)
+    current = raw["team_boxscores"].agg(F.max("Season")).first()[0]
+    in_season, new = F.col("Season") == current, {}
+    write_table(raw["bios"], root, "raw", "bios")
+    for t in ("player_boxscores", "team_boxscores"):
+        refresh.write_raw(raw[t].filter(~(in_season & (_game() % 7 == 0))), root, t)
+        points = F.trim("PTS")
+        more = F.when(points != "", (points.cast("bigint") + 1).cast("string")).otherwise(F.col("PTS"))
+        new[t] = raw[t].filter(in_season & (_game() % 5 != 0)).withColumn("PTS", more)
+    write_model(spark, {**refresh.read_raw_no_logos(spark, root), "team_logos": raw["team_logos"]}, root)
+    refresh.refresh_season_incremental(spark, root, current, new["player_boxscores"], new["team_boxscores"])
+    return root
+
+
+def _refreshed(spark, sf_dir, layer: str, name: str) -> DataFrame:
+    from courtline.sources.raw import read_table
+    key = (spark.sparkContext.applicationId, sf_dir, "refreshed")
+    with _MODELS_LOCK:
+        if key not in _MODELS:
+            _MODELS[key] = _refreshed_root(spark, sf_dir)
+    return read_table(spark, _MODELS[key], layer, name)
 
 
 @query("refresh_season")
 def refresh_season_q(spark, sf_dir):
-    from courtline.plans.refresh import replace_season
+    """Raw team rows after the current season was replaced, as staging reads them."""
     from courtline.schemas import TEAM_SPEC
-    raw, stale, fresh, current = _refresh_inputs(spark, sf_dir)
-    # the columns the staging layer reads
-    return replace_season(stale, fresh, current).select(*[src for _, src, _ in TEAM_SPEC])
+    return _refreshed(spark, sf_dir, "raw", "team_boxscores").select(*[src for _, src, _ in TEAM_SPEC])
+
+
+@query("refresh_season_players")
+def refresh_season_players_q(spark, sf_dir):
+    from courtline.schemas import PLAYER_SPEC
+    return _refreshed(spark, sf_dir, "raw", "player_boxscores").select(*[src for _, src, _ in PLAYER_SPEC])
 
 
 @query("refresh_equals_rebuild")
 def refresh_equals_rebuild(spark, sf_dir):
-    """Incremental refresh invariant: the refreshed season's team fact, rebuilt from the
-    refreshed raw season alone, equals that season's rows of a from-scratch build."""
-    from courtline.functions.keys import season_year
-    from courtline.plans.refresh import replace_season, season_slice, symmetric_difference
+    """The team fact after an incremental refresh; the oracle builds it from refreshed raw rows."""
+    return present(_refreshed(spark, sf_dir, "model", "team_boxscores"))
+
+
+@query("refresh_player_fact")
+def refresh_player_fact(spark, sf_dir):
+    return present(_refreshed(spark, sf_dir, "model", "player_boxscores"))
+
+
+@query("refresh_dim_players")
+def refresh_dim_players(spark, sf_dir):
+    return present(_refreshed(spark, sf_dir, "model", "dim_players"))
+
+
+# ---- CSV files (SRC1-SRC3) -------------------------------------------------------------
+def _from_csv(spark, sf_dir, table: str) -> DataFrame:
+    """A raw table written as CSV files to the shared folder and loaded from them."""
     from courtline.plans.store import session_store
-    raw_all = raw_layer(spark, sf_dir)
-    raw, stale, fresh, current = _refresh_inputs(spark, sf_dir)
-    refreshed = {k: raw_all[k] for k in ["bios", "player_boxscores", "team_logos"]}
-    refreshed["team_boxscores"] = replace_season(stale, fresh, current)
-    season_model = build_model(spark, season_slice(refreshed, current),
-                               store=session_store(spark, sf_dir + "#season"))
-    rebuilt = season_model["team_boxscores"]
-    scratch = model(spark, sf_dir)["team_boxscores"]
-    scratch_season = scratch.filter(F.col("year").eqNullSafe(season_year(current)))
-    return symmetric_difference(rebuilt, scratch_season)
+    from courtline.sources.raw import read_raw_csv, write_raw_csv
+    path = session_store(spark, sf_dir).path(f"csv/{table}-{uuid.uuid4().hex[:8]}")
+    return read_raw_csv(spark, write_raw_csv(raw_layer(spark, sf_dir)[table], path, table), table)
+
+
+@query("csv_bios")
+def csv_bios(spark, sf_dir):
+    from courtline.operators.staging import stage_bios
+    return present(stage_bios(_from_csv(spark, sf_dir, "bios")))
+
+
+@query("csv_player")
+def csv_player(spark, sf_dir):
+    from courtline.operators.staging import stage_player_boxscores
+    return present(stage_player_boxscores(_from_csv(spark, sf_dir, "player_boxscores")))
+
+
+@query("csv_team")
+def csv_team(spark, sf_dir):
+    from courtline.operators.staging import stage_team_boxscores
+    return present(stage_team_boxscores(_from_csv(spark, sf_dir, "team_boxscores")))
 
 
 # ---- operators on native tables -------------------------------------------------------

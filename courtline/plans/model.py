@@ -22,6 +22,8 @@ MODEL_ORDER = [
 ]
 LOOKUP_TABLES = ["country_codes", "name_overrides", "dim_season_type", "team_logos_by_year"]
 # Model tables partitioned by season year: season-local, so one season can be rewritten.
+#: The bios columns that facts depend on, as the stored facts have seen them.
+BIOS_SEEN = "bios_seen"
 PARTITIONED_BY_YEAR = {"player_boxscores", "team_boxscores_base", "team_boxscores"}
 
 
@@ -142,6 +144,10 @@ def build_model(spark: SparkSession, raw: dict[str, DataFrame], store=None) -> M
     return Model(spark, raw, store)
 
 
+def write_bios_seen(bios: DataFrame, root: str) -> str:
+    return write_table(bios.select("PLAYER_ID", "BIRTHDATE"), root, "model", BIOS_SEEN)
+
+
 def write_model(spark: SparkSession, raw: dict[str, DataFrame], root: str,
                 mode: str = "overwrite", write_lookups: bool = True) -> dict[str, str]:
     """Materialise lookups and model tables under ``<root>/model`` in dependency order.
@@ -186,4 +192,5 @@ def write_model(spark: SparkSession, raw: dict[str, DataFrame], root: str,
         paths[name] = write_table(df, root, "model", name, mode, part)
         # dependants read the written table, with the schema it was written with
         materialised[name] = spark.read.schema(df.schema).parquet(paths[name])
+    write_bios_seen(raw["bios"], root)
     return paths

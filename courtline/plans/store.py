@@ -22,6 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from courtline.session import checkpoint_dir
+from courtline.sources.raw import gathered
 
 _RUN_ID = uuid.uuid4().hex[:12]
 
@@ -53,7 +54,7 @@ class TableStore:
                 t0 = time.perf_counter()
                 df = build()
                 schema = df.schema
-                w = df.write.mode("overwrite")
+                w = (gathered(df, partition_by) if partition_by else df).write.mode("overwrite").option("partitionOverwriteMode", "static")
                 if partition_by:
                     w = w.partitionBy(*partition_by)
                 w.parquet(self.path(name))
@@ -84,7 +85,7 @@ _STORES_LOCK = threading.Lock()
 
 def session_store(spark: SparkSession, scope: str) -> TableStore:
     """The per-process store for one input ``scope`` (e.g. a testdata folder)."""
-    key = (id(spark), scope)
+    key = (spark.sparkContext.applicationId, scope)
     with _STORES_LOCK:
         return _store_for(spark, scope, key)
 

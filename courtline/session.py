@@ -20,7 +20,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -64,21 +63,23 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-_LOCAL_CKPT: dict[int, str] = {}
+_LOCAL_CKPT: dict[str, str] = {}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    The cluster setting always wins.  Only when it is unset (local tests) is a
-    scratch folder created and registered.
+    The cluster setting always wins.  Where it is unset a scratch folder is created and registered on a
+    local master; on any other this is an error, as executors would write to disks of their own.
     """
     current = (spark.conf.get("spark.checkpoint.dir", None)
                or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
-    key = id(spark.sparkContext)
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    key = spark.sparkContext.applicationId
     if key not in _LOCAL_CKPT:
         _LOCAL_CKPT[key] = tempfile.mkdtemp(prefix="courtline-ckpt-",
                                             dir=os.environ.get("TMPDIR", "/tmp"))

@@ -8,6 +8,7 @@ partitioned by ``Season`` so a season replace is a dynamic partition overwrite.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from courtline.schemas import RAW_SCHEMAS
 
@@ -15,20 +16,38 @@ LAYERS = ("raw", "staging", "model")
 
 
 def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Load a raw CSV (header row, quoted fields) with every column as STRING."""
-    return spark.read.csv(path, header=True, schema=RAW_SCHEMAS[table], quote='"',
+    """Load a raw CSV (header row, quoted fields) with every column as STRING.
+
+    The header is checked against the declared names in their order, and a line of another width fails
+    the load, so no value lands in a column that is not its own.
+    """
+    return spark.read.csv(path, header=True, schema=RAW_SCHEMAS[table], enforceSchema=False, quote='"',
                           escape='"', multiLine=False, mode="FAILFAST")
 
 
+def write_raw_csv(df: DataFrame, path: str, table: str) -> str:
+    """Write a raw table as CSV files with the declared columns; missing ones are blank, as NULLs are."""
+    names = RAW_SCHEMAS[table].fieldNames()
+    have = set(df.columns)
+    rows = df.select(*[(F.coalesce(F.col(n).cast("string"), F.lit("")) if n in have else F.lit("")).alias(n) for n in names])
+    rows.write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="",
+                                     ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return path
+
+
 def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{layer}/{name}")
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+def drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
+    """Delete one partition of a stored table, as DELETE ... WHERE column = value does."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def gathered(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of a partition in few tasks, so that it gets few files; a large one is split over several."""
+    return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
 def write_table(df: DataFrame, root: str, layer: str, name: str, mode: str = "overwrite",
@@ -36,7 +55,8 @@ def write_table(df: DataFrame, root: str, layer: str, name: str, mode: str = "ov
     """Materialise a table.  ``mode='ignore'`` is CREATE TABLE IF NOT EXISTS (first
     build); rebuilds use ``overwrite`` so a stale table is never silently kept."""
     path = f"{root}/{layer}/{name}"
-    w = df.write.mode(mode)
+    # static: a rebuild replaces the whole table, partitions that are gone included
+    w = (gathered(df, partition_by) if partition_by else df).write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

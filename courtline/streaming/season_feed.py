@@ -1,21 +1,24 @@
 """Incremental season feed: file-source Structured Streaming into the raw layer.
 
 The reference refreshes the current season by hand (delete, reload CSV, rebuild).  Here
-new CSV drops in an incoming folder are a file stream; each micro-batch replaces the
-seasons it contains with a dynamic partition overwrite of the raw table (partitioned
-by ``Season``) and can rebuild the model.  The stream's checkpoint records which files
-were processed, so a restarted or failed job resumes without reloading a file twice;
-the overwrite makes replaying a batch idempotent.
+new CSV drops in an incoming folder are a file stream.  Each micro-batch first lands, as it is,
+in a folder of its own; a season that occurs in it is then replaced by all rows of the feed that
+have landed for it, so files of one season may come in several batches.  Rows without a
+season are never loaded over the ones there (NULL is not equal to any season): they land only.
+The stream's checkpoint, one per feed and under the warehouse root unless given, records which files were
+processed; a batch that is replayed lands in the same folder and replaces the same seasons.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from courtline.plans.refresh import replace_partitions
 from courtline.schemas import RAW_SCHEMAS
-from courtline.session import checkpoint_dir
 
 BOX_SCORE_TABLES = ("player_boxscores", "team_boxscores")
 
@@ -25,16 +28,25 @@ def season_stream(spark: SparkSession, incoming_dir: str, table: str) -> DataFra
     if table not in BOX_SCORE_TABLES:
         raise ValueError(f"season feeds exist for {BOX_SCORE_TABLES}, not {table!r}")
     return (spark.readStream.schema(RAW_SCHEMAS[table])
-            .option("header", True).option("quote", '"').option("escape", '"')
+            .option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
+            .option("quote", '"').option("escape", '"')
             .csv(incoming_dir))
 
 
-def replace_seasons_batch(root: str, table: str,
+def replace_seasons_batch(root: str, table: str, feed: str,
                           after: Callable[[int], None] | None = None):
-    """foreachBatch handler: overwrite exactly the seasons present in the batch."""
+    """foreachBatch handler: the seasons present in the batch become what the feed has landed for them."""
+    landed = f"{root}/landed/{table}/{feed}"
+
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("Season").parquet(f"{root}/raw/{table}"))
+        spark = batch.sparkSession
+        (batch.withColumn("_epoch", F.lit(epoch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("_epoch").parquet(landed))
+        every = spark.read.schema(batch.schema.add("_epoch", "long")).parquet(landed)
+        present = F.trim("Season") != ""
+        seasons = [r[0] for r in every.filter((F.col("_epoch") == epoch_id) & present).select("Season").distinct().collect()]
+        rows = every.filter(F.col("Season").isin(seasons)).drop("_epoch")
+        replace_partitions(spark, rows, f"{root}/raw/{table}", "Season", seasons)
         if after is not None:
             after(epoch_id)
     return handle
@@ -44,9 +56,10 @@ def start_season_feed(spark: SparkSession, incoming_dir: str, root: str, table:
                       checkpoint: str | None = None, available_now: bool = True,
                       after: Callable[[int], None] | None = None):
     """Start the feed; ``available_now`` processes what is there and stops."""
-    ckpt = checkpoint or f"{checkpoint_dir(spark)}/season_feed_{table}"
+    feed = hashlib.sha256(incoming_dir.rstrip("/").encode()).hexdigest()[:16]
+    ckpt = checkpoint or f"{root}/feeds/{table}/{feed}"
     writer = (season_stream(spark, incoming_dir, table).writeStream
-              .foreachBatch(replace_seasons_batch(root, table, after))
+              .foreachBatch(replace_seasons_batch(root, table, feed, after))
               .option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="1 minute")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from courtline.schemas import OPP_STATS, STATS16
+from oracle.fixture import _STAT_LIST as STATS16, _OPPOSED as OPP_STATS
 from oracle.queries import reg
 
 CUT = 1998
@@ -201,7 +201,7 @@ reg("team_share", f"SELECT {_PSJ}, " + ", ".join(
     f"ROUND({div(d('p_' + s), d('tm_' + s))}, 6) AS {s}_share"
     for s in ["pts", "reb", "ast", "stl", "blk"]) + f" FROM ({_PT})")
 reg("current_team",
-    "SELECT dp.player_id, CASE WHEN COALESCE(dp.to_year, 0) < (SELECT MAX(year) FROM team_boxscores) "
+    "SELECT dp.player_id, CASE WHEN COALESCE(dp.to_year, 0) < (SELECT MAX(year) FROM dim_seasons) "
     "THEN 'Retired' ELSE lt.latest_team END AS current_team FROM dim_players dp LEFT JOIN ("
     " SELECT k.player_id, n.latest_team FROM ("
     "  SELECT pb.player_id, CASE WHEN COUNT(DISTINCT pb.team_year_key) = 1 "

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from courtline.schemas import OPP_STATS, STATS16
-from oracle.fixture import fold_sql, with_ctes
+from oracle.fixture import _STAT_LIST as STATS16, _OPPOSED as OPP_STATS
+from oracle.fixture import fold_sql, with_ctes  # noqa: E402
 
 SQL: dict[str, str] = {}
 
@@ -96,23 +96,20 @@ reg("check_selfjoin_parity",
     "SELECT 'opponent_join' AS source, COUNT(*) AS n FROM v_team t JOIN v_team o "
     "ON t.game_id = o.game_id AND t.team_id <> o.team_id "
     "UNION ALL SELECT 'v_team_boxscores', COUNT(*) FROM v_team")
-reg("check_homonyms",
-    "SELECT player_name, player_id, birthdate FROM dim_players WHERE player_name IN "
-    "(SELECT player_name FROM dim_players GROUP BY player_name HAVING COUNT(*) > 1)")
+reg("check_homonyms", "SELECT player_name, player_id, birthdate FROM dim_players WHERE player_name IS NOT NULL "
+                      "QUALIFY count(*) OVER (PARTITION BY player_name) > 1")
 reg("check_dup_dim", "SELECT player_id, COUNT(*) AS count FROM dim_players "
                      "GROUP BY player_id HAVING COUNT(*) > 1")
 
 
-def _pct(cond: str) -> str:
-    return (f"CAST((2000 * COUNT(*) FILTER (WHERE {cond}) + COUNT(*)) // (2 * COUNT(*)) "
-            f"AS DOUBLE) / 10")
+def _missing(c: str) -> str:
+    """Percent of NULLs to one place, half up, from the rows and the non-NULL ones."""
+    return f"CAST((2000 * (count(*) - count({c})) + count(*)) // (2 * count(*)) AS DOUBLE) / 10"
 
 
-reg("check_completeness",
-    "SELECT CAST(LEFT(season, 4) AS INT) AS year, COUNT(*) AS games, "
-    + ", ".join(f"{_pct(c + ' IS NULL')} AS pct_missing_{c}"
-                for c in ["oreb", "dreb", "stl", "blk", "tov"])
-    + " FROM v_team GROUP BY 1")
+reg("check_completeness", f"SELECT CAST(season[1:4] AS INT) AS year, count(*) AS games, "
+    + ", ".join(f"{_missing(c)} AS pct_missing_{c}" for c in ["oreb", "dreb", "stl", "blk", "tov"])
+    + " FROM v_team GROUP BY year ORDER BY year")
 reg("check_dim_parity",
     "SELECT 'dim_players' AS source, COUNT(*) AS n FROM dim_players "
     "UNION ALL SELECT 'v_bios', COUNT(*) FROM v_bios")
@@ -121,24 +118,49 @@ reg("check_dups_native",
     "GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1", ctes=False)
 reg("check_missing_native",
     "SELECT d.lang, COUNT(*) AS games, "
-    + ", ".join(f"{_pct('l.' + c + ' IS NULL')} AS pct_missing_{c}" for c in ["quality", "toxic"])
+    + ", ".join(f"{_missing('l.' + c)} AS pct_missing_{c}" for c in ["quality", "toxic"])
     + " FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.lang", ctes=False)
 
 
 import oracle.measures_sql  # noqa: E402,F401  (registers measure SQL)
 
 # ---- season refresh -------------------------------------------------------------------
-_STALE = ("raw_stale AS (SELECT * FROM raw_team WHERE NOT (\"Season\" = (SELECT MAX(\"Season\") "
-          "FROM raw_team) AND CAST(\"GAME_DATE\" AS DATE) > (SELECT MAX(CAST(\"GAME_DATE\" AS DATE)) "
-          "FROM raw_team) - 30)), "
-          "raw_fresh AS (SELECT * FROM raw_team WHERE \"Season\" = (SELECT MAX(\"Season\") FROM raw_team)), "
-          "raw_refreshed AS (SELECT * FROM raw_stale WHERE \"Season\" IS DISTINCT FROM "
-          "(SELECT MAX(\"Season\") FROM raw_team) UNION ALL SELECT * FROM raw_fresh)")
-reg("refresh_season", "__EXTRA__, " + _STALE + "__SELECT__SELECT * FROM raw_refreshed")
-reg("refresh_equals_rebuild", "__EXTRA__, " + _STALE + "__SELECT__"
-    "SELECT 'only_left' AS side, COUNT(*) AS n FROM (SELECT * FROM raw_refreshed EXCEPT ALL "
-    "SELECT * FROM raw_team) UNION ALL SELECT 'only_right', COUNT(*) FROM (SELECT * FROM raw_team "
-    "EXCEPT ALL SELECT * FROM raw_refreshed)")
+# The raw rows as the refresh must leave them: other seasons as they were, of the current one
+# the games of the new load, with its corrected points.
+def _after_refresh(table: str) -> str:
+    last = f'(SELECT max("Season") FROM raw_team_loaded)'
+    return (f'{table} AS (SELECT * REPLACE (CASE WHEN "Season" = {last} AND trim("PTS") <> \'\' '
+            f'THEN CAST(CAST(trim("PTS") AS BIGINT) + 1 AS VARCHAR) ELSE "PTS" END AS "PTS") FROM {table}_loaded '
+            f'WHERE ("Season" = {last} AND CAST("GAME_ID" AS BIGINT) % 5 = 0) IS NOT TRUE)')
+
+
+def reg_refreshed(name: str, select_sql: str) -> None:
+    sql = with_ctes(select_sql)
+    for t in ("raw_player", "raw_team"):
+        sql = sql.replace(f"\n{t} AS (", f"\n{t}_loaded AS (", 1)
+    head, tail = sql.split("\nraw_bios AS (", 1)
+    SQL[name] = f"{head}\n{_after_refresh('raw_player')},\n{_after_refresh('raw_team')},\nraw_bios AS ({tail}"
+
+
+reg_refreshed("refresh_season", "SELECT * FROM raw_team")
+reg_refreshed("refresh_season_players", 'SELECT * EXCLUDE ("SEASON_ID", "PLAYER_NAME", "TEAM_ABBREVIATION", "TEAM_NAME") FROM raw_player')
+reg_refreshed("refresh_equals_rebuild", _replace("team_boxscores", STATS16 + _OPP))
+reg_refreshed("refresh_player_fact", _replace("player_boxscores", STATS16))
+reg_refreshed("refresh_dim_players", "SELECT * FROM dim_players")
+
+# ---- CSV files ------------------------------------------------------------------------
+for _name in ("bios", "player", "team"):
+    SQL[f"csv_{_name}"] = SQL[f"staging_{_name}"]
+
+# ---- season rates ---------------------------------------------------------------------
+reg("season_rates",
+    "SELECT player_id, year, count(*) AS gp, CAST(sum(min) AS BIGINT) AS min, "
+    + ", ".join(f"round(CAST(sum({c}) AS DOUBLE) / count(*), 6) AS {c}_pg" for c in STATS16)
+    + ", round(CAST(sum(fgm) - sum(fg3m) AS DOUBLE) / count(*), 6) AS fg2m_pg"
+      ", round(CAST(sum(fga) - sum(fg3a) AS DOUBLE) / count(*), 6) AS fg2a_pg"
+      ", round(CAST(50 * sum(pts) AS DOUBLE) / nullif(100 * sum(fga) + 44 * sum(fta), 0), 6) AS ts"
+      ", CAST(sum(dd2) AS BIGINT) AS dd2, CAST(sum(td3) AS BIGINT) AS td3 "
+      "FROM player_boxscores GROUP BY player_id, year HAVING sum(min) >= 1000")
 
 # ---- operators on native tables -------------------------------------------------------
 reg("opponent_join_native",
@@ -155,14 +177,12 @@ reg("backfill_native",
     "ROUND(SUM(l_extendedprice * (1 - l_discount) * (1 + l_tax)), 2) AS o_totalprice FROM lineitem "
     "GROUP BY 1) a ON b.o_orderkey = a.o_orderkey", ctes=False)
 reg("signature_native",
-    "WITH w AS (SELECT o.o_custkey, p.p_brand, p.p_type, CAST(SUM(l.l_quantity) AS BIGINT) AS qty "
-    "FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p "
-    "ON l.l_partkey = p.p_partkey GROUP BY 1, 2, 3), "
-    "bt AS (SELECT o_custkey, p_brand, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY SUM(qty) "
-    "DESC NULLS LAST, p_brand ASC) AS rk FROM w GROUP BY 1, 2), "
-    "tl AS (SELECT w.*, ROW_NUMBER() OVER (PARTITION BY w.o_custkey ORDER BY w.qty DESC NULLS LAST, "
-    "w.p_type ASC) AS rk2 FROM w JOIN bt ON w.o_custkey = bt.o_custkey AND w.p_brand = bt.p_brand "
-    "WHERE bt.rk = 1) SELECT o_custkey, p_brand, p_type, qty FROM tl WHERE rk2 = 1", ctes=False)
+    "WITH amounts AS (SELECT o_custkey, p_brand, p_type, CAST(sum(l_quantity) AS BIGINT) AS qty FROM lineitem "
+    "JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY ALL), "
+    "mains AS (SELECT o_custkey, min(row(-qty, p_brand))[2] AS p_brand FROM "
+    "(SELECT o_custkey, p_brand, sum(qty) AS qty FROM amounts GROUP BY ALL) GROUP BY o_custkey) "
+    "SELECT o_custkey, p_brand, min(row(-qty, p_type))[2] AS p_type, max(qty) AS qty "
+    "FROM amounts JOIN mains USING (o_custkey, p_brand) GROUP BY ALL", ctes=False)
 reg("percentile_native",
     "WITH po AS (SELECT l_orderkey, SUM(l_quantity) AS q FROM lineitem GROUP BY 1), "
     "r AS (SELECT o.o_custkey, year(o.o_orderdate) AS year, CAST(SUM(po.q) AS DOUBLE) AS qty, "

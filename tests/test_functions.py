@@ -88,3 +88,13 @@ def test_stat_cast_rounds_half_up(spark):
     df = spark.createDataFrame([("35.5",), (" 7 ",)], "PTS string")
     got = [r[0] for r in typed_staging(df, [("pts", "PTS", "stat")]).collect()]
     assert [int(x) for x in got] == [36, 7]
+
+
+def test_accents_fold_in_every_latin_block(spark):
+    from courtline.functions.text import fold_accents, fold_accents_py
+    cases = {"Nguyễn Ạ": "Nguyen A", "Ŋ ƒ": "N f", "Ǽ ǣ": "AE ae", "Ɱ ꝉ": "M l", "Łódź": "Lodz", "ḹ ẞ": None}
+    for text, plain in cases.items():
+        if plain:
+            assert fold_accents_py(text) == plain
+    df = spark.createDataFrame([(t,) for t in cases], "t string").select("t", fold_accents("t").alias("f"))
+    assert all(r.f == fold_accents_py(r.t) for r in df.collect())
