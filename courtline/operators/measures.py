@@ -65,10 +65,30 @@ def _d(c: str) -> Column:
 
 
 # ---- additive totals ---------------------------------------------------------------
+#: What every scope of a measure is a union of: an entity's games for one team, season and season type.
+KEY = ["year", "season_type_key", "year_type_team_key"]
+
+
+def player_sums(player_fct: DataFrame) -> DataFrame:
+    """The player fact's sums per player and key: one scan, from which all scopes are summed on.
+
+    Every measure reads a fact through such sums only, so it takes this table in the fact's place.
+    """
+    return player_fct.groupBy("player_id", *KEY).agg(*[F.sum(c).alias(c) for c in STATS16])
+
+
+def team_sums(team_fct: DataFrame) -> DataFrame:
+    """The team fact's sums and number of ``games`` per team and key, in the fact's place likewise."""
+    return team_fct.groupBy("team_id", *KEY).agg(
+        F.count(F.lit(1)).alias("games"), *[F.sum(c).alias(c) for c in STATS16],
+        *[F.sum(f"opp_{c}").alias(f"opp_{c}") for c in OPP_STATS])
+
+
 def team_totals(team_fct: DataFrame, keys: list[str]) -> DataFrame:
-    """Team-fact sums as tm_* / opp_* plus ``tm_gp`` (row count) per ``keys``."""
+    """Team-fact sums as tm_* / opp_* plus ``tm_gp`` (games) per ``keys``."""
+    games = F.sum("games") if "games" in team_fct.columns else F.count(F.lit(1))
     return team_fct.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("tm_gp"),
+        games.alias("tm_gp"),
         *[F.sum(c).alias(f"tm_{c}") for c in STATS16],
         *[F.sum(f"opp_{c}").alias(f"opp_{c}") for c in OPP_STATS])
 
@@ -125,8 +145,7 @@ def league_scope(player_fct: DataFrame, team_fct: DataFrame, grain: list[str]) -
     lp = player_totals(player_fct, pair_keys, "lp_")
     totals = lg.join(lp, pair_keys, "left")
     value_cols = [c for c in totals.columns if c not in pair_keys]
-    # one row per (season, season type): bounded by the calendar, never by the data
-    pairs = league_pairs(player_fct, grain, F.broadcast(totals))
+    pairs = league_pairs(player_fct, grain, totals)
     return pairs.groupBy(*grain).agg(*[F.sum(c).alias(c) for c in value_cols])
 
 

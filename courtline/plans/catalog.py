@@ -301,38 +301,38 @@ def _measures():
 
 def _per(spark, sf_dir, grain=PLAYER_SEASON):
     m = model(spark, sf_dir)
-    return _measures().per_frame(m["player_boxscores"], m["team_boxscores"], grain,
+    return _measures().per_frame(m["player_sums"], m["team_sums"], grain,
                                  cutoff=FIXTURE_CUTOFF, mpg_floor=FIXTURE_MPG_FLOOR)
 
 
 @query("tm_gp")
 def tm_gp(spark, sf_dir):
-    return present(_measures().team_games(model(spark, sf_dir)["team_boxscores"], TEAM_SEASON)
+    return present(_measures().team_games(model(spark, sf_dir)["team_sums"], TEAM_SEASON)
                    .select(*TEAM_SEASON, "tm_gp"))
 
 
 @query("mov")
 def mov(spark, sf_dir):
-    return present(_measures().team_games(model(spark, sf_dir)["team_boxscores"], TEAM_SEASON)
+    return present(_measures().team_games(model(spark, sf_dir)["team_sums"], TEAM_SEASON)
                    .select(*TEAM_SEASON, "mov"))
 
 
 @query("ts_pct")
 def ts_pct(spark, sf_dir):
-    return present(_measures().true_shooting(model(spark, sf_dir)["player_boxscores"],
+    return present(_measures().true_shooting(model(spark, sf_dir)["player_sums"],
                                              PLAYER_SEASON, FIXTURE_CUTOFF))
 
 
 @query("tm_poss")
 def tm_poss(spark, sf_dir):
-    return present(_measures().team_possessions(model(spark, sf_dir)["team_boxscores"],
+    return present(_measures().team_possessions(model(spark, sf_dir)["team_sums"],
                                                 TEAM_SEASON, FIXTURE_CUTOFF)
                    .select(*TEAM_SEASON, "tm_poss"))
 
 
 @query("pace")
 def pace_q(spark, sf_dir):
-    return present(_measures().team_possessions(model(spark, sf_dir)["team_boxscores"],
+    return present(_measures().team_possessions(model(spark, sf_dir)["team_sums"],
                                                 TEAM_SEASON, FIXTURE_CUTOFF)
                    .select(*TEAM_SEASON, "pace"))
 
@@ -357,6 +357,12 @@ def per(spark, sf_dir):
     return present(_per(spark, sf_dir).select(*PLAYER_SEASON, "per"))
 
 
+@query("per_season")
+def per_season(spark, sf_dir):
+    """PER over all games of a season: its league scope takes both season types."""
+    return present(_per(spark, sf_dir, ["player_id", "year"]))
+
+
 @query("per_career")
 def per_career(spark, sf_dir):
     return present(_per(spark, sf_dir, ["player_id"]))
@@ -364,20 +370,20 @@ def per_career(spark, sf_dir):
 
 @query("four_factors")
 def four_factors_q(spark, sf_dir):
-    return present(_measures().four_factors(model(spark, sf_dir)["team_boxscores"],
+    return present(_measures().four_factors(model(spark, sf_dir)["team_sums"],
                                             TEAM_SEASON, FIXTURE_CUTOFF))
 
 
 @query("ratings")
 def ratings_q(spark, sf_dir):
-    return present(_measures().ratings(model(spark, sf_dir)["team_boxscores"], TEAM_SEASON,
+    return present(_measures().ratings(model(spark, sf_dir)["team_sums"], TEAM_SEASON,
                                        FIXTURE_CUTOFF))
 
 
 @query("usage")
 def usage_q(spark, sf_dir):
     m = model(spark, sf_dir)
-    return present(_measures().usage_and_share(m["player_boxscores"], m["team_boxscores"],
+    return present(_measures().usage_and_share(m["player_sums"], m["team_sums"],
                                                PLAYER_SEASON, FIXTURE_CUTOFF)
                    .select(*PLAYER_SEASON, "usg_pct"))
 
@@ -385,7 +391,7 @@ def usage_q(spark, sf_dir):
 @query("team_share")
 def team_share(spark, sf_dir):
     m = model(spark, sf_dir)
-    return present(_measures().usage_and_share(m["player_boxscores"], m["team_boxscores"],
+    return present(_measures().usage_and_share(m["player_sums"], m["team_sums"],
                                                PLAYER_SEASON, FIXTURE_CUTOFF)
                    .drop("usg_pct"))
 
@@ -568,5 +574,5 @@ def latest_state_native(spark, sf_dir):
 @query("ws_48")
 def ws_48(spark, sf_dir):
     m = model(spark, sf_dir)
-    return present(_measures().win_shares_frame(m["player_boxscores"], m["team_boxscores"],
+    return present(_measures().win_shares_frame(m["player_sums"], m["team_sums"],
                                                 PLAYER_SEASON, FIXTURE_CUTOFF))

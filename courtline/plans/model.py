@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtline.operators import derived, dims, facts
+from courtline.operators import derived, dims, facts, measures
 from courtline.sources import lookups
 from courtline.sources.raw import read_table, write_table
 
@@ -24,7 +24,9 @@ LOOKUP_TABLES = ["country_codes", "name_overrides", "dim_season_type", "team_log
 # Model tables partitioned by season year: season-local, so one season can be rewritten.
 #: The bios columns that facts depend on, as the stored facts have seen them.
 BIOS_SEEN = "bios_seen"
-PARTITIONED_BY_YEAR = {"player_boxscores", "team_boxscores_base", "team_boxscores"}
+#: Sums of the facts that the measures read; kept by a store, no part of the warehouse's tables.
+SUMS = ["player_sums", "team_sums"]
+PARTITIONED_BY_YEAR = {"player_boxscores", "team_boxscores_base", "team_boxscores", *SUMS}
 
 
 class Model:
@@ -43,7 +45,7 @@ class Model:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._memo:
             build = getattr(self, "_" + name)
-            if self.store is not None and name in MODEL_ORDER:
+            if self.store is not None and name in MODEL_ORDER + SUMS:
                 self._memo[name] = self.store.materialize(
                     name, build, ["year"] if name in PARTITIONED_BY_YEAR else None)
             else:
@@ -120,6 +122,13 @@ class Model:
         self.prefetch("team_boxscores_base", "player_boxscores")
         return facts.team_fact(self["team_boxscores_base"], self["team_boxscores_agg"])
 
+    # sums for measures
+    def _player_sums(self):
+        return measures.player_sums(self["player_boxscores"])
+
+    def _team_sums(self):
+        return measures.team_sums(self["team_boxscores"])
+
     # derived
     def _player_signature_team(self):
         self.prefetch("player_boxscores", "dim_teams")

@@ -151,6 +151,9 @@ def reg_per(name: str, grain: list[str], cols: str) -> None:
 
 for _m in ["u_per", "a_per", "lga_per", "per"]:
     reg_per(_m, _PS, f"{_PSJ}, ROUND({_m}, 6) AS {_m}")
+reg_per("per_season", ["player_id", "year"],
+        "player_id, year, ROUND(u_per, 6) AS u_per, ROUND(a_per, 6) AS a_per, "
+        "ROUND(lga_per, 6) AS lga_per, ROUND(per, 6) AS per")
 reg_per("per_career", ["player_id"],
         "player_id, ROUND(u_per, 6) AS u_per, ROUND(a_per, 6) AS a_per, "
         "ROUND(lga_per, 6) AS lga_per, ROUND(per, 6) AS per")
