@@ -40,10 +40,10 @@ def impact_by_logo(player_fct: DataFrame, dim_teams_df: DataFrame) -> DataFrame:
     """Points plus minutes per player x team x era name x logo (missing counts as 0)."""
     dt = dim_teams_df.select("year", "team_id", "team_name", F.col("logo_by_year").alias("logo"))
     impact = F.sum(F.coalesce(F.col("pts"), F.lit(0)) + F.coalesce(F.col("min"), F.lit(0)))
-    return (player_fct.select("player_id", "team_id", "year", "pts", "min")
-            .join(dt, ["year", "team_id"])
-            .groupBy("player_id", "team_id", "team_name", "logo")
-            .agg(impact.alias("impact")))
+    # summed to team-years first: the dimension meets a row per season, not one per game
+    seasons = player_fct.groupBy("player_id", "team_id", "year").agg(impact.alias("impact"))
+    return (seasons.join(dt, ["year", "team_id"]).groupBy("player_id", "team_id", "team_name", "logo")
+            .agg(F.sum("impact").alias("impact")))
 
 
 def signature_team(player_fct: DataFrame, dim_teams_df: DataFrame) -> DataFrame:

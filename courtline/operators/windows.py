@@ -2,12 +2,13 @@
 
 ``percent_rank() OVER (PARTITION BY p ORDER BY v)`` sorts each partition in a single
 task: if one period holds a third of all rows, that task holds a third of the data.
-Here each partition's values are first cut into ranges by approximate quantiles
-(``percentile_approx``); rows are ranked inside their (partition, range) and the
-counts of the lower ranges are added back.  Equal values always fall into the same
-range, so the result is the exact SQL ``PERCENT_RANK`` with ascending order and NULLs
-last: (number of smaller values) / (partition rows - 1), and 0 for a one-row
-partition.  The quantiles only decide how the work is split, never the answer.
+Here the rows are first counted per (partition, value), map-side, so ties and NULLs are one
+row however many there are.  The distinct values of a partition are cut into ranges by approximate
+quantiles (``percentile_approx``); counts are summed up inside their range, the counts of
+the lower ranges are added, and the rank of a value is joined back to its rows.  The result is
+the exact SQL ``PERCENT_RANK`` with ascending order and NULLs last: (number of smaller values) /
+(partition rows - 1), and 0 for a one-row partition.  The quantiles only decide how the work is
+split, never the answer.
 """
 
 from __future__ import annotations
@@ -18,40 +19,37 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKETS = 16
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+    """An inner join in which NULL equals NULL; the columns are the left ones."""
+    right = right.withColumnsRenamed({c: f"_r_{c}" for c in columns})
+    same = [left[c].eqNullSafe(right[f"_r_{c}"]) for c in columns]
+    return left.join(right, same).drop(*[f"_r_{c}" for c in columns])
+
+
 def bucketed_percent_rank(df: DataFrame, partition_cols: list[str], value_col: str,
                           out_col: str, num_buckets: int = DEFAULT_BUCKETS,
                           scale: float = 1.0) -> DataFrame:
     """Append ``out_col`` = PERCENT_RANK of ``value_col`` (ASC, NULLS LAST) * ``scale``."""
-    k = max(int(num_buckets), 1)
-    fractions = [i / k for i in range(1, k)]
-    parts = list(partition_cols)
-    v = F.col(value_col)
-    if fractions:
-        bounds = df.groupBy(*parts).agg(
-            F.percentile_approx(v, fractions).alias("_bounds"))
-        with_b = df.join(bounds, parts, "left")
+    k, parts, v = max(int(num_buckets), 1), list(partition_cols), F.col(value_col)
+    values = df.groupBy(*parts, value_col).agg(F.count(F.lit(1)).alias("_rows"))
+    bucket = F.when(v.isNull(), F.lit(k)).otherwise(F.lit(0))
+    if k > 1:
+        bounds = values.groupBy(*parts).agg(F.percentile_approx(v, [i / k for i in range(1, k)]).alias("_bounds"))
+        values = _null_safe_join(values, bounds, parts)
         bucket = F.when(v.isNull(), F.lit(k)).otherwise(
-            F.coalesce(F.size(F.filter(F.col("_bounds"), lambda b: b < v)), F.lit(0)))
-    else:
-        with_b = df.withColumn("_bounds", F.lit(None))
-        bucket = F.when(v.isNull(), F.lit(1)).otherwise(F.lit(0))
-    with_b = with_b.withColumn("_bucket", bucket.cast("int")).drop("_bounds")
-
-    local = with_b.withColumn(
-        "_local_rank",
-        F.rank().over(Window.partitionBy(*parts, "_bucket").orderBy(v.asc_nulls_last())))
-    counts = with_b.groupBy(*parts, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    below = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
-    counts = counts.select(
-        *parts, "_bucket",
-        F.coalesce(F.sum("_cnt").over(below), F.lit(0)).alias("_offset"),
-        F.sum("_cnt").over(Window.partitionBy(*parts)).alias("_n"))
-    j = local.join(counts, parts + ["_bucket"])
-    smaller = (F.col("_offset") + F.col("_local_rank") - 1).cast("double")
+            F.coalesce(F.size(F.filter("_bounds", lambda b: b < v)), F.lit(0)))
+    values = values.withColumn("_bucket", bucket.cast("int")).drop("_bounds")
+    before = lambda by, order: F.coalesce(F.sum("_rows").over(
+        Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = values.groupBy(*parts, "_bucket").agg(F.sum("_rows").alias("_rows"))
+    ranges = ranges.select(*parts, "_bucket", before(parts, F.col("_bucket")).alias("_lower"),
+                           F.sum("_rows").over(Window.partitionBy(*parts)).alias("_n"))
+    inside = before([*parts, "_bucket"], v.asc_nulls_last())
+    ranked = _null_safe_join(values.withColumn("_inside", inside).drop("_rows"), ranges, [*parts, "_bucket"])
+    smaller = (F.col("_lower") + F.col("_inside")).cast("double")
     pr = F.when(F.col("_n") <= 1, F.lit(0.0)).otherwise(smaller / (F.col("_n") - 1))
-    out = pr * F.lit(scale) if scale != 1.0 else pr
-    return j.withColumn(out_col, out).drop("_bucket", "_local_rank", "_offset", "_n")
+    ranked = ranked.select(*parts, value_col, (pr * F.lit(scale) if scale != 1.0 else pr).alias(out_col))
+    return _null_safe_join(df, ranked, [*parts, value_col])
 
 
 def percent_rank_window(df: DataFrame, partition_cols: list[str], value_col: str,
@@ -60,15 +58,3 @@ def percent_rank_window(df: DataFrame, partition_cols: list[str], value_col: str
     w = Window.partitionBy(*partition_cols).orderBy(F.col(value_col).asc_nulls_last())
     pr = F.percent_rank().over(w)
     return df.withColumn(out_col, pr * F.lit(scale) if scale != 1.0 else pr)
-
-
-def percent_rank_exact(df: DataFrame, partition_cols: list[str], value_col: str,
-                       out_col: str, scale: float = 1.0,
-                       num_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    return bucketed_percent_rank(df, partition_cols, value_col, out_col, num_buckets, scale)
-
-
-def top1_per_group(df: DataFrame, partition_cols: list[str], order: list) -> DataFrame:
-    """ROW_NUMBER() = 1 per group; Catalyst plans a WindowGroupLimit before the sort."""
-    w = Window.partitionBy(*partition_cols).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

@@ -208,6 +208,17 @@ def bi_export(spark, sf_dir):
     return bi_projection(model(spark, sf_dir)["team_boxscores"], "team_boxscores")
 
 
+def _export(table: str):
+    def export(spark, sf_dir):
+        from courtline.sources.sinks import bi_projection
+        return bi_projection(present(model(spark, sf_dir)[table]), table)
+    return export
+
+
+for _table in ("player_boxscores", "dim_players", "dim_teams", "dim_seasons"):
+    REGISTRY[f"bi_export_{_table}"] = _export(_table)
+
+
 # ---- data-quality checks (DQ1-DQ10) ---------------------------------------------------
 def _checks():
     from courtline.operators import checks

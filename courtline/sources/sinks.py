@@ -16,6 +16,17 @@ _COMMON = {
 EXPORT_NAMES = {
     "team_boxscores": _COMMON,
     "player_boxscores": {**_COMMON, "player_id": "Player_ID", "age": "Age"},
+    "dim_players": {
+        "player_id": "Player_ID", "player_name": "Player", "birthdate": "Birthdate", "school": "School", "country": "Country",
+        "height": "Height (in)", "height_cm": "Height (cm)", "weight": "Weight (lbs)", "weight_kg": "Weight (kg)",
+        "season_exp": "Seasons", "jersey": "Jersey", "position": "Position", "from_year": "Played From", "to_year": "Played To",
+        "draft_year": "Draft Year", "draft_round": "Draft Round", "draft_number": "Draft Number", "player_img": "Player Image",
+        "country_flag": "Country Flag", "main_team_id": "Main_Team_ID", "main_team_name": "Main Team", "main_logo": "Main Logo",
+    },
+    "dim_teams": {"team_id": "Team_ID", "team_abbreviation": "Abbreviation", "team_name": "Team", "year": "Year",
+                  "team_year_key": "Team_Year_Key", "logo_by_year": "Logo"},
+    "dim_seasons": {"year": "Year", "season": "Season"},
+    "dim_season_type": {"season_type_key": "Season_Type_Key", "season_type": "Season Type"},
 }
 
 

@@ -77,6 +77,25 @@ reg("bi_export", "SELECT " + ", ".join(
     + [f'CAST({c} AS BIGINT) AS "{c.upper()}"' for c in STATS16 + _OPP])
     + " FROM team_boxscores")
 
+# fixed values: the exported names of the dimensions' columns
+_EXPORTS = {
+    "dim_players": 'player_id AS "Player_ID", player_name AS "Player", birthdate AS "Birthdate", school AS "School", country AS "Country", '
+                   'height AS "Height (in)", height_cm AS "Height (cm)", weight AS "Weight (lbs)", weight_kg AS "Weight (kg)", '
+                   'season_exp AS "Seasons", jersey AS "Jersey", position AS "Position", from_year AS "Played From", '
+                   'to_year AS "Played To", draft_year AS "Draft Year", draft_round AS "Draft Round", '
+                   'draft_number AS "Draft Number", player_img AS "Player Image", country_flag AS "Country Flag", '
+                   'main_team_id AS "Main_Team_ID", main_team_name AS "Main Team", main_logo AS "Main Logo", '
+                   + ", ".join(f'{c}_pctl AS "{c.upper()}_PCTL"' for c in ["pts", "fg2m", "fg3m", "ts", "ast", "reb", "stl", "blk"]),
+    "dim_teams": 'team_id AS "Team_ID", team_abbreviation AS "Abbreviation", team_name AS "Team", year AS "Year", '
+                 'team_year_key AS "Team_Year_Key", logo_by_year AS "Logo"',
+    "dim_seasons": 'year AS "Year", season AS "Season"',
+    "player_boxscores": ", ".join([f'{k} AS "{v}"' for k, v in _EXPORT.items()]
+                                  + ['player_id AS "Player_ID"', 'age AS "Age"', 'dd2 AS "DD2"', 'td3 AS "TD3"']
+                                  + [f'CAST({c} AS BIGINT) AS "{c.upper()}"' for c in STATS16]),
+}
+for _t, _cols in _EXPORTS.items():
+    reg(f"bi_export_{_t}", f"SELECT {_cols} FROM {_t}")
+
 # ---- data-quality checks --------------------------------------------------------------
 reg("check_orphans", "SELECT DISTINCT bs.player_id FROM v_player bs "
                      "LEFT JOIN v_bios bios ON bs.player_id = bios.player_id "
