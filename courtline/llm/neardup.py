@@ -10,9 +10,11 @@ fewer words).  Steps:
 2. Equal sets are one class, stood for by its smallest doc_id; only these go on.
 3. Banding: ``BANDS`` bands of ``ROWS`` places.  In each bucket every member is paired with the
    bucket's smallest id only.  Pairs are checked on full sets, and links grouped by union-find.
-4. Buckets that still hold members of different groups are gone over again: all pairs across groups
-   in small buckets, and in large ones those that meet in a second band too.  Signatures that agree
-   in under ``LEAST_AGREE`` places of ``SLOTS`` are left out (at 0.85 that is 8 deviations away).
+4. Members of buckets that still hold several groups are gone over again, exactly: their shingles are
+   ordered from the rarest, and two sets that reach the similarity must share one of their first few.
+   Pairs of different groups meet on such shingles, and only if what follows in both orders is long
+   enough; so edited copies, whose first shingles are their own, make no pairs with each other.
+   Signatures that agree in under ``LEAST_AGREE`` places are left out (at 0.85 that is 8 deviations away).
    So no link between different texts is lost except by banding, which misses a pair at 0.85 with
    probability (1 - 0.85 ** ROWS) ** BANDS, about 1e-5.
 
@@ -38,7 +40,6 @@ SHINGLE = 5
 SLOTS, ROWS = 100, 5
 BANDS = SLOTS // ROWS
 LEAST_AGREE = 55
-SMALL_BUCKET = 64
 BROADCAST_IDS = 1_000_000  # 8 MB of ids
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -153,19 +154,32 @@ def _linked(percent: int):
     return linked
 
 
+def _texts(docs: DataFrame, ids: DataFrame, tag: str) -> DataFrame:
+    """doc_id and text of the documents in ``ids`` (column doc_id, distinct); other texts do not travel."""
+    if small_enough(ids, BROADCAST_IDS):
+        ids = F.broadcast(ids)
+    return saved(text_of(docs).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), tag)
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the similarity; texts travel only for documents in a pair."""
+    """The pairs whose full sets reach the similarity."""
     pairs = saved(pairs.distinct(), "pairs")
     ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct()
-    if small_enough(ids, BROADCAST_IDS):
-        ids = F.broadcast(ids)
-    texts = saved(text_of(docs).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "pair-texts")
+    texts = _texts(docs, ids, "pair-texts")
     tu = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
     tv = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
     return saved(pairs.join(tv, "v").join(tu, "u").select("u", "v", "text_u", "text_v")
                  .mapInPandas(_linked(percent), "u long, v long"), "links")
 
 
+def _spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    hashes = Words()
+    for b in batches:
+        for doc, text in zip(b["doc_id"].tolist(), b["text"].tolist()):
+            found = shingles(text, hashes).view(np.int64)
+            yield pd.DataFrame({"rep": np.full(len(found), doc), "shingle": found})
+
+
 def _agreeing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         if len(b):
@@ -174,26 +188,30 @@ def _agreeing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield b.loc[(u == v).sum(axis=1) >= LEAST_AGREE, ["u", "v"]]
 
 
-def _rest(rows: DataFrame, groups: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different groups that share a bucket (two, where the bucket is large)."""
-    rows = rows.join(groups, rows.rep == groups.id, "left").drop("id") \
-        .withColumn("component", F.coalesce("component", "rep"))
-    key = ["band", "key"]
-    mixed_buckets = rows.groupBy(*key).agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                           F.count("*").alias("members")).filter("lo < hi").drop("lo", "hi")
-    rows = rows.join(mixed_buckets, key)
-    rows = saved(rows, "mixed-buckets")
-    small = rows.filter(F.col("members") <= SMALL_BUCKET).withColumn("band2", F.lit(-1)).withColumn("key2", F.lit(0).cast("long"))
-    large = rows.filter(F.col("members") > SMALL_BUCKET)
-    second = reps.select(F.col("doc_id").alias("rep"), F.posexplode("bands").alias("band2", "key2"))
-    large = large.join(second, "rep").filter("band2 > band")
-    cols = ["band", "key", "band2", "key2", "rep", "n", "component"]
-    both = small.select(cols).union(large.select(cols))
-    a = both.select("band", "key", "band2", "key2", F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"))
-    b = both.select("band", "key", "band2", "key2", F.col("rep").alias("v"), F.col("n").alias("nv"), F.col("component").alias("cv"))
-    pairs = a.join(b, ["band", "key", "band2", "key2"]).filter(
-        (F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv"))
-        & (100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv"))).select("u", "v").distinct()
+def _rest(rows: DataFrame, groups: DataFrame, reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different groups, both in a bucket of several groups, that may be similar enough (prefix filter)."""
+    rows = rows.join(groups, rows.rep == groups.id, "left").drop("id").withColumn("component", F.coalesce("component", "rep"))
+    several = rows.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    members = saved(rows.join(several.select("band", "key"), ["band", "key"], "left_semi")
+                    .select("rep", "component").distinct(), "open-members")
+    spread = saved(_texts(docs, members.select(F.col("rep").alias("doc_id")), "open-texts")
+                   .mapInPandas(_spread, "rep long, shingle long"), "open-shingles")
+    often = spread.groupBy("shingle").agg(F.count("*").alias("c"))
+    ordered = spread.join(often, "shingle").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("c", "shingle"))).alias("s"))
+    n = F.size("s")
+    first = n - F.ceil(F.lit(percent) * n / 100) + 1  # one of so many is shared
+    tokens = ordered.select("rep", n.alias("n"), F.posexplode(F.slice("s", F.lit(1), first.cast("int"))).alias("at", "x")) \
+        .filter("x.c > 1").join(members, "rep").select("rep", "component", (F.col("n") - F.col("at")).alias("left"), "n", F.col("x.shingle").alias("shingle"))
+    tokens = saved(tokens, "open-tokens")
+    shared = tokens.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").drop("hi")
+    tokens = tokens.join(shared, "shingle")
+    # the members of a shingle's first group need no pairs with each other
+    u, v = (tokens.select("shingle", "lo", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "component", "left", "n")]) for side in "uv")
+    least = F.least("left_u", "left_v")
+    pairs = u.filter("component_u <> lo").join(v.drop("lo"), "shingle").filter(
+        (F.col("component_u") != F.col("component_v")) & ((F.col("component_v") == F.col("lo")) | (F.col("rep_u") < F.col("rep_v")))
+        & (100 * least >= percent * (F.col("n_u") + F.col("n_v") - least)))
+    pairs = pairs.select(F.least("rep_u", "rep_v").alias("u"), F.greatest("rep_u", "rep_v").alias("v")).distinct()
     sig = reps.select("doc_id", "sig")
     pairs = pairs.join(sig.withColumnsRenamed({"doc_id": "u", "sig": "sig_u"}), "u") \
         .join(sig.withColumnsRenamed({"doc_id": "v", "sig": "sig_v"}), "v")
@@ -213,7 +231,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     stars = rows.filter("u <> rep").select("u", F.col("rep").alias("v"))
     links = _verified(stars, docs, percent)
     groups = saved(components(links), "groups")
-    rest = _rest(rows.drop("u"), groups, reps, percent)
+    rest = _rest(rows.drop("u"), groups, reps, docs, percent)
     more = _verified(rest, docs, percent)
     if more.limit(1).count():
         groups = components(links.union(more))
