@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from courtline.llm import decontaminate, licenses, neardup, packing, pii, quality, substrings, toxicity, warc, webtext
+from courtline.llm.oracle_sql import SQL  # noqa: F401
 from courtline.llm.shared import documents, pages
 
 
@@ -60,4 +61,3 @@ QUERIES = {
     "op9_substrings": op9_substrings,
     "op10_main_text": op10_main_text,
 }
-SQL: dict[str, str] = {}
