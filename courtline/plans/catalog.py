@@ -9,8 +9,9 @@ places (summation order differs between engines).
 
 from __future__ import annotations
 
+import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,23 +46,55 @@ def present(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 _MODELS: dict[tuple, object] = {}
-_MODELS_LOCK = __import__("threading").RLock()
+_MODELS_LOCK = threading.RLock()
 
 
-def raw_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The raw layer for ``sf_dir``: the fixture mapping, materialised once per run
-    (the warehouse stores its raw CSV loads; re-deriving them per query would not)."""
-    from courtline.plans.store import session_store
-    store = session_store(spark, sf_dir)
-    # one pass over lineitem: the player-game rows feed raw player, team and logo rows
-    testdata.use_player_games(spark, sf_dir, store.materialize(
-        "fixture_player_games", lambda: testdata.player_games(spark, sf_dir)))
-    fixture = testdata.raw_tables(spark, sf_dir)
-    names = ["bios", "player_boxscores", "team_boxscores", "team_logos"]
-    built = store.materialize_all({f"raw_{n}": (lambda n=n: fixture[n]) for n in names},
-                                  partition_by={"raw_player_boxscores": ["Season"],
-                                                "raw_team_boxscores": ["Season"]})
-    return {n: built[f"raw_{n}"] for n in names}
+class RawLayer(Mapping):
+    """The raw tables of ``sf_dir``, stored when first asked for (the warehouse stores its CSV loads).
+
+    The bios need no game; the box scores and logos are written together, from one pass over the
+    line items.
+    """
+
+    GAMES = ("player_boxscores", "team_boxscores", "team_logos")
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        from courtline.plans.store import session_store
+        self.spark, self.sf_dir, self.store = spark, sf_dir, session_store(spark, sf_dir)
+        self._lock, self._got = threading.RLock(), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        with self._lock:
+            if name not in self._got:
+                self._got |= self._bios() if name == "bios" else self._games()
+            return self._got[name]
+
+    def _bios(self) -> dict[str, DataFrame]:
+        build = lambda: testdata.raw_tables(self.spark, self.sf_dir)["bios"]
+        return {"bios": self.store.materialize("raw_bios", build)}
+
+    def _games(self) -> dict[str, DataFrame]:
+        testdata.use_player_games(self.spark, self.sf_dir, self.store.materialize(
+            "fixture_player_games", lambda: testdata.player_games(self.spark, self.sf_dir)))
+        fixture = testdata.raw_tables(self.spark, self.sf_dir)
+        built = self.store.materialize_all(
+            {f"raw_{n}": (lambda n=n: fixture[n]) for n in self.GAMES},
+            partition_by={"raw_player_boxscores": ["Season"], "raw_team_boxscores": ["Season"]})
+        return {n: built[f"raw_{n}"] for n in self.GAMES}
+
+    def __iter__(self):
+        return iter(("bios", *self.GAMES))
+
+    def __len__(self) -> int:
+        return 1 + len(self.GAMES)
+
+
+def raw_layer(spark: SparkSession, sf_dir: str) -> RawLayer:
+    key = (spark.sparkContext.applicationId, sf_dir, "raw")
+    with _MODELS_LOCK:
+        if key not in _MODELS:
+            _MODELS[key] = RawLayer(spark, sf_dir)
+        return _MODELS[key]
 
 
 def model(spark: SparkSession, sf_dir: str):

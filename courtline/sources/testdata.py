@@ -37,7 +37,7 @@ def _memo(key: tuple, build):
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return _memo((id(spark), sf_dir, "read", name),
+    return _memo((spark.sparkContext.applicationId, sf_dir, "read", name),
                  lambda: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
@@ -56,12 +56,12 @@ def _season_label(y: Column) -> Column:
 
 def player_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed player-game rows (numeric stats with NULL gaps) before text encoding."""
-    return _memo((id(spark), sf_dir, "player_games"), lambda: _player_games(spark, sf_dir))
+    return _memo((spark.sparkContext.applicationId, sf_dir, "player_games"), lambda: _player_games(spark, sf_dir))
 
 
 def use_player_games(spark: SparkSession, sf_dir: str, df: DataFrame) -> None:
     """Serve later fixture builds from ``df`` (e.g. a materialised player_games)."""
-    _PLANS[(id(spark), sf_dir, "player_games")] = df
+    _PLANS[(spark.sparkContext.applicationId, sf_dir, "player_games")] = df
 
 
 def _player_games(spark: SparkSession, sf_dir: str) -> DataFrame:
