@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtline.llm.shared import ship, text_of
+from courtline.llm.shared import bounded_sample, ship, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -260,8 +260,9 @@ def training_windows(texts: list[str], seed: int = 11, made: int = 1200) -> tupl
 
 def trained(docs: DataFrame, sample: int = SAMPLE) -> Tagger:
     """A tagger fitted on at most ``sample`` documents with a digit or at sign, the first by hash of the id."""
-    some = text_of(docs).filter(F.col("text").rlike("[0-9@]")).select(
-        F.substring("text", 1, 4000).alias("text"), F.xxhash64("doc_id").alias("h")).orderBy("h", "text").limit(sample)
+    held = text_of(docs).select("doc_id", F.substring("text", 1, 4000).alias("text"), F.col("text").rlike("[0-9@]").alias("held"))
+    # one document in twenty usually holds one
+    some = bounded_sample(held, "doc_id", sample, among=20 * sample, where="held")
     tagger = Tagger()
     tagger.fit(*training_windows([r["text"] for r in some.collect()]))
     return tagger

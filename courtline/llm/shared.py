@@ -67,6 +67,19 @@ def text_of(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return df.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias(text))
 
 
+def bounded_sample(df: DataFrame, key: str, rows: int, among: int | None = None, where: str = "true") -> DataFrame:
+    """At most ``rows`` rows that meet ``where``, the first by hash of ``key``, whatever the number of tasks.
+
+    A threshold on the hash leaves about ``among`` rows (twice as many as asked for unless given) to
+    choose from, so what the tasks send on does not add up with their number.
+    """
+    total = df.count()
+    h = F.xxhash64(key)
+    share = min(1.0, (among or 2 * rows) / max(1, total))
+    place = (h.cast("double") / F.lit(2.0 ** 64)) + F.lit(0.5)
+    return df.filter(place <= F.lit(share)).filter(where).orderBy(h, *df.columns).limit(rows)
+
+
 def small_enough(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows: the check made before any broadcast hint."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtline.llm.decontaminate import _SEPARATED, char_span
-from courtline.llm.shared import saved, text_of
+from courtline.llm.shared import bounded_sample, saved, text_of
 
 TRAIN_ROWS = 20_000
 PRIOR = 0.05
@@ -172,8 +172,9 @@ def trained(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model
     """The model, from at most ``rows`` labelled documents outside the held-out fold."""
     spark = docs.sparkSession
     key = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
-    some = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (key != 0)) \
-        .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    marked = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (key != 0)) \
+        .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    some = bounded_sample(marked, "doc_id", rows)
     train = saved(text_of(docs).join(F.broadcast(some), "doc_id").select("text", "toxic"), "toxic-train")
     # copies of a text say no more about its words than the text does
     apart = train.groupBy(F.xxhash64("text").alias("h"), F.length("text").alias("n")).agg(
