@@ -196,14 +196,16 @@ def _rest(rows: DataFrame, groups: DataFrame, reps: DataFrame, docs: DataFrame,
                     .select("rep", "component").distinct(), "open-members")
     spread = saved(_texts(docs, members.select(F.col("rep").alias("doc_id")), "open-texts")
                    .mapInPandas(_spread, "rep long, shingle long"), "open-shingles")
-    often = spread.groupBy("shingle").agg(F.count("*").alias("c"))
+    # counts and groups that rows are joined back to are written first, so that Spark can split the join of a hot key
+    often = saved(spread.groupBy("shingle").agg(F.count("*").alias("c")), "open-counts")
     ordered = spread.join(often, "shingle").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("c", "shingle"))).alias("s"))
     n = F.size("s")
     first = n - F.ceil(F.lit(percent) * n / 100) + 1  # one of so many is shared
     tokens = ordered.select("rep", n.alias("n"), F.posexplode(F.slice("s", F.lit(1), first.cast("int"))).alias("at", "x")) \
         .filter("x.c > 1").join(members, "rep").select("rep", "component", (F.col("n") - F.col("at")).alias("left"), "n", F.col("x.shingle").alias("shingle"))
     tokens = saved(tokens, "open-tokens")
-    shared = tokens.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").drop("hi")
+    shared = saved(tokens.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                   .filter("lo < hi").drop("hi"), "open-shared")
     tokens = tokens.join(shared, "shingle")
     # the members of a shingle's first group need no pairs with each other
     u, v = (tokens.select("shingle", "lo", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "component", "left", "n")]) for side in "uv")
@@ -227,7 +229,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     rows = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
     rows = rows.groupBy("rep", "band", "key").agg(F.min("n").alias("n"))  # a doc_id with two texts is one vertex
     buckets = rows.groupBy("band", "key").agg(F.min("rep").alias("u"), F.count("*").alias("members")).filter("members > 1")
-    rows = saved(rows.join(buckets.select("band", "key", "u"), ["band", "key"]), "buckets")
+    buckets = saved(buckets.select("band", "key", "u"), "pivots")
+    rows = saved(rows.join(buckets, ["band", "key"]), "buckets")
     stars = rows.filter("u <> rep").select("u", F.col("rep").alias("v"))
     links = _verified(stars, docs, percent)
     groups = saved(components(links), "groups")
