@@ -44,8 +44,8 @@ WINDOW = 400
 # fixed values: a perfect difference set (each difference modulo 133 occurs once)
 PERIOD, COVER = 133, (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)
 PREFIX = WINDOW - PERIOD + 1
-BLOCK = 4_000_000
-RANGE_BYTES = 48_000_000
+BLOCK = 2_000_000
+RANGE_BYTES = 16_000_000  # of sampled names; of windows four times as much if every byte starts a candidate
 _BASE = 0x2545F4914F6CDD1D
 
 _powers: dict[str, np.ndarray] = {}
@@ -259,25 +259,25 @@ def _first_pass(copies_at: str, ranges: int):
     return run
 
 
-def _second_pass(copies_at: str, first_at: str, ranges: int):
+def _second_pass(copies_at: str, first_at: str, ranges: int, window_ranges: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         copies, first = Sent(copies_at), Sent(first_at)
         for b in batches:
             for r in b.itertuples():
-                yield _cells(r, _candidates(r, copies, first, ranges)[1], ranges)
+                yield _cells(r, _candidates(r, copies, first, ranges)[1], window_ranges)
     return run
 
 
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<first:long,end:long>>"
 
 
-def _last_pass(copies_at: str, first_at: str, second_at: str, ranges: int):
+def _last_pass(copies_at: str, first_at: str, second_at: str, ranges: int, window_ranges: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         copies, first, second = Sent(copies_at), Sent(first_at), Sent(second_at)
         for b in batches:
             for r in b.itertuples():
                 starts, names = _candidates(r, copies, first, ranges)
-                flags, done, runs = _flags(names, ranges, second.of(r.part, r.block)), 0, {}
+                flags, done, runs = _flags(names, window_ranges, second.of(r.part, r.block)), 0, {}
                 for k, n, s in starts:
                     runs[k] = removed(s[flags[done:done + len(s)]], n)
                     done += len(s)
@@ -301,8 +301,9 @@ def repeated_substrings(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed byte spans."""
     table = saved(text_of(docs).mapInPandas(_blocks, BLOCKS), "text-blocks")
     size = table.agg(F.sum(F.octet_length("data").cast("long")).alias("n")).first()["n"] or 0
-    # a byte gives at most len(COVER) / PERIOD sampled names of eight bytes, and about as many windows
+    # a byte gives len(COVER) / PERIOD sampled names of eight bytes, and a window at most
     ranges = max(12, -(-int(size * 8 * len(COVER) / PERIOD) // RANGE_BYTES))
+    window_ranges = max(12, -(-size * 8 // (4 * RANGE_BYTES)))
     each = table.select("part", "block", F.posexplode(F.arrays_zip("digests", "lengths")).alias("place", "x")) \
         .select("part", "block", "place", F.col("x.digests").alias("digest"), F.col("x.lengths").alias("n")).filter(F.col("n") >= WINDOW)
     groups = each.groupBy("digest", "n").agg(F.min(F.struct("part", "block", "place")).alias("head"), F.count("*").alias("c")) \
@@ -312,6 +313,6 @@ def repeated_substrings(docs: DataFrame) -> DataFrame:
     copies_at = _send_back(copies, "copies")
     cells = table.mapInPandas(_first_pass(copies_at, ranges), CELLS)
     first_at = _send_back(cells.groupBy("range").applyInPandas(_repeated, BITS), "repeated-samples")
-    cells = table.mapInPandas(_second_pass(copies_at, first_at, ranges), CELLS)
+    cells = table.mapInPandas(_second_pass(copies_at, first_at, ranges, window_ranges), CELLS)
     second_at = _send_back(cells.groupBy("range").applyInPandas(_repeated, BITS), "repeated-windows")
-    return table.mapInPandas(_last_pass(copies_at, first_at, second_at, ranges), OUT)
+    return table.mapInPandas(_last_pass(copies_at, first_at, second_at, ranges, window_ranges), OUT)
