@@ -44,7 +44,7 @@ WINDOW = 400
 # fixed values: a perfect difference set (each difference modulo 133 occurs once)
 PERIOD, COVER = 133, (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)
 PREFIX = WINDOW - PERIOD + 1
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 RANGE_BYTES = 16_000_000  # of sampled names; of windows four times as much if every byte starts a candidate
 _BASE = 0x2545F4914F6CDD1D
 
