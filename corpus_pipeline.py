@@ -14,8 +14,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    return neardup.one_of_each(docs)
+    """Of each group of documents that share four fifths of their shingles the one with the smallest id stays."""
+    return neardup.one_of_each(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,9 +14,9 @@ fewer words).  Steps:
    ordered from the rarest, and two sets that reach the similarity must share one of their first few.
    Pairs of different groups meet on such shingles, and only if what follows in both orders is long
    enough; so edited copies, whose first shingles are their own, make no pairs with each other.
-   Signatures that agree in under ``LEAST_AGREE`` places are left out (at 0.85 that is 8 deviations away).
-   So no link between different texts is lost except by banding, which misses a pair at 0.85 with
-   probability (1 - 0.85 ** ROWS) ** BANDS, about 1e-5.
+   Signatures that agree in under ``LEAST_AGREE`` places are left out (at 0.85 that is 8 deviations away,
+   at the 0.8 of the pipeline 6).  So no link between different texts is lost except by banding, which misses a
+   pair at 0.85 with probability (1 - 0.85 ** ROWS) ** BANDS, about 1e-5, and one at 0.8 with 4e-4.
 
 Defined cases: null and wordless texts have an empty set and no link; an empty table gives an empty
 result; rows that repeat a doc_id are one vertex and each get their row; a row with a null doc_id

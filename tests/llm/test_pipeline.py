@@ -31,3 +31,11 @@ def test_stages_take_empty_documents(spark):
     docs = documents(spark, SF_SMALL).limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF_SMALL).count() == 0
+
+
+def test_near_copies_between_080_and_085_go(spark):
+    words = [f"n{k}" for k in range(110)]  # two words changed: 96 of 116 shingles are shared, 0.83
+    copy = [f"other{k}" if k in (30, 70) else w for k, w in enumerate(words)]
+    far = [f"far{k}" if k in (30, 50, 70) else w for k, w in enumerate(copy)]  # 0.75 and less
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(copy)), (3, " ".join(far))], "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF_SMALL).collect()} == {1, 3}
