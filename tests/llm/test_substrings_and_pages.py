@@ -69,3 +69,12 @@ def test_what_a_host_repeats_goes(spark):
     assert got[9] == got[10] == "" and got[11].startswith("Welcome") and got[12] == got[None] and got[12].startswith("Real <title>\nFirst")
     assert got[13] == "\n".join(["long text"] * 20_000)
     assert webtext.main_text(pages.limit(0)).count() == 0
+
+
+def test_marks_are_whole_class_or_id_values():
+    page = """<article class="post category-commentary"><h2 id="related-work">Related</h2><section id="search-algorithms"><p>Search</p></section>
+<div id="social-impact">Impact</div><div class="promotion">Promotion</div><h3 class="comment">Heading</h3><section id="skip-list">Skip</section>
+<div class="related-posts">r</div><div class="x comment-list">c</div><div id="sidebar-1">s</div><div class="ads">a</div></article>
+<article class="comment depth-2"><p>Nice post</p></article>"""
+    assert [t for t, zone, _ in webtext.blocks(page) if zone == webtext.MAIN] == ["Related", "Search", "Impact", "Promotion", "Heading", "Skip"]
+    assert [t for t, zone, _ in webtext.blocks('<div class="top-story">Story</div><div class="page-header">Site</div>') if zone == webtext.LOOSE] == ["Story"]
