@@ -71,6 +71,25 @@ def test_what_a_host_repeats_goes(spark):
     assert webtext.main_text(pages.limit(0)).count() == 0
 
 
+def test_large_host_keeps_copies_phrases_and_linked_paragraphs(spark):
+    own = lambda k, n=40: " ".join(f"w{k}_{j}" for j in range(n))
+    foot = "<div>All rights reserved by the company that runs this site since two thousand and four</div>"
+    phrase = "it is what many people say of it on most days of the year"
+    link = f'<p><a href="x">{own("linked", 14)}</a></p>'
+    page = lambda k, body: f"<body><div>menu of {own(f'menu{k}', 3)}</div><p>{body}</p>{foot}</body>"
+    rows = [(k, page(k, own(k)) + (f"<p>{phrase}</p>" if k < 50 else "")) for k in range(2000)]
+    rows += [(5000 + k, page(f"c{k}", own("copied"))) for k in range(3)] + [(6000, page(6000, own(6000)) + link + '<div><a href="y">Home</a></div>')]
+    rows = [(k, "http://large.com/x", h) for k, h in rows]
+    rows += [(7000 + k, "http://small.com/x", page(f"s{k}", own("same" if k < 3 else f"s{k}"))) for k in range(8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in webtext.main_text(pages).collect()}
+    menu = lambda k: f"menu of {own(f'menu{k}', 3)}\n"
+    assert all(got[k] == menu(k) + own(k) + ("\n" + phrase if k < 50 else "") for k in range(2000))
+    assert all(got[5000 + k] == menu(f"c{k}") + own("copied") for k in range(3))
+    assert got[6000] == menu(6000) + own(6000) + "\n" + own("linked", 14)
+    assert all(own("same" if k < 3 else f"s{k}") in got[7000 + k] and "rights" not in got[7000 + k] for k in range(8))
+
+
 def test_marks_are_whole_class_or_id_values():
     page = """<article class="post category-commentary"><h2 id="related-work">Related</h2><section id="search-algorithms"><p>Search</p></section>
 <div id="social-impact">Impact</div><div class="promotion">Promotion</div><h3 class="comment">Heading</h3><section id="skip-list">Skip</section>
