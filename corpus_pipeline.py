@@ -9,13 +9,13 @@ from courtline.llm.shared import documents, saved
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or lie above a fence of their language and source go."""
-    return quality.kept_documents(docs)
+    """Rows whose text fails the base rules or lies above a fence of its language and source go."""
+    return quality.kept_rows(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents that share four fifths of their shingles the one with the smallest id stays."""
-    return neardup.one_of_each(docs, percent=80)
+    return neardup.one_of_each_text(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -259,6 +259,27 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
 def one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
     """The rows of ``docs`` that stand for their group, one per doc_id; null ids stay."""
-    kept = near_duplicates(docs, percent).filter("kept and doc_id is not null").select("doc_id").distinct()
+    # without null ids, pandas holds large ids exactly
+    kept = near_duplicates(docs.filter("doc_id is not null"), percent).filter("kept").select("doc_id").distinct()
     known = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return known.select(*docs.columns).union(docs.filter("doc_id is null").select(*docs.columns))
+
+
+def one_of_each_text(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """As ``one_of_each``, but rows of one doc_id with different texts are vertices of their own.
+
+    The text with the least hash keeps the doc_id as its vertex; the others are known by a 63-bit hash of id
+    and text for as long as groups are formed.
+    """
+    mark = F.xxhash64(F.coalesce("text", F.lit("")))
+    several = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.min(mark).alias("__first"), F.max(mark).alias("__last")) \
+        .filter("__first < __last").select(F.col("doc_id").alias("__id"), "__first")
+    several = saved(several, "repeated-ids")
+    if not several.limit(1).count():
+        return one_of_each(docs, percent)
+    if small_enough(several, BROADCAST_IDS):
+        several = F.broadcast(several)
+    other = F.xxhash64("doc_id", mark).bitwiseAND(F.lit(2 ** 63 - 1))
+    rows = docs.join(several, docs.doc_id == F.col("__id"), "left").withColumn("__own", F.col("doc_id")) \
+        .withColumn("doc_id", F.when(mark > F.col("__first"), other).otherwise(F.col("doc_id")))
+    return one_of_each(rows, percent).select(*[F.col("__own").alias(c) if c == "doc_id" else F.col(c) for c in docs.columns])

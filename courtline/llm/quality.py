@@ -142,20 +142,29 @@ def fences(cells: DataFrame, measures: dict[str, float] = SPREAD) -> DataFrame:
         F.max(F.when(F.col("measure") == m, fence)).alias(f"max_{m}") for m in measures])
 
 
-def quality(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, the base counts, base_failed, kept (see the module's text)."""
+def _judged(docs: DataFrame, keep: list[str], tag: str) -> DataFrame:
+    """``keep`` columns, lang and source among them, the measures, base_failed and kept of each row of ``docs``."""
     base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    table = saved(_shares(measured(docs, ["doc_id", "lang", "source"])).withColumn("base_failed", base_failed),
-                  "quality")
+    table = saved(_shares(measured(docs, keep)).withColumn("base_failed", base_failed), tag)
     limits = fences(sketch(table, ["lang", "source"], list(SPREAD))) \
         .withColumnRenamed("lang", "lang_").withColumnRenamed("source", "source_")
     judged = table.join(limits, table.lang.eqNullSafe(F.col("lang_")) & table.source.eqNullSafe(F.col("source_")), "left")
     above = F.lit(False)
     for m in SPREAD:
         above = above | F.coalesce(F.col(m) > F.col(f"max_{m}"), F.lit(False))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         "base_failed", (~F.col("base_failed") & ~above).alias("kept"),
-                         *[F.col(m) for m in SPREAD])
+    return judged.withColumn("kept", ~F.col("base_failed") & ~above)
+
+
+def quality(docs: DataFrame) -> DataFrame:
+    """Per document: doc_id, the base counts, base_failed, kept (see the module's text)."""
+    return _judged(docs, ["doc_id", "lang", "source"], "quality").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *SPREAD)
+
+
+def kept_rows(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns, each judged by its own text whatever its doc_id."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text", "lang", "source")
+    return _judged(rows, ["row", "lang", "source"], "quality-rows").filter("kept").select("row.*")
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:

@@ -39,3 +39,18 @@ def test_near_copies_between_080_and_085_go(spark):
     far = [f"far{k}" if k in (30, 50, 70) else w for k, w in enumerate(copy)]  # 0.75 and less
     docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(copy)), (3, " ".join(far))], "doc_id long, text string")
     assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF_SMALL).collect()} == {1, 3}
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    own = lambda k: " ".join(f"r{k}_{j}" for j in range(40))
+    rows = [(None, own(0)), (7, own(1)), (7, "too short"), (8, own(2)), (8, own(3)), (8, own(3)), (9, own(2) + " more"), (10, own(4))]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    clean = corpus_pipeline.quality_rules(spark, docs, SF_SMALL)
+    assert clean.columns == docs.columns
+    assert sorted(r.text for r in clean.collect()) == sorted(t for _, t in rows if t != "too short")
+    kept = corpus_pipeline.near_duplicates(spark, clean, SF_SMALL)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    near = [x for x in got if x[1].startswith("r2_")]  # one of rows 8 and 9, which are like each other
+    assert len(near) == 1 and sorted(t for _, t in got if not t.startswith("r2_")) == sorted([own(0), own(1), own(3), own(4)])
+    assert {i for i, t in got if t == own(3)} == {8}
