@@ -12,8 +12,12 @@ per window are looked up among those of the items of its length class.  A start
 word pairs of any item than a match leaves whole (an edit breaks two) cannot match and is skipped.
 Each find is verified by exact edit distance.
 
+The more words a walk crosses, the rarer keys without an edit on the way are.  So an item of over ``WHOLE`` words is looked up by its pieces
+of at most ``PIECE`` words: of a match within the allowed distance some piece is edited no more than its own share, and each
+piece that meets a key leads to the whole item.
+
 An exact copy shares all keys but those whose walk has left the item.  ``recall`` gives the share of edited copies that meet in some key, by
-simulation; at a tenth of the words edited it is above 0.99 (see the tests).
+simulation; up to a fifth of the words edited, the allowed distance, it is above 0.95 whatever the length (see the tests).
 
 Defined cases: null or empty texts hold nothing; items with under ``MIN_WORDS`` words identify nothing
 and are skipped; a null item or doc id stays null in the result; rows repeated in either table repeat
@@ -37,6 +41,7 @@ from courtline.llm.shared import ship, text_of
 MIN_WORDS = 5
 SHARE = 0.2
 WALKS, SAMPLES, SAMPLED = 12, 4, 3
+WHOLE, PIECE = 60, 45
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 16_000_000
 
 _SEPARATED = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -94,21 +99,25 @@ class Index:
         self.share = share
         self.items = [(i, h) for i, t in items if len(h := word_hashes(t or "", hashes)) >= MIN_WORDS]
         self.pairs = np.unique(np.concatenate([_pairs(h) for _, h in self.items])) if self.items else np.empty(0, np.uint64)
-        by_class = defaultdict(list)
+        self.pieces = []  # (item, place in it, words)
         for k, (_, h) in enumerate(self.items):
+            parts = np.array_split(h, 1 if len(h) <= WHOLE else -(-len(h) // PIECE))
+            self.pieces += zip([k] * len(parts), np.cumsum([0, *map(len, parts[:-1])]).tolist(), parts)
+        by_class = defaultdict(list)
+        for k, (_, _, h) in enumerate(self.pieces):
             by_class[int(np.log(len(h)) / np.log(1.25))].append(k)
         self.classes = []
         rng = np.random.default_rng(seed)
         for c, members in sorted(by_class.items()):
-            shortest = min(len(self.items[k][1]) for k in members)
+            shortest = min(len(self.pieces[k][2]) for k in members)
             span = max(SAMPLED, int(1.5 * shortest))  # the walk is then about three quarters through
             draw = [[np.sort(rng.choice(span, SAMPLED, replace=False)) for _ in range(SAMPLES)] for _ in range(WALKS)]
             # the first words of a match, as many as any match in this class has; an edit breaks two pairs at most
-            edits = max(self.allowed(k) for k in members)
-            first = min(len(self.items[k][1]) - self.allowed(k) for k in members)
+            edits = max(int(share * len(self.pieces[k][2])) for k in members)
+            first = min(len(self.pieces[k][2]) - int(share * len(self.pieces[k][2])) for k in members)
             entry = {"draw": draw, "need": first - 1 - 2 * edits, "width": first - 1, "seed": 1000 * c, "tables": []}
-            flat = np.concatenate([np.r_[self.items[k][1], np.zeros(2 * span, np.uint64)] for k in members])
-            at = np.cumsum([0] + [len(self.items[k][1]) + 2 * span for k in members[:-1]])
+            flat = np.concatenate([np.r_[self.pieces[k][2], np.zeros(2 * span, np.uint64)] for k in members])
+            at = np.cumsum([0] + [len(self.pieces[k][2]) + 2 * span for k in members[:-1]])
             for keys in self.keys(entry, flat, at):
                 order = np.argsort(keys, kind="stable")
                 entry["tables"].append((keys[order], np.array(members)[order]))
@@ -135,7 +144,7 @@ class Index:
                 yield key
 
     def found(self, text: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(start, item) candidates in the joined texts ``text``; ``bounds`` are the texts' starts and the end.
+        """(start, piece) candidates in the joined texts ``text``; ``bounds`` are the texts' starts and the end.
         Texts are set apart by zeros, which no item has."""
         pairs = _pairs(text)
         place = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
@@ -168,7 +177,8 @@ def matches(index: Index, texts: list[np.ndarray]) -> list[tuple[int, int, int,
     spots = defaultdict(list)
     for start, k in index.found(joined, bounds):
         d = int(np.searchsorted(bounds, start, "right")) - 1
-        spots[d, k].append(start - int(bounds[d]))
+        item, offset, _ = index.pieces[k]
+        spots[d, item].append(start - int(bounds[d]) - offset)
     out = []
     for (d, k), starts in spots.items():
         item, allowed, best = index.items[k][1], index.allowed(k), None

@@ -69,3 +69,8 @@ def test_blocks_of_items_find_the_same(spark, monkeypatch):
     monkeypatch.setattr(dc, "BLOCK_ITEMS", 4)
     assert {(r.doc_id, r.item_id) for r in dc.contaminated(docs, bench).collect()} == {(k, k) for k in range(9)}
     assert dc.word_hashes("Ab,c-d É", Words()).tolist() == dc.word_hashes("aB c d  É!", Words()).tolist()
+
+
+def test_recall_at_the_allowed_distance_for_all_lengths():
+    for words, trials in ((15, 60), (60, 60), (120, 40), (250, 30), (500, 20)):
+        assert dc.recall(words, int(dc.SHARE * words), trials=trials) >= 0.95
