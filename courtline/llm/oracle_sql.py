@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from courtline.llm import licenses, quality
+from courtline.llm import infill, licenses, merkle, quality
 
 _SPLIT = r"regexp_split_to_array({t}, '[\x20\x09-\x0D]+')"
 
@@ -95,4 +95,90 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(ifnull(n_base, 0) AS BIGI
   if(n_base > 0, 1.0, least(ifnull(cover, 0.0), 1.0)) AS score
 FROM texts LEFT JOIN base b USING (r) LEFT JOIN found f USING (doc_id)"""
 
-SQL = {"op4_warc": WARC, "op6_licenses": LICENSES, "op7_quality": QUALITY}
+
+def _times(text: str, what: str) -> str:
+    return f"(length({text}) - length(replace({text}, {_q(what)}, ''))) // {len(what)}"
+
+
+def _escaped(text: str, *controls: str) -> str:
+    return f"length({text}) + " + " + ".join(_times(text, c) for c in ("\\", "### ", "</turn>", *controls))
+
+
+CHAT = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, ifnull(role, '') AS role, ifnull(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, k, if(k = 0, 'user', 'assistant'), '\### Assistant: </turn> ok' FROM range(2) r(k)),
+sized AS (
+  SELECT *, {_escaped("text")} + 8 + CASE role WHEN 'assistant' THEN 15 WHEN 'user' THEN 10 WHEN 'system' THEN 12
+    ELSE 11 + {_escaped("role", ": ")} END AS chars FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(ifnull(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(ifnull(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id"""
+
+#: crc32 of a decimal number, bit by bit: a digit enters at the first of its eight shifts.
+_CRC = ("xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split({s}, ''), lambda c: [ascii(c), 0, 0, 0, 0, 0, 0, 0]))), "
+        "lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))))")
+
+
+def _levels(name: str, depth: int) -> str:
+    """``depth`` levels above ``name``0 (tree, idx, n, h); a tree that has come to one node is carried on."""
+    f = merkle.FANOUT
+    return ",\n".join(rf"""{name}{k} AS (
+  SELECT tree, idx // {f} AS idx, (max(n) + {f - 1}) // {f} AS n, list(h ORDER BY idx) AS kids, sha256(string_agg(h, '' ORDER BY idx)) AS h
+  FROM {name}{k - 1} WHERE n > 1 GROUP BY tree, idx // {f}
+  UNION ALL SELECT tree, 0, 1, NULL, h FROM {name}{k - 1} WHERE n = 1)""" for k in range(1, depth + 1))
+
+
+def _fold(depth: int, start: str, way: str) -> str:
+    """Columns that gather the siblings and hash upwards along ``way``1, ``way``2, ... (lists of children)."""
+    f, out, acc = merkle.FANOUT, [], start
+    for k in range(1, depth + 1):
+        slot = f"(({way}.idx // {f ** (k - 1)}) % {f})"
+        kids = f"{way}{k}.kids"
+        left, right = f"array_to_string({kids}[1:{slot}], '')", f"array_to_string({kids}[{slot} + 2:], '')"
+        out.append(f"if({kids} IS NULL, '', {left} || {right}) AS {way}_sib{k}")
+        out.append(f"if({kids} IS NULL, {acc}, sha256({left} || {acc} || {right})) AS {way}_f{k}")
+        acc = f"{way}_f{k}"
+    return ", ".join(out)
+
+
+_DEPTH, _TOP = 6, 3  # enough for 8 ** 6 rows of a language and 8 ** 3 languages
+_FIELDS = " || ".join(f"ifnull(strlen(CAST({{{c}}} AS VARCHAR)) || ':' || {{{c}}}, '-')" for c in merkle.FIELDS)
+_OWN = {c: c for c in merkle.FIELDS}
+MANIFEST = rf"""
+WITH hashed AS (
+  SELECT ifnull('=' || lang, '') AS tree, doc_id, sha256({_FIELDS.format(**_OWN)}) AS h,
+    sha256({_FIELDS.format(**_OWN | {"text": "found_text"})}) AS found
+  FROM (SELECT *, if({_CRC.format(s="CAST(doc_id AS VARCHAR)")} % 3 = 0, translate(text, '{merkle.UPPER}', '{merkle.LOWER}'), text) AS found_text
+        FROM documents)),
+a0 AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n FROM hashed),
+{_levels("a", _DEPTH)},
+b0 AS (SELECT '' AS tree, tree AS lang, h, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM a{_DEPTH}),
+{_levels("b", _TOP)},
+ways AS (
+  SELECT a.doc_id, a.h AS leaf, b.h AS subroot, b{_TOP}.h AS root, {_fold(_DEPTH, "a.found", "a")}, {_fold(_TOP, f"a_f{_DEPTH}", "b")}
+  FROM a0 a {" ".join(f"JOIN a{k} ON a{k}.tree = a.tree AND a{k}.idx = a.idx // {merkle.FANOUT ** k}" for k in range(1, _DEPTH + 1))}
+  JOIN b0 b ON b.lang = a.tree {" ".join(f"JOIN b{k} ON b{k}.idx = b.idx // {merkle.FANOUT ** k}" for k in range(1, _TOP + 1))})
+SELECT doc_id, leaf, subroot, root, sha256({" || ".join([f"a_sib{k}" for k in range(1, _DEPTH + 1)] + [f"b_sib{k}" for k in range(1, _TOP + 1)])}) AS proof_sha256,
+  b_f{_TOP} AS folded_root, b_f{_TOP} = root AS verified FROM ways"""
+
+
+INFILL = rf"""
+WITH texts AS (
+  SELECT doc_id, ifnull(text, '') AS t, CAST(length(ifnull(text, '')) AS BIGINT) AS n, sha256('1:' || ifnull(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+drawn AS (
+  SELECT doc_id, t, n, {", ".join(f"CAST('0x' || d[{8 * k + 1}:{8 * k + 8}] AS BIGINT) AS h{k + 1}" for k in range(4))} FROM texts),
+cuts AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(t, '{infill.PREFIX}') OR contains(t, '{infill.SUFFIX}') OR contains(t, '{infill.MIDDLE}')
+      OR h3 % 100 >= {infill.PLAIN_FROM} THEN 'plain' WHEN h4 % 100 < {infill.SPM_BELOW} THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1, n - b) AS s FROM cuts)
+SELECT doc_id, n, form, if(form = 'plain', NULL, a) AS prefix_chars, if(form = 'plain', NULL, b - a) AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{infill.PREFIX}' || p || '{infill.SUFFIX}' || s || '{infill.MIDDLE}' || m
+    ELSE '{infill.SUFFIX}' || s || '{infill.PREFIX}' || p || '{infill.MIDDLE}' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM parts"""
+
+SQL = {"op4_warc": WARC, "op6_licenses": LICENSES, "op7_quality": QUALITY, "op11_chat": CHAT, "op12_manifest": MANIFEST, "op13_infill": INFILL}

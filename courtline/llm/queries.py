@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtline.llm import decontaminate, licenses, neardup, packing, pii, quality, substrings, toxicity, warc, webtext
+from courtline.llm import (chat, decontaminate, infill, licenses, merkle, neardup, packing, pii, quality, substrings, toxicity,
+                           warc, webtext)
 from courtline.llm.oracle_sql import SQL  # noqa: F401
 from courtline.llm.shared import documents, pages
 
@@ -49,6 +50,22 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return webtext.main_text(pages(spark, sf_dir))
 
 
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    hazard = r"\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, k, role, hazard) for k, role in enumerate(("user", "assistant"))],
+                                  "conv_id long, turn long, role string, text string")
+    return chat.chat_digests(table.unionByName(added))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(documents(spark, sf_dir))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.infill_digests(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_personal_data": op2_personal_data,
@@ -60,4 +77,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_substrings": op9_substrings,
     "op10_main_text": op10_main_text,
+    "op11_chat": op11_chat,
+    "op12_manifest": op12_manifest,
+    "op13_infill": op13_infill,
 }
