@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtline.functions.stats import height_cm, weight_kg
@@ -25,36 +25,47 @@ def signature_category(weighted: DataFrame, entity: str, group: str, subgroup: l
     ``weighted`` has one row per (entity, group, *subgroup) with a ``weight``.  The
     main group maximises the summed weight (ties: lowest ``group``); the main
     subgroup maximises its own weight inside that group (ties: ascending subgroup
-    columns).  One repartition on the entity serves both windows.
+    columns).  Both are least ordered structs, an aggregate that is combined map-side: the
+    second one meets a row per entity and group, and nothing is sorted by entity.
     """
-    by_entity = weighted.repartition(entity)
-    group_weight = F.sum(weight).over(Window.partitionBy(entity, group))
-    order = ([F.col("_group_weight").desc_nulls_last(), F.col(group).asc(),
-              F.col(weight).desc_nulls_last()] + [F.col(c).asc() for c in subgroup])
-    ranked = (by_entity.withColumn("_group_weight", group_weight)
-              .withColumn("_rn", F.row_number().over(Window.partitionBy(entity).orderBy(*order))))
-    return ranked.filter(F.col("_rn") == 1).drop("_rn", "_group_weight")
+    best = F.struct(*_falling(F.col(weight)), *[F.col(c).alias(c) for c in subgroup], F.col(weight).alias(weight))
+    groups = weighted.groupBy(entity, group).agg(F.sum(weight).alias("_total"), F.min(best).alias("_best"))
+    top = groups.groupBy(entity).agg(F.min(F.struct(*_falling(F.col("_total")), F.col(group).alias(group), "_best")).alias("_top"))
+    at = {group: f"_top.{group}", **{c: f"_top._best.{c}" for c in [*subgroup, weight]}}
+    return top.select(*[F.col(at.get(c, c)).alias(c) for c in weighted.columns])
 
 
-def impact_by_logo(player_fct: DataFrame, dim_teams_df: DataFrame) -> DataFrame:
-    """Points plus minutes per player x team x era name x logo (missing counts as 0)."""
-    dt = dim_teams_df.select("year", "team_id", "team_name", F.col("logo_by_year").alias("logo"))
+def _falling(value: Column) -> list[Column]:
+    """Struct fields whose ascending order is that of ``value`` descending, nulls last."""
+    return [value.isNull().alias("_none"), (-value).alias("_falling")]
+
+
+def season_impact(player_fct: DataFrame) -> DataFrame:
+    """Points plus minutes per player, team and season (missing counts as 0); sums that merge by addition."""
     impact = F.sum(F.coalesce(F.col("pts"), F.lit(0)) + F.coalesce(F.col("min"), F.lit(0)))
-    # summed to team-years first: the dimension meets a row per season, not one per game
-    seasons = player_fct.groupBy("player_id", "team_id", "year").agg(impact.alias("impact"))
+    return player_fct.groupBy("player_id", "team_id", "year").agg(impact.alias("impact"))
+
+
+def impact_by_logo(seasons: DataFrame, dim_teams_df: DataFrame) -> DataFrame:
+    """Season impacts summed per player x team x era name x logo: the dimension meets a row per season, not one per game."""
+    dt = dim_teams_df.select("year", "team_id", "team_name", F.col("logo_by_year").alias("logo"))
     return (seasons.join(dt, ["year", "team_id"]).groupBy("player_id", "team_id", "team_name", "logo")
             .agg(F.sum("impact").alias("impact")))
 
 
-def signature_team(player_fct: DataFrame, dim_teams_df: DataFrame) -> DataFrame:
-    """Each player's signature franchise and its most representative era logo."""
-    top = signature_category(impact_by_logo(player_fct, dim_teams_df), "player_id", "team_id",
+def signature_of(seasons: DataFrame, dim_teams_df: DataFrame) -> DataFrame:
+    """Each player's signature franchise and its most representative era logo, from season impacts."""
+    top = signature_category(impact_by_logo(seasons, dim_teams_df), "player_id", "team_id",
                              ["team_name", "logo"], "impact")
     return top.select("player_id", F.col("team_id").alias("main_team_id"),
                       F.col("team_name").alias("main_team_name"),
                       F.col("logo").alias("main_logo"))
 
 
+def signature_team(player_fct: DataFrame, dim_teams_df: DataFrame) -> DataFrame:
+    return signature_of(season_impact(player_fct), dim_teams_df)
+
+
 def _dsum(c: str) -> Column:
     return F.sum(c).cast("double")
 
@@ -85,26 +96,45 @@ def season_rates(player_fct: DataFrame, entity: str = "player_id", period: str =
     return agg
 
 
-def percentile_profile(rates: DataFrame, entity: str = "player_id", period: str = "year",
-                       axes: list[tuple[str, str]] | None = None,
-                       num_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Rank every axis within its period (0-100, NULLs rank highest), average per entity.
+def _ranked(rates: DataFrame, entity: str, period: str, axes: list[tuple[str, str]], num_buckets: int) -> DataFrame:
+    """A row per entity, period and axis (``_axis``) with its percentile (``_pctl``, 0-100, NULLs rank highest).
 
-    The axes are unpivoted to one long (entity, period, axis, value) frame so a single
-    :func:`bucketed_percent_rank` pass ranks all of them, splitting a crowded period
-    across value ranges; one aggregation pivots the averages back to columns.
+    The axes are unpivoted to one long frame so a single :func:`bucketed_percent_rank` pass ranks
+    all of them, splitting a crowded period across value ranges.
     """
-    axes = PROFILE_AXES if axes is None else axes
     long = rates.select(entity, period, *[F.col(c).cast("double").alias(name)
                                           for name, c in axes])
     long = long.unpivot([entity, period], [name for name, _ in axes], "_axis", "_v")
-    ranked = bucketed_percent_rank(long, [period, "_axis"], "_v", "_pctl", num_buckets,
-                                   scale=100.0)
-    return ranked.groupBy(entity).agg(
+    return bucketed_percent_rank(long, [period, "_axis"], "_v", "_pctl", num_buckets, scale=100.0)
+
+
+def percentile_profile(rates: DataFrame, entity: str = "player_id", period: str = "year",
+                       axes: list[tuple[str, str]] | None = None,
+                       num_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Rank every axis within its period and average per entity; one aggregation gives the columns."""
+    axes = PROFILE_AXES if axes is None else axes
+    return _ranked(rates, entity, period, axes, num_buckets).groupBy(entity).agg(
         *[F.avg(F.when(F.col("_axis") == name, F.col("_pctl"))).alias(f"{name}_pctl")
           for name, _ in axes])
 
 
+def season_percentiles(rates: DataFrame, entity: str = "player_id", period: str = "year",
+                       axes: list[tuple[str, str]] | None = None,
+                       num_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """The percentiles of each entity and period: a period depends on its own rows alone."""
+    axes = PROFILE_AXES if axes is None else axes
+    return _ranked(rates, entity, period, axes, num_buckets).groupBy(entity, period).agg(
+        *[F.max(F.when(F.col("_axis") == name, F.col("_pctl"))).alias(f"{name}_pctl")
+          for name, _ in axes])
+
+
+def career_profile(seasons: DataFrame, entity: str = "player_id",
+                   axes: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Averages of season percentiles per entity."""
+    return seasons.groupBy(entity).agg(*[F.avg(f"{name}_pctl").alias(f"{name}_pctl")
+                                         for name, _ in (PROFILE_AXES if axes is None else axes)])
+
+
 def career_percentiles(player_fct: DataFrame, floor: int = QUALIFYING_MINUTES) -> DataFrame:
     return percentile_profile(season_rates(player_fct, floor=floor))
 
@@ -113,23 +143,23 @@ def player_dim(bios_stg: DataFrame, country_codes: DataFrame, overrides: DataFra
                signature: DataFrame, profile: DataFrame) -> DataFrame:
     """One row per bio with display name, metric units, images and career products.
 
-    The two curated lookups have a fixed, known size (82 and 45 rows) and are
-    broadcast; signature and profile are one row per player and join on player_id.
+    The two curated lookups are small, so that joins with them are broadcast by their measured size;
+    signature and profile are one row per player and join on player_id.
     """
     b = bios_stg.alias("b")
-    cc = F.broadcast(country_codes).alias("cc")
-    ovr = F.broadcast(overrides).alias("ovr")
-    pst = signature.alias("pst")
-    cp = profile.alias("cp")
-    j = (b.join(cc, F.col("b.country") == F.col("cc.country"), "left")
-         .join(pst, F.col("b.player_id") == F.col("pst.player_id"), "left")
-         .join(ovr, F.col("b.player_id") == F.col("ovr.player_id"), "left")
-         .join(cp, F.col("b.player_id") == F.col("cp.player_id"), "left"))
+    codes = country_codes.alias("codes")
+    names = overrides.alias("names")
+    main = signature.alias("main")
+    career = profile.alias("career")
+    j = (b.join(codes, F.col("b.country") == F.col("codes.country"), "left")
+         .join(main, F.col("b.player_id") == F.col("main.player_id"), "left")
+         .join(names, F.col("b.player_id") == F.col("names.player_id"), "left")
+         .join(career, F.col("b.player_id") == F.col("career.player_id"), "left"))
     pct = ["pts_pctl", "fg2m_pctl", "fg3m_pctl", "ts_pctl", "ast_pctl", "reb_pctl",
            "stl_pctl", "blk_pctl"]
     return j.select(
         F.col("b.player_id").alias("player_id"),
-        F.coalesce(F.col("ovr.name_override"), F.col("b.display_first_last")).alias("player_name"),
+        F.coalesce(F.col("names.name_override"), F.col("b.display_first_last")).alias("player_name"),
         *[F.col("b." + c).alias(c) for c in ["birthdate", "school", "country", "height"]],
         height_cm("b.height").alias("height_cm"),
         F.col("b.weight").alias("weight"),
@@ -139,9 +169,9 @@ def player_dim(bios_stg: DataFrame, country_codes: DataFrame, overrides: DataFra
                                              "draft_number"]],
         F.concat(F.lit(HEADSHOT_URL[0]), F.col("b.player_id").cast("string"),
                  F.lit(HEADSHOT_URL[1])).alias("player_img"),
-        F.concat(F.lit(FLAG_URL[0]), F.col("cc.code"), F.lit(FLAG_URL[1])).alias("country_flag"),
-        F.col("pst.main_team_id").alias("main_team_id"),
-        F.col("pst.main_team_name").alias("main_team_name"),
-        F.col("pst.main_logo").alias("main_logo"),
-        *[F.col("cp." + c).alias(c) for c in pct],
+        F.concat(F.lit(FLAG_URL[0]), F.col("codes.code"), F.lit(FLAG_URL[1])).alias("country_flag"),
+        F.col("main.main_team_id").alias("main_team_id"),
+        F.col("main.main_team_name").alias("main_team_name"),
+        F.col("main.main_logo").alias("main_logo"),
+        *[F.col("career." + c).alias(c) for c in pct],
     )

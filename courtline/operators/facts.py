@@ -1,9 +1,9 @@
 """Fact tables (CMP2-CMP5, CMP12): player fact and the team reconstruction chain.
 
-Physical shape at scale: every fact here is keyed by game.  The player fact's
-opponent join shuffles both inputs on ``game_id``; the roll-up to team-game grain
-groups on (team_id, game_id), which the game hash-partitioning already satisfies, so
-Catalyst adds no exchange for it; the opponent self-joins reuse one exchange.  The
+Physical shape at scale: every fact here is keyed by game.  A store keeps the typed team rows
+and the roll-up in buckets of the game, so the opponent self-joins need no exchange and the
+player fact's opponent join one, of the player rows.  The roll-up to team-game grain
+groups on (team_id, game_id), which a partitioning by game satisfies.  The
 bios join goes through AQE, which broadcasts bios at runtime when the measured side is
 under ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges otherwise.
 """
@@ -17,10 +17,6 @@ from courtline.functions.keys import season_type_key, season_year, team_year_key
 from courtline.functions.stats import double_double, full_years_between, home_away, triple_double
 from courtline.schemas import OPP_STATS, STATS16
 
-# ---- fixed values: games whose box scores are known to be void ----------------------
-# 2013-04-16, cancelled; every statistic was recorded as zero.
-EXCLUDED_GAME_IDS = ["0021201214"]
-
 KEY_COLUMNS = ["year", "season_type_key", "team_year_key", "year_type_team_key"]
 
 
@@ -87,17 +83,15 @@ def opponent_join(df: DataFrame, game: str = "game_id", side: str = "team_id",
             .select(*out))
 
 
-def team_base(team_stg: DataFrame, excluded_games: list[str] | None = None) -> DataFrame:
-    """Official team box scores with opponent statistics (team_boxscores_base)."""
-    excluded = EXCLUDED_GAME_IDS if excluded_games is None else excluded_games
-    t = team_stg
-    if excluded:
-        t = t.filter(~F.col("game_id").isin(*excluded))
+def team_base(team_stg: DataFrame, excluded: DataFrame | None = None) -> DataFrame:
+    """Official team box scores with opponent statistics (team_boxscores_base).
+
+    ``excluded`` (game_id) lists games that are void; their own side goes by an anti-join, which is broadcast
+    or not by the list's measured size.  The opponent side is the unfiltered staging table.
+    """
+    t = team_stg if excluded is None else team_stg.join(excluded.select("game_id").distinct(), "game_id", "left_anti")
     keyed = t.withColumns({**model_keys(), "home_away": home_away("matchup")})
     cols = ["team_id", "game_id", "game_date", *KEY_COLUMNS, "home_away", "wl", *STATS16]
-    # The exclusion filters the own side only; the opponent side is the unfiltered
-    # staging table (a filter on game_id there is implied by the equi-key and
-    # Catalyst infers it, pushing it to both scans).
     tt = keyed.select(*cols).alias("t")
     o = team_stg.select("game_id", "team_id", *OPP_STATS).alias("o")
     j = tt.join(o, (F.col("t.game_id") == F.col("o.game_id"))
@@ -125,12 +119,6 @@ def rollup_reconstruct(fine: DataFrame, keys: list[str] | None = None,
     return fine.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in stats])
 
 
-def team_agg(player_fct: DataFrame) -> DataFrame:
-    """Team-game sums of player rows plus the opponent's sums (team_boxscores_agg)."""
-    only = rollup_reconstruct(player_fct)
-    return opponent_join(only, carry=["team_id", "game_id", *STATS16])
-
-
 def backfill(base: DataFrame, recon: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """Fill each NULL of ``base`` from ``recon`` per column (CMP5); never overwrite.
 

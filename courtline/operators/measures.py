@@ -223,7 +223,14 @@ def per_frame(player_fct: DataFrame, team_fct: DataFrame, grain: list[str],
     t = team_scope(player_fct, team_fct, grain, cutoff=cutoff, floor_games=True,
                    keep_all_groups=True)
     lg = league_scope(pf_c, tf_c, grain)
-    j = t.join(p, grain, "left").join(lg, grain, "left")
+    return _per_measures(t.join(p, grain, "left").join(lg, grain, "left"), mpg_floor).select(*grain, *PER_MEASURES)
+
+
+PER_MEASURES = ["u_per", "a_per", "lga_per", "per"]
+
+
+def _per_measures(j: DataFrame, mpg_floor: float) -> DataFrame:
+    """The PER chain on rows that have player (p_), team (tm_, opp_, floor_gp) and league (lg_, lp_) sums."""
     j = j.withColumns(league_constants())
     j = j.withColumns({
         "pace": pace(possessions("tm_", "opp_"), _d("tm_min")),
@@ -238,10 +245,70 @@ def per_frame(player_fct: DataFrame, team_fct: DataFrame, grain: list[str],
                           * _d("lp_min"), _d("lp_min")),
     })
     floor = F.lit(float(mpg_floor)) * F.coalesce(_d("floor_gp"), F.lit(0.0))
-    j = j.withColumn("per", F.when(_d("p_min") >= floor,
-                                   F.col("a_per") * divide(F.lit(PER_LEAGUE_AVERAGE),
-                                                           F.col("lga_per"))))
-    return j.select(*grain, "u_per", "a_per", "lga_per", "per")
+    return j.withColumn("per", F.when(_d("p_min") >= floor,
+                                      F.col("a_per") * divide(F.lit(PER_LEAGUE_AVERAGE),
+                                                              F.col("lga_per"))))
+
+
+#: Grains of a player by the grouping id of (player_id, year, season_type_key); 4 is the league's (year, type).
+PLAYER_GRAINS = {0: "season type", 1: "season", 3: "career"}
+_LEAGUE_GRAIN = 4
+
+
+def team_scopes(team_sum: DataFrame) -> DataFrame:
+    """Team sums per team key and per (year, season type), by grouping sets in one pass; ``_g`` tells which."""
+    key, pair = ["year_type_team_key"], ["year", "season_type_key"]
+    sets = [[F.col(c) for c in s] for s in (key, pair)]
+    return team_sum.groupingSets(sets, *(F.col(c) for c in key + pair)).agg(
+        F.grouping_id().alias("_g"), F.sum("games").alias("tm_gp"), *[F.sum(c).alias(f"tm_{c}") for c in STATS16],
+        *[F.sum(f"opp_{c}").alias(f"opp_{c}") for c in OPP_STATS])
+
+
+_KEY_SET, _PAIR_SET = 3, 4  # grouping ids of the two sets above
+
+
+def player_scopes(player_sum: DataFrame, by_key: DataFrame, cutoff: int | None) -> DataFrame:
+    """Player sums, team scopes and the seasons and types of every grain, by grouping sets in one pass.
+
+    A row of ``player_sum`` has one team key, so the team totals of ``by_key`` are added to it once, and every
+    grain sums rows.  The sets of years and types of a group are as small as the seasons there are.
+    """
+    rows = player_sum.join(by_key, "year_type_team_key", "left")
+    inside = F.lit(True) if cutoff is None else F.col("year") >= cutoff
+    cols = ["player_id", "year", "season_type_key"]
+    sets = [[F.col(c) for c in s] for s in (cols, cols[:2], cols[:1], cols[1:])]
+    # the values are other columns than the grouped ones, which are null in coarser sets
+    rows = rows.select(*cols, F.when(inside, F.col("year")).alias("_y"), F.when(inside, F.col("season_type_key")).alias("_t"),
+                       *[F.when(inside, F.col(c)).alias(f"p_{c}") for c in STATS16],
+                       *[F.when(inside, F.col(c)).alias(c) for c in ["tm_gp", *TEAM_COLS]], F.col("tm_gp").alias("floor_gp"))
+    return rows.groupingSets(sets, *(F.col(c) for c in cols)).agg(
+        F.grouping_id().alias("_g"), F.collect_set("_y").alias("_years"), F.collect_set("_t").alias("_types"),
+        *[F.sum(c).alias(c) for c in [*(f"p_{c}" for c in STATS16), "tm_gp", *TEAM_COLS, "floor_gp"]])
+
+
+def per_grains(player_sum: DataFrame, team_sum: DataFrame, cutoff: int | None = STATS_COMPLETE_FROM_YEAR,
+               mpg_floor: float = 0.0, keep=lambda name, df: df) -> DataFrame:
+    """PER of players per season and type, per season and over careers, from one pass over each table of sums.
+
+    ``keep(name, df)`` may store the two tables of scopes, which the plan reads more than once.
+    """
+    teams = keep("team_scopes", team_scopes(team_sum))
+    by_key = teams.filter(F.col("_g") == _KEY_SET).drop("_g", "year", "season_type_key")
+    scopes = keep("player_scopes", player_scopes(player_sum, by_key, cutoff))
+    pair = ["year", "season_type_key"]
+    players = scopes.filter(F.col("_g") == _LEAGUE_GRAIN).select(*pair, *[F.col(f"p_{c}").alias(f"lp_{c}") for c in STATS16])
+    league = with_cutoff(teams.filter(F.col("_g") == _PAIR_SET), cutoff) \
+        .select(*pair, *[F.col(c).alias("lg_" + c) for c in ["tm_gp", *TEAM_COLS]]).join(players, pair, "left")
+    league = league.withColumnsRenamed({"year": "_y", "season_type_key": "_t"})
+    groups = scopes.filter(F.col("_g") != _LEAGUE_GRAIN)
+    group = ["_g", "player_id", *pair]
+    pairs = groups.select(*group, F.explode("_years").alias("_y"), "_types").select(*group, "_y", F.explode("_types").alias("_t"))
+    sums = [c for c in league.columns if c not in ("_y", "_t")]
+    scope = pairs.join(league, ["_y", "_t"]).groupBy(*group).agg(*[F.sum(c).alias(c) for c in sums])
+    scope = scope.withColumnsRenamed({c: f"_l{c}" for c in group})
+    j = groups.join(scope, [groups[c].eqNullSafe(scope[f"_l{c}"]) for c in group], "left")
+    names = F.element_at(F.create_map(*[F.lit(x) for kv in PLAYER_GRAINS.items() for x in kv]), F.col("_g").cast("int"))
+    return _per_measures(j, mpg_floor).select(names.alias("grain"), "player_id", *pair, *PER_MEASURES)
 
 
 # ---- simple measures ------------------------------------------------------------------
@@ -344,27 +411,15 @@ def latest_value(df: DataFrame, entity: str, order_col: str, value_col: str) ->
     distinct values (SELECTEDVALUE).
 
     One scan: the latest moment of each (entity, value) is aggregated map-side, and the values of an
-    entity that share the overall latest one are counted.
+    entity that share the overall latest one are counted.  A null entity is none and has no row; a moment at
+    which the value is only null has no value.
     """
-    each = df.groupBy(entity, value_col).agg(F.max(order_col).alias("_at"))
+    each = df.filter(F.col(entity).isNotNull()).groupBy(entity, value_col).agg(F.max(order_col).alias("_at"))
     moments = each.groupBy(entity, "_at").agg(F.count(value_col).alias("_values"), F.min(value_col).alias("_value"))
     last = moments.filter(F.col("_at").isNotNull()).groupBy(entity).agg(F.max(F.struct("_at", "_values", "_value")).alias("_last"))
     return last.select(entity, F.when(F.col("_last._values") == 1, F.col("_last._value")).alias(value_col))
 
 
-def latest_value(df: DataFrame, entity: str, order_col: str, value_col: str) -> DataFrame:
-    """Value at each entity's latest ``order_col``; NULL when that moment has several
-    distinct values (SELECTEDVALUE).  A max per entity, then a semi-join back - no
-    per-entity collection of rows."""
-    last = df.groupBy(entity).agg(F.max(order_col).alias("_last")).alias("l")
-    d = df.select(entity, order_col, value_col).alias("d")
-    at_last = d.join(last, (F.col(f"d.{entity}") == F.col(f"l.{entity}"))
-                     & (F.col(f"d.{order_col}") == F.col("l._last")))
-    return (at_last.groupBy(F.col(f"d.{entity}").alias(entity))
-            .agg(F.when(F.count_distinct(f"d.{value_col}") == 1, F.min(f"d.{value_col}"))
-                 .alias(value_col)))
-
-
 def display_flags(dim_players_df: DataFrame,
                   cutoff: int = STATS_COMPLETE_FROM_YEAR) -> DataFrame:
     """ME11/ME12: overlay colour and disclaimer for careers ending before the cutoff.

@@ -60,7 +60,3 @@ def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "team": stage_team_boxscores(raw["team_boxscores"]),
     }
 
-
-def with_season_columns(df: DataFrame) -> DataFrame:
-    """Attach the integer season year (used by partition-aware writers and checks)."""
-    return df.withColumn("year", F.substring("season", 1, 4).cast("int"))

@@ -57,6 +57,7 @@ class RawLayer(Mapping):
     """
 
     GAMES = ("player_boxscores", "team_boxscores", "team_logos")
+    CURATED = ("excluded_games", "name_overrides")
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         from courtline.plans.store import session_store
@@ -66,13 +67,19 @@ class RawLayer(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         with self._lock:
             if name not in self._got:
-                self._got |= self._bios() if name == "bios" else self._games()
+                if name not in ("bios", *self.GAMES, *self.CURATED):
+                    raise KeyError(name)
+                self._got |= self._bios() if name == "bios" else self._games() if name in self.GAMES else self._lookups()
             return self._got[name]
 
     def _bios(self) -> dict[str, DataFrame]:
         build = lambda: testdata.raw_tables(self.spark, self.sf_dir)["bios"]
         return {"bios": self.store.materialize("raw_bios", build)}
 
+    def _lookups(self) -> dict[str, DataFrame]:
+        fixture = testdata.raw_tables(self.spark, self.sf_dir)
+        return {n: self.store.materialize(f"raw_{n}", lambda n=n: fixture[n]) for n in self.CURATED}
+
     def _games(self) -> dict[str, DataFrame]:
         testdata.use_player_games(self.spark, self.sf_dir, self.store.materialize(
             "fixture_player_games", lambda: testdata.player_games(self.spark, self.sf_dir)))
@@ -83,10 +90,10 @@ class RawLayer(Mapping):
         return {n: built[f"raw_{n}"] for n in self.GAMES}
 
     def __iter__(self):
-        return iter(("bios", *self.GAMES))
+        return iter(("bios", *self.GAMES, *self.CURATED))
 
     def __len__(self) -> int:
-        return 1 + len(self.GAMES)
+        return 1 + len(self.GAMES) + len(self.CURATED)
 
 
 def raw_layer(spark: SparkSession, sf_dir: str) -> RawLayer:
@@ -138,7 +145,7 @@ def accent_fold(spark, sf_dir):
 @query("lookup_country")
 def lookup_country(spark, sf_dir):
     m = model(spark, sf_dir)
-    return (m["v_bios"].join(F.broadcast(m["country_codes"]), "country", "left")
+    return (m["v_bios"].join(m["country_codes"], "country", "left")
             .select("player_id", "country", "code"))
 
 
@@ -152,7 +159,7 @@ def lookup_override(spark, sf_dir):
 def lookup_season_type(spark, sf_dir):
     m = model(spark, sf_dir)
     games = m["team_boxscores"].groupBy("season_type_key").agg(F.count(F.lit(1)).alias("games"))
-    return (games.join(F.broadcast(m["dim_season_type"]), "season_type_key", "left")
+    return (games.join(m["dim_season_type"], "season_type_key", "left")
             .select("season_type_key", "season_type", "games"))
 
 
@@ -412,6 +419,15 @@ def per_career(spark, sf_dir):
     return present(_per(spark, sf_dir, ["player_id"]))
 
 
+@query("per_grains")
+def per_grains_q(spark, sf_dir):
+    """PER at all three grains of a player from one plan."""
+    m = model(spark, sf_dir)
+    return present(_measures().per_grains(
+        m["player_sums"], m["team_sums"], FIXTURE_CUTOFF, FIXTURE_MPG_FLOOR,
+        keep=lambda name, df: m.store.materialize(name, lambda: df)))
+
+
 @query("four_factors")
 def four_factors_q(spark, sf_dir):
     return present(_measures().four_factors(model(spark, sf_dir)["team_sums"],
@@ -481,7 +497,8 @@ def _refreshed_root(spark, sf_dir) -> str:
         points = F.trim("PTS")
         more = F.when(points != "", (points.cast("bigint") + 1).cast("string")).otherwise(F.col("PTS"))
         new[t] = raw[t].filter(in_season & (_game() % 5 != 0)).withColumn("PTS", more)
-    write_model(spark, {**refresh.read_raw_no_logos(spark, root), "team_logos": raw["team_logos"]}, root)
+    curated = {n: raw[n] for n in ("team_logos", *RawLayer.CURATED)}
+    write_model(spark, {**refresh.read_raw_no_logos(spark, root), **curated}, root)
     refresh.refresh_season_incremental(spark, root, current, new["player_boxscores"], new["team_boxscores"])
     return root
 
@@ -551,6 +568,81 @@ def csv_team(spark, sf_dir):
     return present(stage_team_boxscores(_from_csv(spark, sf_dir, "team_boxscores")))
 
 
+# ---- loads of dirty files (SRC1-SRC3, SC3) ----------------------------------------------
+def _dirty_lines(raw: DataFrame, table: str) -> DataFrame:
+    """The lines of a raw table as a careless scrape leaves them: some with bad cells, some cut short."""
+    from courtline.schemas import RAW_SCHEMAS
+    names = RAW_SCHEMAS[table].fieldNames()
+    n = F.col("GAME_ID").cast("bigint") + F.col("TEAM_ID").cast("bigint")
+    if "PLAYER_ID" in names:
+        n = n + F.col("PLAYER_ID").cast("bigint")
+    bad = {"GAME_DATE": (29, "31/02/1997"), "MIN": (31, "12:30"), "TEAM_ID": (37, "12.0"), "PTS": (43, "n/a")}
+    cells = {c: F.when(n % k == 0, F.lit(v)).otherwise(F.col(c)) for c, (k, v) in bad.items()}
+    text = [F.coalesce(cells.get(c, F.col(c) if c in raw.columns else F.lit("")), F.lit("")) for c in names]
+    return raw.select(F.when(n % 41 == 0, F.concat_ws(",", *text[:5])).otherwise(F.concat_ws(",", *text)).alias("line"))
+
+
+def _dirty_load(spark, sf_dir, table: str):
+    from courtline.plans.store import session_store
+    from courtline.sources import loading
+    key = (spark.sparkContext.applicationId, sf_dir, "load", table)
+    with _MODELS_LOCK:
+        if key not in _MODELS:
+            path = session_store(spark, sf_dir).path(f"loads/{table}-{uuid.uuid4().hex[:8]}")
+            files = loading.write_lines(_dirty_lines(raw_layer(spark, sf_dir)[table], table), "line", f"{path}/files", table)
+            _MODELS[key] = loading.load(spark, files, table, f"{path}/loaded")
+        return _MODELS[key]
+
+
+def _reject_heads(rejects: DataFrame) -> DataFrame:
+    """Rejects with the first five cells of their line, without the file, whose name is any."""
+    return rejects.select(F.substring_index("line", ",", 5).alias("line_head"), "column", "value", "reason")
+
+
+@query("load_player_rows")
+def load_player_rows(spark, sf_dir):
+    return present(_dirty_load(spark, sf_dir, "player_boxscores").rows)
+
+
+@query("load_player_rejects")
+def load_player_rejects(spark, sf_dir):
+    return _reject_heads(_dirty_load(spark, sf_dir, "player_boxscores").rejects)
+
+
+@query("load_team_rows")
+def load_team_rows(spark, sf_dir):
+    return present(_dirty_load(spark, sf_dir, "team_boxscores").rows)
+
+
+@query("load_team_rejects")
+def load_team_rejects(spark, sf_dir):
+    return _reject_heads(_dirty_load(spark, sf_dir, "team_boxscores").rejects)
+
+
+@query("load_counts")
+def load_counts(spark, sf_dir):
+    """Lines, rows, rejected lines and rejects of the loads, as observed while they were written."""
+    tables = ("player_boxscores", "team_boxscores")
+    return spark.createDataFrame([(t, *(_dirty_load(spark, sf_dir, t).counts[c] for c in ("lines", "rows", "rejected_lines", "rejects")))
+                                  for t in tables], "source string, lines long, rows long, rejected_lines long, rejects long")
+
+
+# ---- duplicate checks where there are duplicates (DQ3, DQ8) ------------------------------
+@query("check_dup_team_reload")
+def check_dup_team_reload(spark, sf_dir):
+    """The team check after the current season's file was appended to rows that were there already."""
+    team = model(spark, sf_dir)["v_team"]
+    latest = team.agg(F.max("season")).scalar()
+    return _checks().dup_team_rows(team.unionByName(team.filter(F.col("season") == latest)))
+
+
+@query("check_dup_dim_reload")
+def check_dup_dim_reload(spark, sf_dir):
+    """The player check after bios of every seventh player were appended again."""
+    players = model(spark, sf_dir)["dim_players"]
+    return _checks().dup_dim_players(players.unionByName(players.filter(F.col("player_id") % 7 == 0)))
+
+
 # ---- operators on native tables -------------------------------------------------------
 @query("opponent_join_native")
 def opponent_join_native(spark, sf_dir):
@@ -559,6 +651,7 @@ def opponent_join_native(spark, sf_dir):
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", (F.col("l_linenumber") % 2).alias("side"),
         F.col("l_quantity").cast("bigint").alias("qty"), F.lit(1).alias("lines"))
+    li = li.repartition("l_orderkey")  # one exchange: the sums and both sides of the join keep to it
     sides = rollup_reconstruct(li, ["l_orderkey", "side"], ["qty", "lines"])
     return opponent_join(sides, game="l_orderkey", side="side", stats=["qty", "lines"],
                          opponent_col="opp_side")

@@ -1,7 +1,7 @@
 """The full model build (lifecycle A) as lazily chained DataFrames, and its writer.
 
 ``build_model`` returns every table in dependency order; nothing runs until a table is
-written or collected.  ``write_model`` materialises them (the reference's CTAS chain):
+written or collected.  ``write_model`` stores them in a warehouse, in one transaction:
 each written table cuts the lineage for everything built on it, so a lost executor
 recomputes from the last written table, not from raw.
 """
@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from courtline.functions.keys import season_year
 from courtline.operators import derived, dims, facts, measures
 from courtline.sources import lookups
-from courtline.sources.raw import read_table, write_table
+from courtline.sources.warehouse import Snapshot, Transaction, Warehouse
 
 # Build order (most independent first); dropping goes in reverse.
 MODEL_ORDER = [
@@ -20,12 +21,15 @@ MODEL_ORDER = [
     "team_boxscores_agg_team_only", "team_boxscores_agg", "team_boxscores",
     "player_signature_team", "career_percentiles", "dim_players",
 ]
-LOOKUP_TABLES = ["country_codes", "name_overrides", "dim_season_type", "team_logos_by_year"]
-# Model tables partitioned by season year: season-local, so one season can be rewritten.
+LOOKUP_TABLES = ["country_codes", "name_overrides", "dim_season_type", "team_logos_by_year", "excluded_games"]
 #: The bios columns that facts depend on, as the stored facts have seen them.
 BIOS_SEEN = "bios_seen"
 #: Sums of the facts that the measures read; kept by a store, no part of the warehouse's tables.
 SUMS = ["player_sums", "team_sums"]
+#: Tables that a store deals into buckets of the game: the sides of a game meet without an exchange.  Team rows
+#: are typed once for all of their joins.
+BUCKETED = {"v_team": "game_id", "team_boxscores_agg_team_only": "game_id"}
+# Tables that a store partitions by season year.
 PARTITIONED_BY_YEAR = {"player_boxscores", "team_boxscores_base", "team_boxscores", *SUMS}
 
 
@@ -45,9 +49,9 @@ class Model:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._memo:
             build = getattr(self, "_" + name)
-            if self.store is not None and name in MODEL_ORDER + SUMS:
+            if self.store is not None and name in MODEL_ORDER + SUMS + ["v_team"]:
                 self._memo[name] = self.store.materialize(
-                    name, build, ["year"] if name in PARTITIONED_BY_YEAR else None)
+                    name, build, ["year"] if name in PARTITIONED_BY_YEAR else None, BUCKETED.get(name))
             else:
                 self._memo[name] = build()
         return self._memo[name]
@@ -69,7 +73,7 @@ class Model:
 
     def keys(self):
         return [k[1:] for k in dir(self) if k.startswith("_") and not k.startswith("__")
-                and k not in ("_memo",) and callable(getattr(self, k))]
+                and k not in ("_memo", "_curated") and callable(getattr(self, k))]
 
     # staging views
     def _v_bios(self):
@@ -89,7 +93,15 @@ class Model:
         return lookups.country_codes(self.spark)
 
     def _name_overrides(self):
-        return lookups.name_overrides(self.spark)
+        return self._curated(lookups.name_overrides(self.spark), "name_overrides", "player_id")
+
+    def _excluded_games(self):
+        return self._curated(lookups.excluded_games(self.spark), "excluded_games", "game_id")
+
+    def _curated(self, fixed: DataFrame, name: str, key: str) -> DataFrame:
+        """The fixed rows of a lookup, and those that the raw tables bring for further keys."""
+        more = self.raw.get(name)
+        return fixed if more is None else fixed.unionByName(more.join(fixed, key, "left_anti"))
 
     def _dim_season_type(self):
         return lookups.dim_season_type(self.spark)
@@ -109,7 +121,7 @@ class Model:
         return facts.player_fact(self["v_player"], self["v_bios"], self["v_team"])
 
     def _team_boxscores_base(self):
-        return facts.team_base(self["v_team"])
+        return facts.team_base(self["v_team"], self["excluded_games"])
 
     def _team_boxscores_agg_team_only(self):
         return facts.rollup_reconstruct(self["player_boxscores"])
@@ -153,53 +165,66 @@ def build_model(spark: SparkSession, raw: dict[str, DataFrame], store=None) -> M
     return Model(spark, raw, store)
 
 
-def write_bios_seen(bios: DataFrame, root: str) -> str:
-    return write_table(bios.select("PLAYER_ID", "BIRTHDATE"), root, "model", BIOS_SEEN)
+# ---- the stored model ------------------------------------------------------------------
+#: Tables of which a season's rows depend only on that season's raw rows and on bios: partitioned by ``year``.
+#: The ``season_*`` ones are the states from which dimensions and career products are put together.
+BY_YEAR = ["season_roster", "season_teams", "season_impact", "season_profile", "team_rows", "player_boxscores",
+           "team_boxscores_base", "team_boxscores_agg_team_only", "team_boxscores_agg", "team_boxscores"]
+
+
+def write_bios_seen(tx: Transaction, bios: DataFrame) -> DataFrame:
+    return tx.write("model", BIOS_SEEN, bios.select("PLAYER_ID", "BIRTHDATE"))
 
 
-def write_model(spark: SparkSession, raw: dict[str, DataFrame], root: str,
-                mode: str = "overwrite", write_lookups: bool = True) -> dict[str, str]:
-    """Materialise lookups and model tables under ``<root>/model`` in dependency order.
+def build_by_year(tx: Transaction, raw: dict[str, DataFrame], years: list[int] | None = None) -> None:
+    """The tables of ``BY_YEAR`` from raw rows; with ``years`` the raw rows are theirs, and only they are replaced.
 
-    Each table is written, then re-read for its dependants, so later stages read the
-    written parquet instead of recomputing the chain.
+    Each table is written once, and what is built on it reads the written rows, those of ``years`` alone.
     """
-    built = build_model(spark, raw)
-    paths: dict[str, str] = {}
-    if write_lookups:  # first build; a rebuild reads the curated lookups already written
-        for name in LOOKUP_TABLES:
-            paths[name] = write_table(built[name], root, "model", name, mode)
-    materialised: dict[str, DataFrame] = {}
-
-    def table(name: str) -> DataFrame:
-        return materialised[name]
-
-    stg = {"bios": built["v_bios"], "player": built["v_player"], "team": built["v_team"]}
-    steps = {
-        "dim_seasons": lambda: dims.dim_seasons(stg["team"]),
-        "dim_teams": lambda: dims.dim_teams(stg["team"], read_table(spark, root, "model",
-                                                                      "team_logos_by_year")),
-        "player_boxscores": lambda: facts.player_fact(stg["player"], stg["bios"], stg["team"]),
-        "team_boxscores_base": lambda: facts.team_base(stg["team"]),
-        "team_boxscores_agg_team_only": lambda: facts.rollup_reconstruct(table("player_boxscores")),
-        "team_boxscores_agg": lambda: facts.opponent_join(
-            table("team_boxscores_agg_team_only"),
-            carry=["team_id", "game_id", *facts.STATS16]),
-        "team_boxscores": lambda: facts.team_fact(table("team_boxscores_base"),
-                                                  table("team_boxscores_agg")),
-        "player_signature_team": lambda: derived.signature_team(table("player_boxscores"),
-                                                                table("dim_teams")),
-        "career_percentiles": lambda: derived.career_percentiles(table("player_boxscores")),
-        "dim_players": lambda: derived.player_dim(
-            stg["bios"], read_table(spark, root, "model", "country_codes"),
-            read_table(spark, root, "model", "name_overrides"),
-            table("player_signature_team"), table("career_percentiles")),
-    }
-    for name in MODEL_ORDER:
-        part = ["year"] if name in PARTITIONED_BY_YEAR else None
-        df = steps[name]()
-        paths[name] = write_table(df, root, "model", name, mode, part)
-        # dependants read the written table, with the schema it was written with
-        materialised[name] = spark.read.schema(df.schema).parquet(paths[name])
-    write_bios_seen(raw["bios"], root)
-    return paths
+    built = build_model(tx.spark, raw)
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        return tx.write("model", name, df, "year") if years is None else tx.replace("model", name, df, years)
+
+    year = season_year("season").alias("year")
+    roster = built["v_player"].select("player_id", "season", year).distinct()
+    team_rows, _ = tx.together(lambda: store("team_rows", built["v_team"].select("*", year)),
+                               lambda: store("season_roster", roster))
+    player, base, _ = tx.together(
+        lambda: store("player_boxscores", facts.player_fact(built["v_player"], built["v_bios"], team_rows)),
+        lambda: store("team_boxscores_base", facts.team_base(team_rows, tx.read("model", "excluded_games"))),
+        lambda: store("season_teams", team_rows.select("season", "team_id", "team_abbreviation", "team_name", "year").distinct()))
+    only, _, _ = tx.together(
+        lambda: store("team_boxscores_agg_team_only", facts.rollup_reconstruct(player, ["team_id", "game_id", "year"])),
+        lambda: store("season_impact", derived.season_impact(player)),
+        lambda: store("season_profile", derived.season_percentiles(derived.season_rates(player))))
+    agg = store("team_boxscores_agg", facts.opponent_join(only, carry=["team_id", "game_id", "year", *facts.STATS16]))
+    store("team_boxscores", facts.team_fact(base, agg))
+
+
+def build_across(tx: Transaction, bios: DataFrame) -> None:
+    """Dimensions and career products, from the season states, the bios and the curated lookups."""
+    def read(name: str) -> DataFrame:
+        return tx.read("model", name)
+
+    teams, logos = read("season_teams"), read("team_logos_by_year")
+    _, dim_teams, _ = tx.together(
+        lambda: tx.write("model", "dim_seasons", dims.dim_seasons(teams)),
+        lambda: tx.write("model", "dim_teams", dims.dim_teams(teams, logos)),
+        lambda: tx.write("model", "career_percentiles", derived.career_profile(read("season_profile"))))
+    tx.write("model", "player_signature_team", derived.signature_of(read("season_impact"), dim_teams))
+    from courtline.operators.staging import stage_bios
+    tx.write("model", "dim_players", derived.player_dim(
+        stage_bios(bios), read("country_codes"), read("name_overrides"), read("player_signature_team"), read("career_percentiles")))
+
+
+def write_model(spark: SparkSession, raw: dict[str, DataFrame], root: str, write_lookups: bool = True) -> Snapshot:
+    """Build lookups and model tables under ``root`` in dependency order, as one transaction."""
+    with Warehouse(spark, root).transaction() as tx:
+        if write_lookups:  # first build; a rebuild reads the curated lookups already written
+            built = build_model(spark, raw)
+            tx.together(*[lambda n=n: tx.write("model", n, built[n]) for n in LOOKUP_TABLES])
+        build_by_year(tx, raw)
+        build_across(tx, raw["bios"])
+        write_bios_seen(tx, raw["bios"])
+    return tx

@@ -43,16 +43,20 @@ class TableStore:
         return f"{self.root}/{name}"
 
     def materialize(self, name: str, build: Callable[[], DataFrame],
-                    partition_by: list[str] | None = None) -> DataFrame:
+                    partition_by: list[str] | None = None, bucket_by: str | None = None) -> DataFrame:
         """Write ``build()`` once as parquet; return a scan of the written table.
 
         One lock per table: independent tables can be written by concurrent jobs,
-        while a table is never written twice.
+        while a table is never written twice.  With ``bucket_by`` the table is dealt and sorted by that
+        column as it is written, so that joins on it need no exchange of this side.
         """
         with self._lock(name):
             if name not in self._written:
                 t0 = time.perf_counter()
                 df = build()
+                if bucket_by:
+                    self._written[name] = self._bucketed(df, name, bucket_by)
+                    return self._written[name]
                 schema = df.schema
                 w = (gathered(df, partition_by) if partition_by else df).write.mode("overwrite").option("partitionOverwriteMode", "static")
                 if partition_by:
@@ -65,6 +69,13 @@ class TableStore:
                 self._written[name] = self.spark.read.schema(schema).parquet(self.path(name))
             return self._written[name]
 
+    def _bucketed(self, df: DataFrame, name: str, column: str) -> DataFrame:
+        """A table of Spark's catalog, whose entry keeps the buckets, over files in the store."""
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = re.sub(r"\W+", "_", f"courtline_{self.path(name)}").lower()
+        (df.repartition(n, column).write.mode("overwrite").format("parquet").option("path", self.path(name))
+         .bucketBy(n, column).sortBy(column).saveAsTable(table))
+        return self.spark.table(table)
 
     def materialize_all(self, builders: dict[str, Callable[[], DataFrame]],
                         max_workers: int = 4,

@@ -108,3 +108,5 @@ TEAM_SPEC = (
     + [("season", "Season", "text"),
        ("season_type", "SeasonType", "text")]
 )
+
+STAGING_SPECS = {"bios": BIOS_SPEC, "player_boxscores": PLAYER_SPEC, "team_boxscores": TEAM_SPEC}

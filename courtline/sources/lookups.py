@@ -63,6 +63,10 @@ NAME_OVERRIDES = [
     (1631466, "Jeenathan Williams"),
 ]
 
+# ---- fixed values: games whose box scores are known to be void ----------------------
+# 2013-04-16, cancelled; every statistic was recorded as zero.
+EXCLUDED_GAME_IDS = ["0021201214"]
+
 COUNTRY_SCHEMA = T.StructType([T.StructField("country", T.StringType(), True),
                                T.StructField("code", T.StringType(), True)])
 OVERRIDE_SCHEMA = T.StructType([T.StructField("player_id", T.LongType(), True),
@@ -83,6 +87,10 @@ def dim_season_type(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SEASON_TYPES, SEASON_TYPE_SCHEMA)
 
 
+def excluded_games(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(g,) for g in EXCLUDED_GAME_IDS], "game_id string")
+
+
 def read_team_logos(spark: SparkSession, path: str) -> DataFrame:
     """Curated era-logo CSV ``team,year,logo`` with a header."""
     return spark.read.csv(path, header=True, schema=LOGO_SCHEMA, quote='"', escape='"')

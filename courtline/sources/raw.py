@@ -1,8 +1,8 @@
 """Raw-layer sources and sinks (SRC1-3, SNK1-5).
 
-Raw CSVs are read with an all-text schema.  Writers use plain parquet directories:
-a layer is a path prefix (``<root>/raw``, ``<root>/model``).  Raw box scores are
-partitioned by ``Season`` so a season replace is a dynamic partition overwrite.
+Raw CSVs are read with an all-text schema.  Tables are stored in a versioned warehouse
+(``sources/warehouse.py``), in which a layer is a folder (``<root>/raw``, ``<root>/model``).  Raw box
+scores are partitioned by ``Season``, so a season is replaced without touching another.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtline.schemas import RAW_SCHEMAS
+from courtline.sources.warehouse import Warehouse
 
 LAYERS = ("raw", "staging", "model")
 
@@ -36,13 +37,8 @@ def write_raw_csv(df: DataFrame, path: str, table: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{layer}/{name}")
-
-
-def drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
-    """Delete one partition of a stored table, as DELETE ... WHERE column = value does."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    """A table of the warehouse at ``root`` as it was last published."""
+    return Warehouse(spark, root).read(layer, name)
 
 
 def gathered(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -51,13 +47,11 @@ def gathered(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def write_table(df: DataFrame, root: str, layer: str, name: str, mode: str = "overwrite",
-                partition_by: list[str] | None = None) -> str:
-    """Materialise a table.  ``mode='ignore'`` is CREATE TABLE IF NOT EXISTS (first
+                partition_by: str | None = None) -> DataFrame | None:
+    """Store one table as a transaction of its own.  ``mode='ignore'`` is CREATE TABLE IF NOT EXISTS (first
     build); rebuilds use ``overwrite`` so a stale table is never silently kept."""
-    path = f"{root}/{layer}/{name}"
-    # static: a rebuild replaces the whole table, partitions that are gone included
-    w = (gathered(df, partition_by) if partition_by else df).write.mode(mode).option("partitionOverwriteMode", "static")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
+    warehouse = Warehouse(df.sparkSession, root)
+    if mode == "ignore" and warehouse.snapshot().has(layer, name):
+        return None
+    with warehouse.transaction() as tx:
+        return tx.write(layer, name, df, partition_by)

@@ -20,6 +20,8 @@ ERA_SPLIT_YEAR = 1998        # team names get an era suffix: ' A' before, ' B' f
 UNRECORDED_YEAR = 1995       # steals and blocks were not recorded this season
 TEAM_GAP_YEARS = (1996, 1997)  # team rows miss oreb/dreb/stl/blk/tov (~90%)
 MISSING_LOGO = (24, 2001)    # one team-season without a logo row
+VOID_GAMES = 211             # of these orders the game is void
+KNOWN_AS = (29, 3)           # players of this remainder have a display name of their own
 COUNTRIES_BY_MOD6 = ["USA", "México", "DRC", "Macedonia", "France", "Atlantis"]
 ACCENTED_FIRST_NAME = "Đorđe Łæßčé"
 POSITIONS = ["Guard", "Forward", "Center"]
@@ -274,6 +276,19 @@ def team_logos(spark: SparkSession, sf_dir: str) -> DataFrame:
                              y.cast("string"), F.lit(".svg")).alias("logo")))
 
 
+def excluded_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Void games of the fixture: every order of which ``VOID_GAMES`` divides the key."""
+    o = F.col("o_orderkey")
+    return _read(spark, sf_dir, "orders").filter(o % VOID_GAMES == 0).select(F.lpad(o.cast("string"), 10, "0").alias("game_id"))
+
+
+def name_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Display names of the fixture's own, for players whom the curated list does not name."""
+    s = F.col("s_suppkey")
+    return _read(spark, sf_dir, "supplier").filter(s % KNOWN_AS[0] == KNOWN_AS[1]) \
+        .select(s.alias("player_id"), F.concat(F.lit("Known as "), s.cast("string")).alias("name_override"))
+
+
 class _LazyRaw(dict):
     """Raw fixture tables, each built on first access."""
 
@@ -295,6 +310,8 @@ _LazyRaw._BUILDERS = {
     "player_boxscores": raw_player_boxscores,
     "team_boxscores": raw_team_boxscores,
     "team_logos": team_logos,
+    "excluded_games": excluded_games,
+    "name_overrides": name_overrides,
 }
 
 

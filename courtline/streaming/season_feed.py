@@ -17,8 +17,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.plans.refresh import replace_partitions
 from courtline.schemas import RAW_SCHEMAS
+from courtline.sources.warehouse import Warehouse
 
 BOX_SCORE_TABLES = ("player_boxscores", "team_boxscores")
 
@@ -46,7 +46,11 @@ def replace_seasons_batch(root: str, table: str, feed: str,
         present = F.trim("Season") != ""
         seasons = [r[0] for r in every.filter((F.col("_epoch") == epoch_id) & present).select("Season").distinct().collect()]
         rows = every.filter(F.col("Season").isin(seasons)).drop("_epoch")
-        replace_partitions(spark, rows, f"{root}/raw/{table}", "Season", seasons)
+        with Warehouse(spark, root).transaction() as tx:
+            if tx.has("raw", table):
+                tx.replace("raw", table, rows, seasons)
+            else:
+                tx.write("raw", table, rows, "Season")
         if after is not None:
             after(epoch_id)
     return handle

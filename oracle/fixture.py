@@ -232,6 +232,8 @@ dim_teams AS (
   SELECT team_id, team_abbreviation, team_name, year, team_id || '|' || year AS team_year_key, logo AS logo_by_year
   FROM (SELECT *, {_YEAR} AS year FROM v_team) JOIN (SELECT team AS team_name, year, logo FROM team_logos) USING (team_name, year)
   GROUP BY ALL),
+excluded_games AS (
+  SELECT unnest(['0021201214']) AS game_id UNION SELECT lpad(CAST(o_orderkey AS VARCHAR), 10, '0') FROM orders WHERE o_orderkey % 211 = 0),
 raw_games AS ({_sides("v_team")}),
 player_boxscores AS (
   SELECT player_id, team_id, foe.team_id AS opponent_id, {_DIMENSIONS}, game_id, game_date,
@@ -241,7 +243,7 @@ player_boxscores AS (
 team_boxscores_base AS (
   SELECT team_id, foe.team_id AS opponent_id, game_id, game_date, {_DIMENSIONS}, {_VENUE}, wl,
     {", ".join(_STAT_LIST)}, {_FOE}
-  FROM ({_against("v_team", "raw_games")}) WHERE game_id <> '0021201214'),
+  FROM ({_against("v_team", "raw_games")}) WHERE game_id NOT IN (FROM excluded_games)),
 team_boxscores_agg_team_only AS (
   SELECT team_id, game_id, {", ".join(f"sum({c}) AS {c}" for c in _STAT_LIST)} FROM player_boxscores GROUP BY ALL),
 rolled_games AS ({_sides("team_boxscores_agg_team_only")}),
@@ -274,7 +276,10 @@ career_percentiles AS (
   FROM axis_values a JOIN axis_ranks r ON a.year IS NOT DISTINCT FROM r.year AND a.axis = r.axis AND a.v IS NOT DISTINCT FROM r.v
   GROUP BY player_id),
 country_codes AS (SELECT * FROM (VALUES {{COUNTRY_VALUES}}) t(country, code)),
-name_overrides AS (SELECT * FROM (VALUES {{OVERRIDE_VALUES}}) t(player_id, name_override)),
+curated_names AS (SELECT * FROM (VALUES {{OVERRIDE_VALUES}}) t(player_id, name_override)),
+name_overrides AS (
+  FROM curated_names UNION ALL SELECT s_suppkey, 'Known as ' || s_suppkey FROM supplier
+  WHERE s_suppkey % 29 = 3 AND s_suppkey NOT IN (SELECT player_id FROM curated_names)),
 dim_players AS (
   SELECT player_id, ifnull((SELECT min(name_override) FROM name_overrides o WHERE o.player_id = v_bios.player_id),
                            display_first_last) AS player_name,

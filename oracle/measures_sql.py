@@ -158,6 +158,14 @@ reg_per("per_career", ["player_id"],
         "player_id, ROUND(u_per, 6) AS u_per, ROUND(a_per, 6) AS a_per, "
         "ROUND(lga_per, 6) AS lga_per, ROUND(per, 6) AS per")
 
+# all three grains at once: the rows of the three queries above, each under its grain's name
+_GRAINS = {"season type": (_PS, "year, season_type_key"), "season": (_PS[:2], "year, NULL::INT AS season_type_key"),
+           "career": (_PS[:1], "NULL::INT AS year, NULL::INT AS season_type_key")}
+reg("per_grains", " UNION ALL ".join(
+    f"SELECT * FROM (WITH {per_sql(g).strip()[1:]} SELECT '{name}' AS grain, player_id, {keys}, "
+    + ", ".join(f"ROUND({c}, 6) AS {c}" for c in ["u_per", "a_per", "lga_per", "per"]) + " FROM perf)"
+    for name, (g, keys) in _GRAINS.items()))
+
 _TT = f"SELECT {_TSJ}, COUNT(*) AS tm_gp, {tsum('')} FROM team_boxscores"
 reg("tm_gp", f"SELECT {_TSJ}, COUNT(*) AS tm_gp FROM team_boxscores GROUP BY {_TSJ}")
 reg("mov", f"SELECT {_TSJ}, ROUND({div(bsub(d('tm_pts'), d('opp_pts')), 'tm_gp')}, 6) AS mov "

@@ -97,17 +97,18 @@ for _t, _cols in _EXPORTS.items():
     reg(f"bi_export_{_t}", f"SELECT {_cols} FROM {_t}")
 
 # ---- data-quality checks --------------------------------------------------------------
-reg("check_orphans", "SELECT DISTINCT bs.player_id FROM v_player bs "
-                     "LEFT JOIN v_bios bios ON bs.player_id = bios.player_id "
-                     "WHERE bios.player_id IS NULL")
-reg("check_dup_player", "SELECT player_id, game_id, team_id, COUNT(*) AS count FROM v_player "
-                        "GROUP BY player_id, game_id, team_id HAVING COUNT(*) > 1")
-reg("check_dup_team", "SELECT game_id, team_id, COUNT(*) AS count FROM v_team "
-                      "GROUP BY game_id, team_id HAVING COUNT(*) > 1")
-reg("check_missing_logo",
-    "SELECT DISTINCT b.team_name, CAST(LEFT(b.season, 4) AS INT) AS year FROM v_team b "
-    "LEFT JOIN team_logos l ON b.team_name = l.team AND CAST(LEFT(b.season, 4) AS INT) = l.year "
-    "WHERE l.team IS NULL")
+reg("check_orphans", "SELECT player_id FROM v_player EXCEPT SELECT player_id FROM v_bios")
+
+
+def _repeated(rows: str, *keys: str) -> str:
+    """Keys of several rows: a row in each key's window that is the second, with the window's size."""
+    k = ", ".join(keys)
+    return f"SELECT {k}, count(*) OVER same AS count FROM {rows} WINDOW same AS (PARTITION BY {k}) QUALIFY row_number() OVER same = 2"
+
+
+reg("check_dup_player", _repeated("v_player", "player_id", "game_id", "team_id"))
+reg("check_dup_team", _repeated("v_team", "game_id", "team_id"))
+reg("check_missing_logo", "SELECT team_name, CAST(season[1:4] AS INT) AS year FROM v_team EXCEPT SELECT team, year FROM team_logos")
 reg("check_fact_parity",
     "SELECT 'player_boxscores' AS source, COUNT(*) AS n FROM player_boxscores "
     "UNION ALL SELECT 'v_player_boxscores', COUNT(*) FROM v_player")
@@ -117,8 +118,7 @@ reg("check_selfjoin_parity",
     "UNION ALL SELECT 'v_team_boxscores', COUNT(*) FROM v_team")
 reg("check_homonyms", "SELECT player_name, player_id, birthdate FROM dim_players WHERE player_name IS NOT NULL "
                       "QUALIFY count(*) OVER (PARTITION BY player_name) > 1")
-reg("check_dup_dim", "SELECT player_id, COUNT(*) AS count FROM dim_players "
-                     "GROUP BY player_id HAVING COUNT(*) > 1")
+reg("check_dup_dim", _repeated("dim_players", "player_id"))
 
 
 def _missing(c: str) -> str:
@@ -171,6 +171,43 @@ reg_refreshed("refresh_dim_players", "SELECT * FROM dim_players")
 for _name in ("bios", "player", "team"):
     SQL[f"csv_{_name}"] = SQL[f"staging_{_name}"]
 
+# ---- loads of dirty files -------------------------------------------------------------
+_BAD_CELLS = {"GAME_DATE": (29, "31/02/1997", "date"), "MIN": (31, "12:30", "decimal(10,0)"), "TEAM_ID": (37, "12.0", "bigint"),
+              "PTS": (43, "n/a", "decimal(10,0)")}
+_SPOILED = " OR ".join(f"n % {k} = 0" for k in [41, *(k for k, _, _ in _BAD_CELLS.values())])
+
+
+def _dirty(name: str) -> str:
+    """Raw rows with ``n``, by which cells are bad and lines cut short, and the first five cells of a line."""
+    head = {"player": ["PLAYER_ID", "PLAYER_NAME", "TEAM_ID", "TEAM_ABBREVIATION"],
+            "team": ["TEAM_ID", "TEAM_ABBREVIATION", "TEAM_NAME", "GAME_ID"]}[name]
+    n = " + ".join(f'CAST("{c}" AS BIGINT)' for c in ["GAME_ID", "TEAM_ID", *(["PLAYER_ID"] if name == "player" else [])])
+    cells = " || ',' || ".join(f'if(n % {_BAD_CELLS[c][0]} = 0, \'{_BAD_CELLS[c][1]}\', "{c}")' if c in _BAD_CELLS else f'"{c}"' for c in head)
+    season = "if(\"SeasonType\" = 'Playoffs', '4', '2') || \"Season\"[1:4]"
+    return f", dirty_{name} AS (SELECT n, {season} || ',' || {cells} AS line_head FROM (SELECT *, {n} AS n FROM raw_{name}))"
+
+
+def _rejects(name: str) -> str:
+    return (f"SELECT line_head, NULL::VARCHAR AS \"column\", NULL::VARCHAR AS value, 'cells' AS reason FROM dirty_{name} WHERE n % 41 = 0"
+            + "".join(f" UNION ALL SELECT line_head, '{c}', '{v}', '{kind}' FROM dirty_{name} WHERE n % {k} = 0 AND n % 41 <> 0"
+                      for c, (k, v, kind) in _BAD_CELLS.items()))
+
+
+for _t in ("player", "team"):
+    _whole = STATS16 + (["plus_minus"] if _t == "player" else [])
+    _n = "CAST(game_id AS BIGINT) + team_id" + (" + player_id" if _t == "player" else "")
+    reg(f"load_{_t}_rows", f"SELECT * EXCLUDE (n) FROM (SELECT * REPLACE ({', '.join(f'CAST({c} AS BIGINT) AS {c}' for c in _whole)}), "
+                           f"{_n} AS n FROM v_{_t}) WHERE NOT ({_SPOILED})")
+    reg(f"load_{_t}_rejects", f"__EXTRA__{_dirty(_t)}\n__SELECT__{_rejects(_t)}")
+reg("load_counts", f"__EXTRA__{_dirty('player')}{_dirty('team')}\n__SELECT__" + " UNION ALL ".join(
+    f"SELECT '{t}_boxscores' AS source, count(*) AS lines, count(*) FILTER (NOT ({_SPOILED})) AS rows, "
+    f"count(*) FILTER ({_SPOILED}) AS rejected_lines, (SELECT count(*) FROM ({_rejects(t)})) AS rejects FROM dirty_{t}" for t in ("player", "team")))
+
+# ---- duplicate checks after a load that came twice --------------------------------------
+_TWICE = "(FROM v_team UNION ALL FROM v_team WHERE season = (SELECT max(season) FROM v_team))"
+reg("check_dup_team_reload", _repeated(_TWICE, "game_id", "team_id"))
+reg("check_dup_dim_reload", _repeated("(FROM dim_players UNION ALL FROM dim_players WHERE player_id % 7 = 0)", "player_id"))
+
 # ---- season rates ---------------------------------------------------------------------
 reg("season_rates",
     "SELECT player_id, year, count(*) AS gp, CAST(sum(min) AS BIGINT) AS min, "
