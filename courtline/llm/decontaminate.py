@@ -1,7 +1,7 @@
 """Benchmark decontamination by CGK embedding and bit-sampling LSH (operator 1).
 
 Texts are word sequences (A-Z in lower case; ASCII characters other than letters and digits
-separate).  A document holds an item if a stretch of it lies within ``floor(share * words)`` word
+separate; of scripts that put no spaces between words each character is a word).  A document holds an item if a stretch of it lies within ``floor(share * words)`` word
 edits of the whole item.  Items go to the tasks in blocks of bounded size, so any number of items can
 be searched; documents are never shuffled.
 
@@ -19,8 +19,9 @@ piece that meets a key leads to the whole item.
 An exact copy shares all keys but those whose walk has left the item.  ``recall`` gives the share of edited copies that meet in some key, by
 simulation; up to a fifth of the words edited, the allowed distance, it is above 0.95 whatever the length (see the tests).
 
-Defined cases: null or empty texts hold nothing; items with under ``MIN_WORDS`` words identify nothing
-and are skipped; a null item or doc id stays null in the result; rows repeated in either table repeat
+Items of under ``MIN_WORDS`` words, whose fifth is no word, are looked up as exact word sequences.
+
+Defined cases: null or empty texts hold nothing; items without a word are held by nothing; a null item or doc id stays null in the result; rows repeated in either table repeat
 in the result; further columns are ignored; an empty table gives an empty result.
 """
 
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtline.llm.neardup import Words, mixed
-from courtline.llm.shared import ship, text_of
+from courtline.llm.shared import exact, opaque, ship, text_of
 
 MIN_WORDS = 5
 SHARE = 0.2
@@ -45,21 +46,26 @@ WHOLE, PIECE = 60, 45
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 16_000_000
 
 _SEPARATED = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
-_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
+# fixed values: blocks of scripts written without spaces (Thai to Tibetan, Burmese, Khmer, kana and Chinese characters)
+_UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_ALONE = re.compile(f"[{_UNSPACED}]")
+_WORD = re.compile(f"[{_UNSPACED}]|(?:(?![{_UNSPACED}])[0-9A-Za-z\u0080-\U0010ffff])+")
+
 
 def word_hashes(text: str, hashes: Words) -> np.ndarray:
-    words = text.encode("utf-8", "surrogatepass").translate(_SEPARATED).split()
+    raw = text.encode("utf-8", "surrogatepass")
+    if not text.isascii() and (np.frombuffer(raw, np.uint8) >= 0xE0).any():  # three bytes and more
+        raw = _ALONE.sub(r" \g<0> ", text).encode("utf-8", "surrogatepass")
+    words = raw.translate(_SEPARATED).split()
     return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
 
 
 def char_span(text: str, first: int, last: int) -> tuple[int, int]:
     """Code points of the words ``first`` to ``last`` (exclusive) of a text."""
-    raw = text.encode("utf-8", "surrogatepass")
-    at = [m.span() for k, m in enumerate(_WORD.finditer(raw)) if k in (first, last - 1)]
-    chars = lambda b: len(raw[:b].decode("utf-8", "surrogatepass"))
-    return chars(at[0][0]), chars(at[-1][1])
+    at = [m.span() for k, m in enumerate(_WORD.finditer(text)) if k in (first, last - 1)]
+    return at[0][0], at[-1][1]
 
 
 def edit_ends(item: np.ndarray, text: np.ndarray, anchored: bool = False) -> np.ndarray:
@@ -91,16 +97,27 @@ def _pairs(words: np.ndarray) -> np.ndarray:
     return mixed(words[:-1] * _GOLD + words[1:])
 
 
+def _sequence_keys(words: np.ndarray, n: int) -> np.ndarray:
+    """A key of each sequence of ``n`` words."""
+    key = np.zeros(len(words) - n + 1, np.uint64)
+    for j in range(n):
+        key = mixed(key * _GOLD + words[j:len(words) - n + 1 + j])
+    return key
+
+
 class Index:
     """Keys of a block of items, by length class (powers of 1.25)."""
 
     def __init__(self, items: list[tuple[int, str]], share: float = SHARE, seed: int = 7):
         hashes = Words()
         self.share = share
-        self.items = [(i, h) for i, t in items if len(h := word_hashes(t or "", hashes)) >= MIN_WORDS]
-        self.pairs = np.unique(np.concatenate([_pairs(h) for _, h in self.items])) if self.items else np.empty(0, np.uint64)
+        self.items = [(i, h) for i, t in items if len(h := word_hashes(t or "", hashes))]
+        whole = [k for k, (_, h) in enumerate(self.items) if len(h) >= MIN_WORDS]
+        self.short = {n: self._exact([k for k, (_, h) in enumerate(self.items) if len(h) == n]) for n in range(1, MIN_WORDS)}
+        self.pairs = np.unique(np.concatenate([_pairs(self.items[k][1]) for k in whole])) if whole else np.empty(0, np.uint64)
         self.pieces = []  # (item, place in it, words)
-        for k, (_, h) in enumerate(self.items):
+        for k in whole:
+            h = self.items[k][1]
             parts = np.array_split(h, 1 if len(h) <= WHOLE else -(-len(h) // PIECE))
             self.pieces += zip([k] * len(parts), np.cumsum([0, *map(len, parts[:-1])]).tolist(), parts)
         by_class = defaultdict(list)
@@ -123,6 +140,24 @@ class Index:
                 entry["tables"].append((keys[order], np.array(members)[order]))
             self.classes.append(entry)
 
+    def _exact(self, members: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys of short items of one length, and the items."""
+        keys = np.array([_sequence_keys(self.items[k][1], len(self.items[k][1]))[0] for k in members], np.uint64)
+        order = np.argsort(keys, kind="stable")
+        return keys[order], np.array(members, np.int64)[order]
+
+    def copies(self, text: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(start, item) of each exact copy of a short item in the joined texts."""
+        for n, (keys, members) in self.short.items():
+            if not len(keys) or len(text) < n:
+                continue
+            mine = _sequence_keys(text, n)
+            lo, hi = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
+            for start in np.flatnonzero(hi > lo).tolist():
+                for k in members[lo[start]:hi[start]].tolist():
+                    if np.array_equal(text[start:start + n], self.items[k][1]):
+                        yield start, k
+
     def allowed(self, k: int) -> int:
         return int(self.share * len(self.items[k][1]))
 
@@ -146,6 +181,8 @@ class Index:
     def found(self, text: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int]]:
         """(start, piece) candidates in the joined texts ``text``; ``bounds`` are the texts' starts and the end.
         Texts are set apart by zeros, which no item has."""
+        if not self.classes:
+            return
         pairs = _pairs(text)
         place = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
         known = np.concatenate([[0], np.cumsum(self.pairs[place] == pairs)])
@@ -192,6 +229,11 @@ def matches(index: Index, texts: list[np.ndarray]) -> list[tuple[int, int, int,
                 low = (following or 0) - reach
         if best:
             out.append((d, k, *best))
+    first: dict[tuple[int, int], int] = {}
+    for start, k in index.copies(joined):
+        d = int(np.searchsorted(bounds, start, "right")) - 1
+        first[d, k] = min(first.get((d, k), start), start)
+    out += [(d, k, 0, s - int(bounds[d]), s - int(bounds[d]) + len(index.items[k][1])) for (d, k), s in first.items()]
     return out
 
 
@@ -212,7 +254,7 @@ def recall(words: int, edits: int, trials: int = 200, seed: int = 1) -> float:
     return found / trials
 
 
-OUT = "doc_id long, item_id long, distance long, item_words long, first_word long, last_word long, first_char long, last_char long"
+OUT = "doc_id string, item_id string, distance long, item_words long, first_word long, last_word long, first_char long, last_char long"
 
 
 def _portions(texts: list[str], hashes: Words, size: int = 500_000) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -237,8 +279,7 @@ def _search(shared):
                     item_id, item = index.items[k]
                     rows.append((ids[at + d], item_id, distance, len(item), first, last,
                                  *char_span(texts[at + d], first, last)))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in OUT.split(", ")]).astype(
-                {"doc_id": "Int64", "item_id": "Int64"})
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in OUT.split(", ")])
     return search
 
 
@@ -249,7 +290,7 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         if block and (len(block) >= BLOCK_ITEMS or size + len(r["text"]) > BLOCK_CHARS):
             yield block
             block, size = [], 0
-        block.append((r["item_id"], r["text"]))
+        block.append((None if r["item_id"] is None else str(r["item_id"]), r["text"]))
         size += len(r["text"])
     if block:
         yield block
@@ -260,9 +301,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
     spark, out = docs.sparkSession, None
     for block in blocks(benchmark):
         shared = spark.sparkContext.broadcast(Index(block, share))
-        part = text_of(docs).mapInPandas(_search(shared), OUT)
+        part = opaque(text_of(docs), "doc_id").mapInPandas(_search(shared), OUT)
         out = part if out is None else out.union(part)
-    return out if out is not None else spark.createDataFrame([], OUT)
+    return exact(out if out is not None else spark.createDataFrame([], OUT), "doc_id", "item_id")
 
 
 def _holds(shared):

@@ -10,9 +10,9 @@ phrases.
 The templates are some hundred windows, a fixed table of this file, so they are broadcast.  Only hits are
 shuffled.
 
-Defined cases: a null or empty text has no words; rows that repeat a doc_id are a row each and share
-the passages found under that id; a row with a null doc_id has its base phrases alone; further columns
-are ignored; an empty table gives an empty result.
+Defined cases: a null or empty text has no words; each row is judged by its own text, whatever its doc_id, so rows that
+repeat a doc_id are a row each and a null doc_id stays null; further columns are ignored; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from courtline.llm.shared import text_of
+from courtline.llm.shared import saved, text_of
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 K = 3
@@ -82,30 +82,41 @@ def template_windows(spark: SparkSession) -> DataFrame:
     return t.select("template", "label", "size", "at", F.col("x.h").alias("h"), F.col("x.word").alias("word"))
 
 
-def passages(docs: DataFrame) -> DataFrame:
-    """Verified passages: doc_id, label, template, first_word, last_word (exclusive), cover."""
+def _key() -> Column:
+    """What passages are gathered by: a digest of the text, as rows of equal texts hold the same ones."""
+    return F.md5(F.encode("text", "UTF-8")).alias("key")
+
+
+def _text_passages(docs: DataFrame) -> DataFrame:
+    """Verified passages by text: key, label, template, first_word, last_word (exclusive), cover."""
     t = F.broadcast(template_windows(docs.sparkSession))
-    d = text_of(docs).filter("doc_id is not null").select("doc_id", words(F.col("text")).alias("w"))
-    d = d.select("doc_id", F.posexplode(_windows(F.col("w"))).alias("p", "x"))
-    d = d.select("doc_id", "p", F.col("x.h").alias("h"), F.col("x.word").alias("own"))
+    d = text_of(docs).select(_key(), words(F.col("text")).alias("w"))
+    d = d.select("key", F.posexplode(_windows(F.col("w"))).alias("p", "x"))
+    d = d.select("key", "p", F.col("x.h").alias("h"), F.col("x.word").alias("own"))
     hits = d.join(t, "h").filter(F.col("own") == F.col("word"))
-    votes = hits.groupBy("doc_id", "template", "label", "size", (F.col("p") - F.col("at")).alias("diagonal")).agg(
+    votes = hits.groupBy("key", "template", "label", "size", (F.col("p") - F.col("at")).alias("diagonal")).agg(
         F.collect_set("at").alias("ats"), F.min("p").alias("low"), F.max("p").alias("high"))
-    order = Window.partitionBy("doc_id", "template").orderBy("diagonal")
+    order = Window.partitionBy("key", "template").orderBy("diagonal")
     fresh = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > NEAR, F.lit(True)).cast("int")
     runs = votes.withColumn("run", F.sum(fresh).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = runs.groupBy("doc_id", "template", "label", "size", "run").agg(
+    merged = runs.groupBy("key", "template", "label", "size", "run").agg(
         F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"), F.min("low").alias("first_word"),
         (F.max("high") + K).alias("last_word"))
     held = F.size(F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + (K - 1))))))
     cover = held / F.col("size")
-    return merged.select("doc_id", "label", "template", "first_word", "last_word", cover.alias("cover")).filter(F.col("cover") >= COVER)
+    return merged.select("key", "label", "template", "first_word", "last_word", cover.alias("cover")).filter(F.col("cover") >= COVER)
+
+
+def passages(docs: DataFrame) -> DataFrame:
+    """Verified passages of each row: doc_id, label, template, first_word, last_word (exclusive), cover."""
+    found = saved(_text_passages(docs), "license-passages")
+    return text_of(docs).select("doc_id", _key()).join(found, "key").drop("key")
 
 
 def _base(docs: DataFrame) -> DataFrame:
     """Counts and places of the base phrases; each word stands between two spaces of its own."""
-    d = text_of(docs).select("doc_id", words(F.col("text")).alias("w"))
-    d = d.select("doc_id", F.size("w").cast("long").alias("n_words"),
+    d = text_of(docs).select("doc_id", _key(), words(F.col("text")).alias("w"))
+    d = d.select("doc_id", "key", F.size("w").cast("long").alias("n_words"),
                  F.concat(F.lit(" "), F.array_join("w", "  "), F.lit(" ")).alias("s"))
     count_of = lambda part: (F.length(part) - F.length(F.replace(part, F.lit(" ")))) / 2
     n, first, last, labels = [], [], [], []
@@ -116,7 +127,7 @@ def _base(docs: DataFrame) -> DataFrame:
         first.append(F.when(has, count_of(F.substring_index("s", p, 1))))
         last.append(F.when(has, F.col("n_words") - count_of(F.substring_index("s", p, -1)) - len(phrase.split())))
         labels.append(F.when(has, F.lit(label)))
-    return d.select("doc_id", "n_words", sum(n[1:], n[0]).cast("long").alias("n_base"),
+    return d.select("doc_id", "key", "n_words", sum(n[1:], n[0]).cast("long").alias("n_base"),
                     F.least(*first).cast("long").alias("first_word"), F.greatest(*last).cast("long").alias("last_word"),
                     F.array_sort(F.array_compact(F.array(*labels))).alias("base"))
 
@@ -126,8 +137,9 @@ def licenses(docs: DataFrame) -> DataFrame:
 
     The score is the largest share of a template that a passage covers, and 1 where a base phrase stands.
     """
-    found = passages(docs).groupBy("doc_id").agg(F.collect_set("label").alias("more"), F.max("cover").alias("cover"))
-    d = _base(docs).join(found, "doc_id", "left")
+    found = _text_passages(docs).groupBy("key").agg(F.collect_set("label").alias("more"), F.max("cover").alias("cover"))
+    # written first, so that Spark can split the join of a text that many rows hold
+    d = _base(docs).join(saved(found, "license-labels"), "key", "left")
     every = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("more", F.array().cast("array<string>")))))
     score = F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.least(F.coalesce("cover", F.lit(0.0)), F.lit(1.0)))
     return d.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"),

@@ -19,7 +19,7 @@ fewer words).  Steps:
    pair at 0.85 with probability (1 - 0.85 ** ROWS) ** BANDS, about 1e-5, and one at 0.8 with 4e-4.
 
 Defined cases: null and wordless texts have an empty set and no link; an empty table gives an empty
-result; rows that repeat a doc_id are one vertex and each get their row; a row with a null doc_id
+result; rows that repeat a doc_id are one vertex, linked by any of their texts, and each get their row; a row with a null doc_id
 is linked with nothing, keeps null as its component and is kept; further columns are ignored.
 """
 
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtline.llm.components import components
-from courtline.llm.shared import saved, small_enough, text_of
+from courtline.llm.shared import exact, opaque, saved, small_enough, text_of
 
 SHINGLE = 5
 SLOTS, ROWS = 100, 5
@@ -106,6 +106,18 @@ def superminhash(items: np.ndarray, starts: np.ndarray, slots: int = SLOTS) -> n
     return best
 
 
+def _sliced(items: np.ndarray, starts: np.ndarray, most: int = 200_000) -> np.ndarray:
+    """``superminhash``; a set of more than ``most`` items in slices, of whose signatures each slot's least value counts."""
+    if len(starts) != 2 or len(items) <= most:
+        return superminhash(items, starts)
+    best = None
+    for at in range(0, len(items), most):
+        part = items[at:at + most]
+        sig = superminhash(part, np.array([0, len(part)]))
+        best = sig if best is None else np.minimum(best, sig)
+    return best
+
+
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = Words()
     for b in batches:
@@ -119,24 +131,24 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 at += 1
             sets = [s for _, s in part]
             starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
-            sig = mixed(superminhash(np.concatenate(sets), starts).view(np.uint64))
+            sig = mixed(_sliced(np.concatenate(sets), starts).view(np.uint64))
             bands = np.zeros((len(sets), BANDS), np.uint64)
             for r in range(ROWS):
                 bands = mixed(bands * np.uint64(0x9E3779B97F4A7C15) + sig[:, r::ROWS])
             yield pd.DataFrame({
-                "doc_id": pd.array([i for i, _ in part], dtype="Int64"),
+                "doc_id": [i for i, _ in part],
                 "n_shingles": [len(s) for s in sets],
                 "print": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                 "bands": [x.view(np.int64) for x in bands],
                 "sig": [(x & np.uint64(0xFFFF)).astype("<u2").tobytes() for x in sig]})
 
 
-SIGNED = "doc_id long, n_shingles long, print binary, bands array<long>, sig binary"
+SIGNED = "doc_id string, n_shingles long, print binary, bands array<long>, sig binary"
 
 
 def signed(docs: DataFrame) -> DataFrame:
     """Signature table: doc_id, set size, a 128-bit print of the set, band keys, the signature."""
-    return saved(text_of(docs).mapInPandas(_signed, SIGNED), "signatures")
+    return saved(exact(opaque(text_of(docs), "doc_id").mapInPandas(_signed, SIGNED), "doc_id"), "signatures")
 
 
 def _linked(percent: int):
@@ -221,13 +233,60 @@ def _rest(rows: DataFrame, groups: DataFrame, reps: DataFrame, docs: DataFrame,
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, kept (see the module's text)."""
+    """Per row of ``docs``: doc_id, n_shingles, component_id, kept (see the module's text).
+
+    A doc_id with several texts links what any of them is linked with: its texts are vertices of their own
+    while groups are formed, and groups that share a doc_id are one.
+    """
+    several = _repeated_ids(docs)
+    if several is None:
+        return _grouped(docs, percent)
+    found = saved(_grouped(_own_vertices(docs, several), percent).select(F.col("doc_id").alias("vertex"), "n_shingles", "component_id"), "vertices")
+    own = saved(_own_vertices(docs, several).select(F.col("doc_id").alias("vertex"), F.col("__own").alias("doc_id"))
+                .filter("vertex is not null").distinct(), "vertex-ids")
+    if small_enough(own, BROADCAST_IDS):
+        own = F.broadcast(own)
+    rows = saved(found.join(own, "vertex", "left").select("doc_id", "n_shingles", F.col("component_id").alias("component")), "own-ids")
+    member = saved(rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min("component").alias("lo"), F.max("component").alias("hi")), "id-groups")
+    split = rows.join(member.filter("lo < hi").select("doc_id", "lo"), "doc_id")
+    merged = saved(components(split.select(F.col("component").alias("u"), F.col("lo").alias("v")).filter("u <> v")), "merged-groups")
+    member = member.join(merged, member.lo == merged.id, "left").select("doc_id", F.coalesce(merged.component, member.lo).alias("group"))
+    # a group is known by its smallest doc_id, which may not be its smallest vertex
+    least = member.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    ids = saved(member, "merged-ids").join(saved(least, "least-ids"), "group").select("doc_id", "component_id")
+    out = rows.select("doc_id", "n_shingles").join(saved(ids, "ids-of-groups"), "doc_id", "left")
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def _repeated_ids(docs: DataFrame) -> DataFrame | None:
+    """The doc_ids that occur with several texts, with the least hash of these; None if there are none."""
+    mark = F.xxhash64(F.coalesce("text", F.lit("")))
+    several = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.min(mark).alias("__first"), F.max(mark).alias("__last")) \
+        .filter("__first < __last").select(F.col("doc_id").alias("__id"), "__first")
+    several = saved(several, "repeated-ids")
+    return several if several.limit(1).count() else None
+
+
+def _own_vertices(docs: DataFrame, several: DataFrame) -> DataFrame:
+    """``docs`` with a doc_id for each text of a repeated one, and the given ids as ``__own``.
+
+    The text with the least hash keeps the doc_id; the others are known by a 63-bit hash of id and text.
+    """
+    if small_enough(several, BROADCAST_IDS):
+        several = F.broadcast(several)
+    mark = F.xxhash64(F.coalesce("text", F.lit("")))
+    other = F.xxhash64("doc_id", mark).bitwiseAND(F.lit(2 ** 63 - 1))
+    return docs.join(several, docs.doc_id == F.col("__id"), "left").withColumn("__own", F.col("doc_id")) \
+        .withColumn("doc_id", F.when(mark > F.col("__first"), other).otherwise(F.col("doc_id"))).drop("__id", "__first")
+
+
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """``near_duplicates`` where each doc_id has one text."""
     table = signed(docs)
     named = table.filter("doc_id is not null and print is not null")
     classes = named.groupBy("print").agg(F.min_by(F.struct("doc_id", "n_shingles", "bands", "sig"), "doc_id").alias("r"))
     reps = saved(classes.select("r.*", "print"), "classes")
     rows = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
-    rows = rows.groupBy("rep", "band", "key").agg(F.min("n").alias("n"))  # a doc_id with two texts is one vertex
     buckets = rows.groupBy("band", "key").agg(F.min("rep").alias("u"), F.count("*").alias("members")).filter("members > 1")
     buckets = saved(buckets.select("band", "key", "u"), "pivots")
     rows = saved(rows.join(buckets, ["band", "key"]), "buckets")
@@ -241,15 +300,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     same = named.select("doc_id", "print").join(reps.select("print", F.col("doc_id").alias("rep")), "print")
     joined = same.join(groups, same.rep == groups.id, "left").select(
         F.col("doc_id"), F.coalesce("component", "rep").alias("component"))
-    # a doc_id whose rows fall in several groups links them
-    member = joined.groupBy("doc_id").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    twice = member.filter("lo < hi")
-    if twice.limit(1).count():
-        split = joined.join(twice.select("doc_id", "lo"), "doc_id")
-        merged = components(split.select(F.col("component").alias("u"), F.col("lo").alias("v")))
-        joined = joined.join(merged, joined.component == merged.id, "left").select(
-            "doc_id", F.coalesce(merged.component, joined.component).alias("component"))
-        member = joined.groupBy("doc_id").agg(F.min("component").alias("lo"))
+    member = joined.groupBy("doc_id").agg(F.min("component").alias("lo"))  # rows repeat
     found = member.select("doc_id", F.col("lo").alias("component_id"))
     out = table.select("doc_id", "n_shingles").join(found, "doc_id", "left")
     component = F.coalesce("component_id", "doc_id")
@@ -258,28 +309,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """The rows of ``docs`` that stand for their group, one per doc_id; null ids stay."""
-    # without null ids, pandas holds large ids exactly
+    """The rows of ``docs`` that stand for their group, one per doc_id (the least by its columns); null ids stay."""
     kept = near_duplicates(docs.filter("doc_id is not null"), percent).filter("kept").select("doc_id").distinct()
-    known = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.select(*docs.columns).union(docs.filter("doc_id is null").select(*docs.columns))
+    known = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("__row"))
+    return known.select(*[F.col("__row")[c].alias(c) for c in docs.columns]).union(docs.filter("doc_id is null").select(*docs.columns))
 
 
 def one_of_each_text(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """As ``one_of_each``, but rows of one doc_id with different texts are vertices of their own.
-
-    The text with the least hash keeps the doc_id as its vertex; the others are known by a 63-bit hash of id
-    and text for as long as groups are formed.
-    """
-    mark = F.xxhash64(F.coalesce("text", F.lit("")))
-    several = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.min(mark).alias("__first"), F.max(mark).alias("__last")) \
-        .filter("__first < __last").select(F.col("doc_id").alias("__id"), "__first")
-    several = saved(several, "repeated-ids")
-    if not several.limit(1).count():
+    """As ``one_of_each``, but rows of one doc_id with different texts are vertices of their own."""
+    several = _repeated_ids(docs)
+    if several is None:
         return one_of_each(docs, percent)
-    if small_enough(several, BROADCAST_IDS):
-        several = F.broadcast(several)
-    other = F.xxhash64("doc_id", mark).bitwiseAND(F.lit(2 ** 63 - 1))
-    rows = docs.join(several, docs.doc_id == F.col("__id"), "left").withColumn("__own", F.col("doc_id")) \
-        .withColumn("doc_id", F.when(mark > F.col("__first"), other).otherwise(F.col("doc_id")))
-    return one_of_each(rows, percent).select(*[F.col("__own").alias(c) if c == "doc_id" else F.col(c) for c in docs.columns])
+    kept = one_of_each(_own_vertices(docs, several), percent)
+    return kept.select(*[F.col("__own").alias(c) if c == "doc_id" else F.col(c) for c in docs.columns])

@@ -80,20 +80,20 @@ templates AS (SELECT id, label, {_words("text")} AS w
   FROM (VALUES {", ".join(f"({k}, {_q(x)}, {_q(t)})" for k, (x, t) in enumerate(licenses.TEMPLATES))}) v(id, label, text)),
 grams AS (SELECT id, label, len(w) AS size, i AS place, w[i:i + {licenses.K - 1}] AS g
   FROM (SELECT *, unnest(range(1, len(w) - {licenses.K - 2})) AS i FROM templates)),
-hits AS (SELECT doc_id, id, label, size, place, i - place AS diagonal
-  FROM (SELECT r, i, w[i:i + {licenses.K - 1}] AS g FROM spots) s JOIN grams USING (g) JOIN texts USING (r) WHERE doc_id IS NOT NULL),
+hits AS (SELECT r, id, label, size, place, i - place AS diagonal
+  FROM (SELECT r, i, w[i:i + {licenses.K - 1}] AS g FROM spots) s JOIN grams USING (g)),
 steps AS (SELECT *, diagonal - lag(diagonal) OVER o > {licenses.NEAR} AS fresh
-  FROM (SELECT DISTINCT doc_id, id, diagonal FROM hits) WINDOW o AS (PARTITION BY doc_id, id ORDER BY diagonal)),
-runs AS (SELECT *, sum(if(fresh, 1, 0)) OVER (PARTITION BY doc_id, id ORDER BY diagonal) AS run FROM steps),
-held AS (SELECT DISTINCT doc_id, id, label, size, run, place + j AS word
-  FROM (SELECT doc_id, id, label, size, run, place, unnest(range({licenses.K})) AS j FROM hits JOIN runs USING (doc_id, id, diagonal))),
-found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(cover) AS cover
-  FROM (SELECT doc_id, id, label, run, count(*) / any_value(size) AS cover FROM held GROUP BY ALL) WHERE cover >= {licenses.COVER} GROUP BY doc_id)
+  FROM (SELECT DISTINCT r, id, diagonal FROM hits) WINDOW o AS (PARTITION BY r, id ORDER BY diagonal)),
+runs AS (SELECT *, sum(if(fresh, 1, 0)) OVER (PARTITION BY r, id ORDER BY diagonal) AS run FROM steps),
+held AS (SELECT DISTINCT r, id, label, size, run, place + j AS word
+  FROM (SELECT r, id, label, size, run, place, unnest(range({licenses.K})) AS j FROM hits JOIN runs USING (r, id, diagonal))),
+found AS (SELECT r, list(DISTINCT label) AS labels, max(cover) AS cover
+  FROM (SELECT r, id, label, run, count(*) / any_value(size) AS cover FROM held GROUP BY ALL) WHERE cover >= {licenses.COVER} GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(ifnull(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
   CAST(last_word AS BIGINT) AS last_word, array_to_string(list_sort(ifnull(b.labels, [])), ',') AS base_labels,
   array_to_string(list_sort(list_distinct(list_concat(ifnull(b.labels, []), ifnull(f.labels, [])))), ',') AS labels,
   if(n_base > 0, 1.0, least(ifnull(cover, 0.0), 1.0)) AS score
-FROM texts LEFT JOIN base b USING (r) LEFT JOIN found f USING (doc_id)"""
+FROM texts LEFT JOIN base b USING (r) LEFT JOIN found f USING (r)"""
 
 
 def _times(text: str, what: str) -> str:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtline.llm.shared import saved, text_of
+from courtline.llm.shared import exact, opaque, saved, text_of
 
 WINDOW = 1024
 CLOSING = 0
@@ -113,7 +113,7 @@ def plan(counts: dict[int, int], window: int = WINDOW) -> list[tuple[int, int, i
     return runs
 
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, place long, rank long"
+PIECES = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, part int, place long, rank long"
 
 
 def _cut(path: str, window: int, with_ids: bool):
@@ -132,7 +132,7 @@ def _cut(path: str, window: int, with_ids: bool):
                     met[n] += 1
                     place += 1
             names = [c.split()[0] for c in PIECES.split(", ")] + ["ids"] * with_ids
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=names)
     return cut
 
 
@@ -157,13 +157,14 @@ def pack(docs: DataFrame, window: int = WINDOW, path: str | None = None, with_id
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and with
     ``with_ids`` the token ids, so that sorting by sequence and offset gives the training sequences."""
     spark = docs.sparkSession
-    pieces = saved(text_of(docs).mapInPandas(_cut(path or vocabulary(), window, with_ids),
-                                             PIECES + ", ids array<int>" * with_ids), "pieces")
+    pieces = saved(opaque(text_of(docs), "doc_id").mapInPandas(_cut(path or vocabulary(), window, with_ids),
+                                                               PIECES + ", ids array<int>" * with_ids), "pieces")
     per_part = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     counts = {r["length"]: r["n"] for r in per_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     shared = spark.sparkContext.broadcast(plan(counts, window))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = per_part.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    out = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
-    return pieces.join(before, ["part", "length"]).select(*pieces.columns, "before") \
+    out = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
+    placed = pieces.join(before, ["part", "length"]).select(*pieces.columns, "before") \
         .mapInPandas(_placed(shared), out + ", sequence_id long, offset long")
+    return exact(placed, "doc_id")

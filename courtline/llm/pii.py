@@ -3,8 +3,9 @@
 The recognisers give the base spans.  The method adds spans that they miss (phone numbers without
 a plus, card numbers of other lengths): a character-level bidirectional LSTM whose emissions feed a
 CRF, trained in numpy from labelled spans.  The labels are the base spans of a bounded sample of the
-corpus (``SAMPLE`` documents with a digit or an at sign, by hash of the id) and generated spans of
-each kind written into windows of that sample.
+corpus and generated spans of each kind written into stretches of it.  The sample is ``SAMPLE`` documents with a digit
+or an at sign, by hash of the id, and of all windows around digits and signs of their whole texts ``WINDOWS`` at most, by
+hash of the window.
 
 Every whole text is searched.  The tagger runs over overlapping windows around each digit or at sign,
 since a span of any kind holds one; where windows overlap, each character takes the label of the window
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtline.llm.shared import bounded_sample, ship, text_of
+from courtline.llm.shared import bounded_sample, exact, opaque, ship, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -81,7 +83,7 @@ def base_spans(text: str) -> list[Span]:
 
 WIDTH, STRIDE = 64, 32
 TAGS = ["O", *[f"{b}-{k}" for k in KINDS for b in "BI"]]
-SAMPLE = 1500
+SAMPLE, WINDOWS = 1500, 6000
 EMBED, HIDDEN = 10, 16
 _SYMBOLS = 96 + 3  # printable ASCII, other ASCII, other letters, padding
 
@@ -236,16 +238,26 @@ def generated(kind: str, rng: np.random.Generator) -> str:
             f"{a}.{b}.{c}", f"1-{a}-{b}-{c}"][rng.integers(6)]
 
 
-def training_windows(texts: list[str], seed: int = 11, made: int = 1200) -> tuple[np.ndarray, np.ndarray]:
-    """Windows with their tags: of the texts around digits and at signs, and of generated spans written into them."""
+def _drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Every window around a digit or sign of whole texts, with its tags, and a stretch of text from a hashed place."""
+    for b in batches:
+        for text in b["text"].tolist():
+            tags, rows = _tagged(text, base_spans(text)), []
+            for k, m in enumerate(_SEED_RUN.finditer(text)):
+                draw = zlib.crc32(f"{k}:{m.start()}:{len(text)}".encode())
+                a, at = max(0, m.start() - 4 - draw % 26), draw // 26 % max(1, len(text) - 2 * WIDTH)
+                rows.append((text[a:a + WIDTH], tags[a:a + WIDTH].tolist(), text[at:at + 2 * WIDTH]))
+            yield pd.DataFrame(rows, columns=["window", "tags", "host"])
+
+
+def training_windows(texts: list[str], drawn: list[tuple[str, list[int]]] = (), seed: int = 11,
+                     made: int = 1200) -> tuple[np.ndarray, np.ndarray]:
+    """Windows with their tags: the ``drawn`` ones, and ``made`` ones of generated spans written into ``texts``."""
     rng, windows = np.random.default_rng(seed), []
     pad = lambda t: (t + [" "] * WIDTH)[:WIDTH]
     blank = "in the of and to a is for on with as by at from that this it be are or "
-    for text in texts:
-        tags = _tagged(text, base_spans(text))
-        for m in list(_SEED_RUN.finditer(text))[:4]:
-            a = max(0, m.start() - int(rng.integers(4, 30)))
-            windows.append((pad(list(text[a:a + WIDTH])), np.r_[tags[a:a + WIDTH], np.zeros(WIDTH, int)][:WIDTH]))
+    for window, tags in drawn:
+        windows.append((pad(list(window)), np.r_[np.array(tags, int), np.zeros(WIDTH, int)][:WIDTH]))
     plain = [t for t in texts if len(t) > WIDTH] or [blank * 3]
     for k in range(made):
         host = plain[rng.integers(len(plain))]
@@ -258,13 +270,16 @@ def training_windows(texts: list[str], seed: int = 11, made: int = 1200) -> tupl
     return np.array([encoded("".join(w)) for w, _ in windows]), np.array([t for _, t in windows])
 
 
-def trained(docs: DataFrame, sample: int = SAMPLE) -> Tagger:
-    """A tagger fitted on at most ``sample`` documents with a digit or at sign, the first by hash of the id."""
-    held = text_of(docs).select("doc_id", F.substring("text", 1, 4000).alias("text"), F.col("text").rlike("[0-9@]").alias("held"))
-    # one document in twenty usually holds one
-    some = bounded_sample(held, "doc_id", sample, among=20 * sample, where="held")
+def trained(docs: DataFrame, sample: int = SAMPLE, windows: int = WINDOWS) -> Tagger:
+    """A tagger fitted on at most ``windows`` windows of at most ``sample`` documents with a digit or at sign."""
+    held = text_of(docs).filter("doc_id is not null").select("doc_id", F.col("text").rlike("[0-9@]").alias("held"))
+    # one document in twenty usually holds one; the texts stay with the tasks
+    some = bounded_sample(held, "doc_id", sample, among=20 * sample, where="held").select("doc_id").distinct()
+    rows = text_of(docs).join(F.broadcast(some), "doc_id", "left_semi").select("text") \
+        .mapInPandas(_drawn, "window string, tags array<int>, host string")
+    first = rows.dropDuplicates(["window"]).orderBy(F.xxhash64("window"), "window").limit(windows).collect()
     tagger = Tagger()
-    tagger.fit(*training_windows([r["text"] for r in some.collect()]))
+    tagger.fit(*training_windows([r["host"] for r in first], [(r["window"], r["tags"]) for r in first]))
     return tagger
 
 
@@ -334,7 +349,7 @@ def _all_spans(texts: list[str], tagger: Tagger) -> Iterator[tuple[list[Span], l
         yield base, base + more
 
 
-FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+FOUND = "doc_id string, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
 
 
 def _find(shared):
@@ -345,14 +360,14 @@ def _find(shared):
                 for doc, (base, spans) in zip(part["doc_id"].tolist(), _all_spans(part["text"].tolist(), shared.value)):
                     rows.append((doc, *[sum(s[0] == k for s in base) for k in KINDS],
                                  hashlib.sha256(written(base).encode()).hexdigest(), written(spans)))
-                yield pd.DataFrame(rows, columns=[c.split()[0] for c in FOUND.split(", ")]).astype({"doc_id": "Int64"})
+                yield pd.DataFrame(rows, columns=[c.split()[0] for c in FOUND.split(", ")])
     return find
 
 
 def find(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, the base spans' counts by kind and their digest, and all spans."""
     shared = docs.sparkSession.sparkContext.broadcast(tagger or trained(docs))
-    return text_of(docs).mapInPandas(_find(shared), FOUND)
+    return exact(opaque(text_of(docs), "doc_id").mapInPandas(_find(shared), FOUND), "doc_id")
 
 
 def masked(text: str, spans: list[Span]) -> str:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +69,34 @@ def text_of(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return df.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias(text))
 
 
+def opaque(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` with its id columns as strings: pandas would turn a null among integers into doubles and round them."""
+    return df.withColumns({k: F.col(k).cast("string") for k in keys})
+
+
+def exact(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` with the id columns that went through pandas as strings turned back into integers."""
+    return df.withColumns({k: F.col(k).cast("long") for k in keys})
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Jobs started here drop their shuffle files as they end, not when the driver's garbage is collected.
+
+    For jobs that write a table and whose frames are not run again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def bounded_sample(df: DataFrame, key: str, rows: int, among: int | None = None, where: str = "true") -> DataFrame:
     """At most ``rows`` rows that meet ``where``, the first by hash of ``key``, whatever the number of tasks.
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtline.llm.decontaminate import _SEPARATED, char_span
-from courtline.llm.shared import bounded_sample, saved, text_of
+from courtline.llm.shared import bounded_sample, exact, opaque, saved, text_of
 
 TRAIN_ROWS = 20_000
 PRIOR = 0.05
@@ -196,7 +196,7 @@ def trained(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model
     return model
 
 
-OUT = "doc_id long, held_out boolean, score double, predicted int, n_passages long, passages string"
+OUT = "doc_id string, held_out boolean, score double, predicted int, n_passages long, passages string"
 
 
 def _judge(shared):
@@ -209,7 +209,7 @@ def _judge(shared):
                 score, spans = model.score(model.evidence(found, n)), model.passages(found, n)
                 rows.append((doc, held, score, int(score >= 0.5), len(spans),
                              ",".join("{}:{}".format(*char_span(text, first, last)) for _, first, last in spans)))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in OUT.split(", ")]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in OUT.split(", ")])
     return judge
 
 
@@ -217,4 +217,5 @@ def toxic(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> Dat
     """Per row of ``docs``: doc_id, held_out, score, predicted, and the toxic passages in code points."""
     shared = docs.sparkSession.sparkContext.broadcast(model or trained(docs, labels))
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
-    return text_of(docs).select("doc_id", held.alias("held_out"), "text").mapInPandas(_judge(shared), OUT)
+    rows = opaque(text_of(docs).select("doc_id", held.alias("held_out"), "text"), "doc_id")
+    return exact(rows.mapInPandas(_judge(shared), OUT), "doc_id")

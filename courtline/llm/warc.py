@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtline.llm.shared import saved, scratch, ship, small_enough
+from courtline.llm.shared import exact, opaque, saved, scratch, ship, small_enough
 
 MIN_REVISIT = 1000
 LEVEL = 3
@@ -125,8 +125,7 @@ def _write(folder: str):
         for b in batches:
             for page, url, html, to in zip(b["page_id"].tolist(), b["url"].tolist(), b["html"].tolist(), b["refers_to"].tolist()):
                 out = out or fs.open_output_stream(_attempt(path))
-                out.write(z.compress(record(None if pd.isna(page) else int(page), url, html.encode("utf-8", "surrogatepass"),
-                                            None if pd.isna(to) else int(to))))
+                out.write(z.compress(record(page, url, html.encode("utf-8", "surrogatepass"), to)))
                 n += 1
         if out:
             out.write(z.flush())
@@ -162,7 +161,7 @@ def _normalise(source: str, target: str):
     return normalise
 
 
-READ = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+READ = "page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string"
 
 
 def parsed(raw: bytes) -> tuple:
@@ -188,8 +187,10 @@ def _read(folder: str):
                     f.seek(first)
                     for n in members:
                         rows.append(parsed(zlib.decompress(f.read(int(n)), 31)))
-                yield pd.DataFrame(rows, columns=[c.split()[0] for c in READ.split(", ")]).astype(
-                    {"page_id": "Int64", "refers_to": "Int64"})
+                found = pd.DataFrame(rows, columns=[c.split()[0] for c in READ.split(", ")], dtype=object)
+                for c in ("page_id", "refers_to"):  # as text: see ``opaque``
+                    found[c] = [None if x is None else str(x) for x in found[c]]
+                yield found
     return read
 
 
@@ -213,12 +214,14 @@ def archived(pages: DataFrame, folder: str | None = None) -> DataFrame:
                    .filter((F.col("n") >= MIN_REVISIT) & F.col("page_id").isNotNull()), "payloads")
     groups = prints.groupBy("digest", "n").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("c")) \
         .filter("c > 1").drop("c")
+    groups = saved(groups, "payload-groups")  # written first, so that Spark can split the join of a large group
     # the payload is part of the key: of two payloads of one page_id, one may be a revisit and one not
     revisits = saved(prints.join(groups, ["digest", "n"]).filter("page_id <> refers_to")
                      .select("page_id", "digest", "refers_to").distinct(), "revisits")
     if small_enough(revisits, BROADCAST_REVISITS):
         revisits = F.broadcast(revisits)
     marked = source.join(revisits, ["page_id", "digest"], "left").select("page_id", "url", "html", "refers_to")
+    marked = opaque(marked, "page_id", "refers_to")
     written = saved(marked.mapInPandas(_write(f"{folder}/raw"), "file string, records long"), "warc-files")
     plan = normalise(spark, written, f"{folder}/raw", f"{folder}/normal")
-    return plan.mapInPandas(_read(f"{folder}/normal"), READ)
+    return exact(plan.mapInPandas(_read(f"{folder}/normal"), READ), "page_id", "refers_to")

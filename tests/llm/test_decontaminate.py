@@ -43,7 +43,9 @@ def test_documents_that_hold_items(spark):
             words[rng.randrange(len(words))] = word()
         rows.append((k, f"{noise(40)} {' '.join(words).title()}. {noise(30)}"))
         want.add((k, k))
-        rows.append((100 + k, noise(120) + " too short"))
+        rows.append((100 + k, noise(120) + " too short" + noise(3)))
+        rows.append((300 + k, noise(k) + " too Short, " + noise(3)))
+        want.add((300 + k, 90))
         rows.append((200 + k, " ".join(items[k][1].split()[: len(words) // 2])))  # half an item is none
     rows += [(500, None), (501, ""), (502, items[3][1]), (502, items[3][1]), (None, items[4][1]), (503, noise(40_000) + " " + items[5][1])]
     want |= {(502, 3), (None, 4), (503, 5)}
@@ -71,6 +73,18 @@ def test_blocks_of_items_find_the_same(spark, monkeypatch):
     assert dc.word_hashes("Ab,c-d É", Words()).tolist() == dc.word_hashes("aB c d  É!", Words()).tolist()
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    items = [(1, "你好世界今天天气很好"), (2, "早安"), (3, "one"), (4, "ราตรีสวัสดิ์"), (5, "!!"), (6, "a b c d"), (7, "a b c d")]
+    rows = [(1, "他说你好世界今天天气很好吧"), (2, "他说你好世界今天天气真好吧"), (3, "早 安"), (4, "安早"), (5, "x one"), (6, "someone"), (7, "ราตรีสวัสดิ์"),
+            (8, "A, b. c (d)"), (9, "a b"), (10, "c d"), (11, "")]
+    bench, docs = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = dc.contaminated(docs, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (2, 1), (3, 2), (5, 3), (7, 4), (8, 6), (8, 7)} and len(got) == 7
+    spans = {(r.doc_id, r.item_id): rows[r.doc_id - 1][1][r.first_char:r.last_char] for r in got}
+    assert spans[1, 1] == items[0][1] and spans[3, 2] == "早 安" and spans[8, 6] == "A, b. c (d"
+    assert {r.doc_id for r in dc.clean_documents(docs, bench).collect()} == {4, 6, 9, 10, 11}
+
+
 def test_recall_at_the_allowed_distance_for_all_lengths():
     for words, trials in ((15, 60), (60, 60), (120, 40), (250, 30), (500, 20)):
         assert dc.recall(words, int(dc.SHARE * words), trials=trials) >= 0.95
