@@ -19,7 +19,8 @@ import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from courtline.session import checkpoint_dir
 from courtline.sources.raw import gathered
@@ -57,11 +58,15 @@ class TableStore:
                 if bucket_by:
                     self._written[name] = self._bucketed(df, name, bucket_by)
                     return self._written[name]
-                schema = df.schema
-                w = (gathered(df, partition_by) if partition_by else df).write.mode("overwrite").option("partitionOverwriteMode", "static")
+                schema, seen = df.schema, Observation()
+                # counted in the tasks that write: Spark takes each of them once, whatever is tried again
+                df = (gathered(df, partition_by) if partition_by else df).observe(seen, F.count(F.lit(1)).alias("rows"))
+                w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
                 if partition_by:
                     w = w.partitionBy(*partition_by)
                 w.parquet(self.path(name))
+                self.spark.createDataFrame([(name, seen.get["rows"])], "source string, n long").coalesce(1) \
+                    .write.mode("overwrite").parquet(self.path(f"_rows/{name}"))
                 if os.environ.get("COURTLINE_TIMING"):
                     print(f"[store] {name}: {time.perf_counter() - t0:.2f}s", file=sys.stderr)
                 # read back with the written schema: no footer sampling, and partition
@@ -69,6 +74,11 @@ class TableStore:
                 self._written[name] = self.spark.read.schema(schema).parquet(self.path(name))
             return self._written[name]
 
+    def rows(self, name: str, label: str) -> DataFrame:
+        """The number of rows of a written table as a row (source, n): counted while it was written, not by a scan."""
+        path = self.path(f"_rows/{name}")
+        return self.spark.read.schema("source string, n long").parquet(path).select(F.lit(label).alias("source"), "n")
+
     def _bucketed(self, df: DataFrame, name: str, column: str) -> DataFrame:
         """A table of Spark's catalog, whose entry keeps the buckets, over files in the store."""
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))

@@ -8,6 +8,7 @@ have a fixed, known row count, which is what makes broadcasting them safe.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtline.functions.keys import SEASON_TYPES
@@ -96,6 +97,32 @@ def read_team_logos(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=LOGO_SCHEMA, quote='"', escape='"')
 
 
+def write_team_logos(df: DataFrame, path: str) -> str:
+    df.select("team", "year", "logo").write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+    return path
+
+
+def merged_by_key(current: DataFrame, load: DataFrame, keys: list[str]) -> DataFrame:
+    """A curated table after a load: a row per key with ``action``, the values that hold now and ``times`` in the load.
+
+    ``insert``, ``update`` and ``unchanged`` are what the load does to a key, ``kept`` a key that it does not name.  A
+    key to which the load gives several values is a ``conflict``: it is reported and what was there stays
+    (nothing, for a new key), so a load never fans joins out.  Keys compare null-safe; replaying a load changes nothing.
+    """
+    values = [c for c in current.columns if c not in keys]
+    brought = load.groupBy(*keys).agg(F.count("*").alias("times"), F.count_distinct(F.struct(*values)).alias("variants"),
+                                      F.min(F.struct(*values)).alias("new"))
+    there = current.select(*[F.col(k).alias(f"_{k}") for k in keys], F.struct(*values).alias("old"))
+    j = brought.join(there, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "full")
+    action = F.when(F.col("times").isNull(), "kept").when(F.col("variants") > 1, "conflict") \
+        .when(F.col("old").isNull(), "insert").when(F.col("old").eqNullSafe(F.col("new")), "unchanged").otherwise("update")
+    own = F.col("old").isNotNull()  # then the key is known from the current side; both sides agree where both are there
+    now = F.when(action.isin("insert", "update"), F.col("new")).otherwise(F.col("old"))
+    return j.select(*[F.when(own, F.col(f"_{k}")).otherwise(F.col(k)).alias(k) for k in keys], action.alias("action"), now.alias("_now"),
+                    F.coalesce("times", F.lit(0)).cast("long").alias("times")) \
+        .select(*keys, "action", *[F.col(f"_now.{c}").alias(c) for c in values], "times", (F.col("_now").isNotNull()).alias("held"))
+
+
 def assert_unique(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Fail fast when a lookup key repeats (a repeated INSERT would fan joins out)."""
     dup = df.groupBy(*keys).count().filter("count > 1").limit(1).collect()

