@@ -2,7 +2,7 @@
 
 import hashlib
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 from courtline.llm import substrings, webtext
 
@@ -40,6 +40,66 @@ def test_removed_bytes(spark, monkeypatch):
     assert substrings.repeated_substrings(docs.limit(0)).count() == 0
 
 
+def brute_words(rows, n=51):
+    """Per row the words in strings of n words that another row holds."""
+    split = [(text or "").encode().split() for _, text in rows]
+    holders = defaultdict(set)
+    for r, w in enumerate(split):
+        for k in range(len(w) - n + 1):
+            holders[tuple(w[k:k + n])].add(r)
+    out = []
+    for (doc, _), w in zip(rows, split):
+        covered = [False] * len(w)
+        for k in range(len(w) - n + 1):
+            if len(holders[tuple(w[k:k + n])]) > 1:
+                covered[k:k + n] = [True] * n
+        out.append((doc, sum(covered)))
+    return Counter(out)
+
+
+def test_many_blocks_on_several_parts(spark, monkeypatch):
+    """A generated table of passages, copies and loops over many blocks, bytes and words at once."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdefgé") for _ in range(rng.randrange(1, 7))) for _ in range(400)]
+    some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    passages = [some(rng.choice([48, 51, 52, 60, 90, 200])) for _ in range(30)]
+    rows = []
+    for k in range(500):
+        w = some(rng.randrange(3, 160))
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            p = rng.choice(passages)
+            a, b = (0, len(p)) if rng.random() < 0.6 else (rng.randrange(10), len(p) - rng.randrange(10))
+            at = rng.randrange(len(w))
+            w = w[:at] + p[a:b] + w[at:]
+        if k % 17 == 0:
+            w += 3 * some(70)[:60]
+        rows.append((k, rng.choice([" ", "  ", "\n", "\u00a0", " "]).join(w)))
+    rows += [(1000 + k, rows[k * 3][1]) for k in range(60)] + [(2000 + k, " ".join(passages[0])) for k in range(40)]
+    rows += [(3000, " ".join(some(60) * 4)), (3001, None), (3002, "x " * 51), (3003, "x " * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    monkeypatch.setattr(substrings, "BLOCK", 5_000)
+    monkeypatch.setattr(substrings, "RANGE_BYTES", 4_000)  # many ranges
+    out = substrings.repeated_substrings(docs).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out) == brute(rows)
+    assert Counter((r.doc_id, r.n_passage_words) for r in out) == brute_words(rows)
+
+
+def test_second_names_tell_equal_names_apart():
+    import numpy as np
+    import pandas as pd
+    names, pack = np.array([5, 7, 9], np.uint64), lambda *bits: np.packbits(np.array(bits, bool)).tobytes()
+    second = lambda *v: np.array(v, np.uint32).tobytes()
+    cells = pd.DataFrame({"side": 0, "range": 0, "part": [0, 1, 2], "block": 0, "names": [names.tobytes()] * 3,
+                          "seconds": [second(1, 1, 1), second(2, 1, 3), second(1, 9, 4)], "twice": [pack(0, 0, 0), pack(0, 0, 1), pack(0, 0, 0)]})
+    out = substrings._repeated(cells)
+    got = [np.unpackbits(np.frombuffer(b, np.uint8), count=3).tolist() for b in out["bits"]]
+    assert got == [[1, 1, 0], [0, 1, 1], [1, 0, 0]]
+    data = np.frombuffer(b"abcd" * 300, np.uint8)
+    p = substrings.Prefixes(data)
+    at = np.arange(500)
+    assert (p.seconds(at, 100) == p.seconds(at + 4, 100)).all() and len(set(p.seconds(at, 100).tolist())) == 4
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="has-sidebar"><header><h1>Site</h1></header>
 <nav><a href=x>Home</a></nav><div id="cookie-notice">We use cookies</div><main><article class="post"><header><h1>Real &lt;title&gt;</h1></header>
 <p>First <b>bold</b> para&nbsp;graph.<p>Second<br>line &amp; more<!-- <p>no --></p><div class="ad">Buy</div><ul><li>One<li>Two</ul>
