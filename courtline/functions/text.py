@@ -95,8 +95,8 @@ def normalise_country(col: Column | str) -> Column:
     c = blank_to_null(col)
     out = None
     for raw, clean in COUNTRY_RENAMES.items():
-        out = (F.when(c == raw, F.lit(clean)) if out is None
-               else out.when(c == raw, F.lit(clean)))
+        same = F.equal_null(c, F.lit(raw))  # a function, as views are written out as SQL
+        out = F.when(same, F.lit(clean)) if out is None else out.when(same, F.lit(clean))
     return out.otherwise(c)
 
 

@@ -7,7 +7,7 @@ as '12.0' for an INT column raises instead of being silently coerced.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtline.functions.text import blank_to_null, fold_accents, jersey_list, normalise_country
@@ -35,9 +35,14 @@ def _typed(raw_col: str, kind: str):
     raise ValueError(f"unknown staging kind {kind!r}")
 
 
+def staged_columns(spec: list[tuple[str, str, str]]) -> list[tuple[str, Column]]:
+    """The typed, snake_case columns of ``spec``: name and expression."""
+    return [(out, _typed(src, kind)) for out, src, kind in spec]
+
+
 def typed_staging(raw: DataFrame, spec: list[tuple[str, str, str]]) -> DataFrame:
-    """Project ``raw`` (all-text) to the typed, snake_case columns of ``spec``."""
-    return raw.select(*[_typed(src, kind).alias(out) for out, src, kind in spec])
+    """Project ``raw`` (all-text) to the columns of ``spec``."""
+    return raw.select(*[c.alias(out) for out, c in staged_columns(spec)])
 
 
 def stage_bios(raw_bios: DataFrame) -> DataFrame:

@@ -244,17 +244,23 @@ def dim_players_q(spark, sf_dir):
 @query("bi_export")
 def bi_export(spark, sf_dir):
     """FactTeamBoxScore as exported to the BI layer: display names, whole numbers."""
-    from courtline.sources.sinks import bi_projection
-    return bi_projection(model(spark, sf_dir)["team_boxscores"], "team_boxscores")
+    return _exported(spark, sf_dir, "team_boxscores", model(spark, sf_dir)["team_boxscores"])
 
 
 def _export(table: str):
     def export(spark, sf_dir):
-        from courtline.sources.sinks import bi_projection
-        return bi_projection(present(model(spark, sf_dir)[table]), table)
+        return _exported(spark, sf_dir, table, present(model(spark, sf_dir)[table]))
     return export
 
 
+def _exported(spark, sf_dir, table: str, df: DataFrame) -> DataFrame:
+    """What the BI layer reads: the exported files."""
+    from courtline.plans.store import session_store
+    from courtline.sources.sinks import write_bi_export
+    path = write_bi_export(df, table, session_store(spark, sf_dir).path(f"export/{table}-{uuid.uuid4().hex[:8]}"))
+    return spark.read.parquet(path)
+
+
 for _table in ("player_boxscores", "dim_players", "dim_teams", "dim_seasons"):
     REGISTRY[f"bi_export_{_table}"] = _export(_table)
 
@@ -539,6 +545,17 @@ def refresh_player_fact(spark, sf_dir):
     return present(_refreshed(spark, sf_dir, "model", "player_boxscores"))
 
 
+@query("rebuild_dim_players")
+def rebuild_dim_players(spark, sf_dir):
+    """The player dimension after a full rebuild, in one transaction, of the refreshed warehouse."""
+    from courtline.plans import refresh
+    raw = {t: _refreshed(spark, sf_dir, "raw", t) for t in refresh.RAW_GAMES}
+    root = _MODELS[spark.sparkContext.applicationId, sf_dir, "refreshed"]
+    current = raw["team_boxscores"].agg(F.max("Season")).first()[0]
+    rebuilt = refresh.refresh_season(spark, root, current, raw["player_boxscores"], raw["team_boxscores"])
+    return present(rebuilt.read("model", "dim_players"))
+
+
 @query("refresh_dim_players")
 def refresh_dim_players(spark, sf_dir):
     return present(_refreshed(spark, sf_dir, "model", "dim_players"))
@@ -571,6 +588,43 @@ def csv_team(spark, sf_dir):
     return present(stage_team_boxscores(_from_csv(spark, sf_dir, "team_boxscores")))
 
 
+# ---- schemas, tables and views by name (SNK1, SNK5, SRC8) ---------------------------------
+def _layers(spark, sf_dir):
+    """The raw tables and their typed views under schema names of Spark's catalog, created once."""
+    from courtline.plans.layers import Layers
+    from courtline.plans.store import session_store
+    key = (spark.sparkContext.applicationId, sf_dir, "layers")
+    with _MODELS_LOCK:
+        if key not in _MODELS:
+            tag = uuid.uuid4().hex[:8]
+            layers = Layers(spark, session_store(spark, sf_dir).path(f"layers-{tag}"), f"courtline_{tag}")
+            raw = raw_layer(spark, sf_dir)
+            layers.create_schemas()
+            for t in ("bios", "player_boxscores", "team_boxscores"):
+                layers.create_table("raw", t, lambda t=t: raw[t])
+                layers.create_view(t)
+            _MODELS[key] = layers
+        return _MODELS[key]
+
+
+def _view(table: str):
+    def view(spark, sf_dir):
+        return present(_layers(spark, sf_dir).table("staging", f"v_{table}"))
+    return view
+
+
+for _table, _name in (("bios", "bios"), ("player_boxscores", "player"), ("team_boxscores", "team")):
+    REGISTRY[f"view_{_name}"] = _view(_table)
+
+
+@query("view_season_games")
+def view_season_games(spark, sf_dir):
+    """SQL over names: games and points per season, from the typed view."""
+    layers = _layers(spark, sf_dir)
+    return present(spark.sql(f"SELECT season, count(DISTINCT game_id) AS games, CAST(sum(pts) AS BIGINT) AS pts "
+                             f"FROM {layers.name('staging', 'v_team_boxscores')} GROUP BY season"))
+
+
 # ---- loads of dirty files (SRC1-SRC3, SC3) ----------------------------------------------
 def _dirty_lines(raw: DataFrame, table: str) -> DataFrame:
     """The lines of a raw table as a careless scrape leaves them: some with bad cells, some cut short."""

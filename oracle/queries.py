@@ -203,6 +203,12 @@ reg("load_counts", f"__EXTRA__{_dirty('player')}{_dirty('team')}\n__SELECT__" +
     f"SELECT '{t}_boxscores' AS source, count(*) AS lines, count(*) FILTER (NOT ({_SPOILED})) AS rows, "
     f"count(*) FILTER ({_SPOILED}) AS rejected_lines, (SELECT count(*) FROM ({_rejects(t)})) AS rejects FROM dirty_{t}" for t in ("player", "team")))
 
+# ---- views by name --------------------------------------------------------------------
+for _name in ("bios", "player", "team"):
+    SQL[f"view_{_name}"] = SQL[f"staging_{_name}"]
+reg("view_season_games", "SELECT season, count(DISTINCT game_id) AS games, CAST(sum(pts) AS BIGINT) AS pts FROM v_team GROUP BY season")
+SQL["rebuild_dim_players"] = SQL["refresh_dim_players"]
+
 # ---- logo files -----------------------------------------------------------------------
 reg("logo_upsert",
     "SELECT team, year, "
