@@ -88,3 +88,39 @@ def test_short_items_and_scripts_without_spaces(spark):
 def test_recall_at_the_allowed_distance_for_all_lengths():
     for words, trials in ((15, 60), (60, 60), (120, 40), (250, 30), (500, 20)):
         assert dc.recall(words, int(dc.SHARE * words), trials=trials) >= 0.95
+
+
+def test_query_against_every_stretch(spark):
+    """All pairs of documents and items by edit distance to every stretch: no false find, distances least, hardly a miss."""
+    rng = random.Random(17)
+    vocabulary = [f"v{k}" for k in range(400)]
+    some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = {k: some(n) for k, n in enumerate([1, 2, 3, 4, 5, 7, 9, 12, 15, 20, 25, 30, 40, 59, 61, 90, 130])}
+    docs = {}
+    for d in range(160):
+        item = list(items[rng.choice(list(items))])
+        for _ in range(rng.randrange(int(0.3 * len(item)) + 2)):  # up to and beyond the allowed distance
+            at, kind = rng.randrange(len(item) + 1), rng.randrange(3)
+            item[at:at + (kind != 0)] = [] if kind == 1 else some(1)
+        docs[d] = some(rng.randrange(60)) + item + some(rng.randrange(60))
+    want = {}
+    for d, text in docs.items():
+        for k, item in items.items():
+            row = [0] * (len(text) + 1)
+            for i, x in enumerate(item):
+                new = [i + 1]
+                for j, y in enumerate(text):
+                    new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+                row = new
+            if min(row) <= int(dc.SHARE * len(item)):
+                want[d, k] = min(row)
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    table = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string").repartition(3)
+    rows = dc.contaminated(table, bench).collect()
+    got = {(r.doc_id, r.item_id): r.distance for r in rows}
+    assert len(got) == len(rows) and set(got) <= set(want) and all(got[x] == want[x] for x in got)
+    assert len(want) > 120 and len(got) >= 0.98 * len(want)
+    assert {x for x in want if len(items[x[1]]) < dc.MIN_WORDS} <= set(got)  # short items are never missed
+    for r in rows:  # the reported stretch has the reported distance
+        stretch = docs[r.doc_id][r.first_word:r.last_word]
+        assert dc.verify(np.array([hash(w) for w in items[r.item_id]]), np.array([hash(w) for w in stretch]), 0, len(stretch), 99)[0] == r.distance

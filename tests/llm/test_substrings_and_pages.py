@@ -157,3 +157,58 @@ def test_marks_are_whole_class_or_id_values():
 <article class="comment depth-2"><p>Nice post</p></article>"""
     assert [t for t, zone, _ in webtext.blocks(page) if zone == webtext.MAIN] == ["Related", "Search", "Impact", "Promotion", "Heading", "Skip"]
     assert [t for t, zone, _ in webtext.blocks('<div class="top-story">Story</div><div class="page-header">Site</div>') if zone == webtext.LOOSE] == ["Story"]
+
+
+def brute_host(rows):
+    """The rule of repeated runs on pages without an article, with the runs themselves in place of names."""
+    run = webtext.RUN
+    parsed = [(i, webtext.host_of(url or ""), webtext.blocks(html or "")) for i, url, html in rows]
+    runs = lambda w: [tuple(w[k:k + run]) for k in range(len(w) - run + 1)]
+    low = lambda texts: [w.lower() for t in texts for w in t.split()]
+    on_pages, pages = defaultdict(set), defaultdict(set)
+    for _, host, found in parsed:
+        text = "\n".join(t for t, *_ in found)
+        pages[host].add(text)
+        for r in runs(low([t for t, *_ in found])):
+            on_pages[host, r].add(text)  # equal pages count once
+    out = Counter()
+    for i, host, found in parsed:
+        w, n_pages = low([t for t, *_ in found]), len(pages[host])
+        loose = [z == webtext.LOOSE for t, z, _ in found for _ in t.split()]
+        times = [len(on_pages[host, r]) for r in runs(w)]
+        covered = [False] * len(w)
+        for n in {n for n in times if n >= webtext.PAGES and n >= webtext.PAGES_SHARE * n_pages}:
+            some = [any(times[k] == n for k in range(max(0, j - run + 1), min(j, len(times) - 1) + 1)) for j in range(len(w))]
+            if 2 * sum(a and b for a, b in zip(some, loose)) <= sum(loose) or 2 * n > n_pages >= 2 * webtext.PAGES:
+                covered = [a or b for a, b in zip(covered, some)]
+        kept, at = [], 0
+        for text, zone, link in found:
+            n = len(text.split())
+            own = [not c for c in covered[at:at + n]]
+            at += n
+            longest = max(map(len, "".join("x" if o else " " for o in own).split()), default=0)
+            if zone == webtext.LOOSE and (link < 0.5 or n >= run) and (2 * sum(own) > n or longest >= run):
+                kept.append(text)
+        out[i, "\n".join(kept)] += 1
+    return out
+
+
+def test_repeated_runs_of_hosts_against_the_runs_themselves(spark):
+    rng = random.Random(21)
+    some = lambda n: " ".join(rng.choice("lorem ipsum dolor sit amet elit sed do magna aliqua ut enim".split()) + str(rng.randrange(40)) for _ in range(n))
+    rows = []
+    for h, size in enumerate((2, 5, 6, 7, 30, 60)):
+        shared, rare, copied = [some(rng.randrange(6, 30)) for _ in range(4)], some(14), some(60)
+        for k in range(size):
+            parts = [some(rng.randrange(1, 50)) for _ in range(rng.randrange(1, 4))]
+            parts += rng.sample(shared, rng.randrange(0, 4)) + [rare] * (k < 3) + [copied] * (k in (1, 3, 4))
+            rng.shuffle(parts)
+            tail = f'<p><a href="/x">{some(rng.choice([4, 12]))}</a></p>' if rng.random() < 0.4 else ""
+            rows.append((len(rows), f"http://h{h}.org/{k}", "<body>" + "".join(f"<p>{p} {some(rng.randrange(3))}</p>" for p in parts) + tail + "</body>"))
+        rows.append((len(rows), f"http://h{h}.org/again", rows[-1][2]))
+    rows += [(None, None, rows[5][2]), (9000, "", None), (rows[0][0], rows[0][1], rows[0][2])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    want = brute_host(rows)
+    assert Counter((r.page_id, r.text) for r in webtext.main_text(pages).collect()) == want
+    whole = Counter((i, "\n".join(t for t, *_ in webtext.blocks(html or ""))) for i, _, html in rows)
+    assert 20 < sum(want[x] for x in want if x not in whole) < len(rows)  # the rule acts, and not on all
