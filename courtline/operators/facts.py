@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from courtline.functions.keys import season_type_key, season_year, team_year_key, year_type_team_key
 from courtline.functions.stats import double_double, full_years_between, home_away, triple_double
 from courtline.schemas import OPP_STATS, STATS16
+from courtline.sources import lookups
 
 KEY_COLUMNS = ["year", "season_type_key", "team_year_key", "year_type_team_key"]
 
@@ -86,10 +87,11 @@ def opponent_join(df: DataFrame, game: str = "game_id", side: str = "team_id",
 def team_base(team_stg: DataFrame, excluded: DataFrame | None = None) -> DataFrame:
     """Official team box scores with opponent statistics (team_boxscores_base).
 
-    ``excluded`` (game_id) lists games that are void; their own side goes by an anti-join, which is broadcast
-    or not by the list's measured size.  The opponent side is the unfiltered staging table.
+    ``excluded`` (game_id) lists games that are void, the curated ones unless given; their own side goes by an
+    anti-join, which is broadcast or not by the list's measured size.  The opponent side is the unfiltered staging table.
     """
-    t = team_stg if excluded is None else team_stg.join(excluded.select("game_id").distinct(), "game_id", "left_anti")
+    excluded = lookups.excluded_games(team_stg.sparkSession) if excluded is None else excluded
+    t = team_stg.join(excluded.select("game_id").distinct(), "game_id", "left_anti")
     keyed = t.withColumns({**model_keys(), "home_away": home_away("matchup")})
     cols = ["team_id", "game_id", "game_date", *KEY_COLUMNS, "home_away", "wl", *STATS16]
     tt = keyed.select(*cols).alias("t")

@@ -57,7 +57,7 @@ def test_sides_of_a_game_meet_without_an_exchange(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange hashpartitioning" not in agg and "SortMergeJoin" in agg
-    assert "Exchange hashpartitioning" not in base and "SortMergeJoin" in base
+    assert base.count("Exchange hashpartitioning") == 1 and base.count("SortMergeJoin") == 2  # of the void games alone
     assert len(re.findall(r"Exchange hashpartitioning\(game_id", player)) == 1  # the player rows alone
     # one repartition by order serves the sums and both sides (AQE shows it once, and once reused)
     assert set(re.findall(r"Exchange hashpartitioning\((\w+)#", parity)) == {"l_orderkey"} and "REPARTITION_BY_COL" in parity
