@@ -204,7 +204,8 @@ def _rest(rows: DataFrame, groups: DataFrame, reps: DataFrame, docs: DataFrame,
     """Pairs of different groups, both in a bucket of several groups, that may be similar enough (prefix filter)."""
     rows = rows.join(groups, rows.rep == groups.id, "left").drop("id").withColumn("component", F.coalesce("component", "rep"))
     several = rows.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    members = saved(rows.join(several.select("band", "key"), ["band", "key"], "left_semi")
+    several = saved(several.select("band", "key"), "open-buckets")  # written first: see below
+    members = saved(rows.join(several, ["band", "key"], "left_semi")
                     .select("rep", "component").distinct(), "open-members")
     spread = saved(_texts(docs, members.select(F.col("rep").alias("doc_id")), "open-texts")
                    .mapInPandas(_spread, "rep long, shingle long"), "open-shingles")
