@@ -34,3 +34,18 @@ def test_box_scores_are_not_written_as_text_to_build_the_model(spark):
     assert os.path.isdir(lines) and not os.path.isdir(m.store.path("raw_team_boxscores"))
     team = _plan(m.raw["team_boxscores"])
     assert "Exchange hashpartitioning(o" not in team  # summed where the lines of an order lie
+
+
+def test_seasons_are_written_without_a_shuffle(spark, tmp_root, monkeypatch):
+    raw, plans, write = catalog.raw_layer(spark, SF_SMALL), {}, Transaction.write
+    monkeypatch.setattr(Transaction, "write", lambda self, layer, name, df, *a: plans.update({name: _plan(df)}) or write(self, layer, name, df, *a))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        write_model(spark, {n: raw[n] for n in raw}, tmp_root)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for name in ("team_rows", "player_boxscores", "team_boxscores_agg_team_only", "team_boxscores_agg"):
+        assert "Exchange" not in plans[name], name
+    assert plans["team_boxscores"].count("Exchange hashpartitioning") == 1  # of the void games alone
+    # the buckets they were built in are gone
+    assert not os.listdir(f"{tmp_root}/_work") and not [t.name for t in spark.catalog.listTables() if "_work_" in t.name]
