@@ -49,3 +49,17 @@ def test_seasons_are_written_without_a_shuffle(spark, tmp_root, monkeypatch):
     assert plans["team_boxscores"].count("Exchange hashpartitioning") == 1  # of the void games alone
     # the buckets they were built in are gone
     assert not os.listdir(f"{tmp_root}/_work") and not [t.name for t in spark.catalog.listTables() if "_work_" in t.name]
+
+
+def test_sets_of_a_player_are_taken_from_the_finest_grain(spark):
+    sums = spark.createDataFrame([(1, 1998, 1, f"k{i}", *([1] * 16)) for i in range(3)] + [(1, 1997, 2, "k9", *([5] * 16))],
+                                 "player_id long, year int, season_type_key int, year_type_team_key string, "
+                                 + ", ".join(f"{c} int" for c in measures.STATS16))
+    sums = sums.withColumns({c: measures.F.col(c).cast("decimal(20,0)") for c in measures.STATS16})
+    keys = spark.createDataFrame([("k0", 2), ("k1", 3), ("k9", 7)], "year_type_team_key string, tm_gp long")
+    keys = keys.select("*", *[measures.F.lit(1).cast("decimal(20,0)").alias(c) for c in measures.TEAM_COLS])
+    out = measures.player_scopes(sums, keys, 1998)
+    plan = _plan(out)
+    assert plan.index("Expand") < plan.rindex("HashAggregate(keys=[player_id")  # expanded rows are those of the finest grain
+    career = out.filter("_g = 3").collect()[0]
+    assert (sorted(career["_years"]), sorted(career["_types"]), career["p_pts"], career["tm_gp"], career["floor_gp"]) == ([1998], [1], 3, 5, 12)
