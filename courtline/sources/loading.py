@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from courtline.functions.text import blank_to_null, fold_accents, jersey_list, normalise_country
 from courtline.schemas import RAW_SCHEMAS, STAGING_SPECS, STAT_TYPE
 
+LINES_PER_FILE = 500_000
 LINE, FILE, FAULTS, GOOD = "_line", "_file", "_faults", "_good"
 TYPES = {"long": "bigint", "int": "int", "stat": STAT_TYPE, "date": "date"}
 REJECT = "array<struct<column:string,value:string,reason:string>>"
@@ -51,22 +52,26 @@ def lenient(raw_col: str, kind: str) -> Column:
 
 
 def faults(spec: list[tuple[str, str, str]]) -> Column:
-    """The bad cells of a line: those with something in them that their type does not take."""
-    cells = [F.when(blank_to_null(src).isNotNull() & lenient(src, kind).isNull(),
+    """The bad cells of a line: those with something in them that their type (column ``_t_<name>``) does not take."""
+    cells = [F.when(F.col(f"_t_{out}").isNull() & blank_to_null(src).isNotNull(),
                     F.struct(F.lit(src).alias("column"), F.col(src).alias("value"), F.lit(_name(kind)).alias("reason")))
-             for _, src, kind in spec if kind in TYPES]
+             for out, src, kind in spec if kind in TYPES]
     return F.array_compact(F.array(*cells)).cast(REJECT)
 
 
 def routed(lines: DataFrame, spec: list[tuple[str, str, str]]) -> DataFrame:
-    """Parsed lines (raw cells, ``_line`` of corrupt ones, ``_file``) typed, with their faults and whether they are good."""
+    """Parsed lines (raw cells, ``_line`` of corrupt ones, ``_file``) typed, with their faults and whether they are good.
+
+    A cell is typed once, in a column that the faults read.
+    """
     width = F.array(F.struct(F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("value"),
                              F.lit("cells").alias("reason"))).cast(REJECT)
+    typed = lines.withColumns({f"_t_{out}": lenient(src, kind) for out, src, kind in spec})
     found = F.when(F.col(LINE).isNotNull(), width).otherwise(faults(spec))
     raw = F.coalesce(F.col(LINE), F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in lines.columns if c not in (LINE, FILE)]))
-    typed = lines.withColumn(FAULTS, found).withColumn(GOOD, F.size(FAULTS) == 0)
-    return typed.select(*[lenient(src, kind).alias(out) for out, src, kind in spec], GOOD, FAULTS, FILE,
-                        F.when(~F.col(GOOD), raw).alias(LINE))
+    judged = typed.withColumn(FAULTS, found).withColumn(GOOD, F.size(FAULTS) == 0)
+    return judged.select(*[F.col(f"_t_{out}").alias(out) for out, _, _ in spec], GOOD, FAULTS, FILE,
+                         F.when(~F.col(GOOD), raw).alias(LINE))
 
 
 def read_lines(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -91,8 +96,11 @@ def load(spark: SparkSession, path: str, table: str, into: str) -> Loaded:
 
 
 def write_lines(lines: DataFrame, column: str, path: str, table: str) -> str:
-    """Write ready-made lines as files of a raw table, each under the table's header."""
+    """Write ready-made lines as compressed files of a raw table, each under the table's header.
+
+    A compressed file is read by one task, so a file has at most ``LINES_PER_FILE`` lines.
+    """
     header = ",".join(RAW_SCHEMAS[table].fieldNames())
-    lines.select(F.col(column).alias(header)).write.mode("overwrite").csv(
-        path, header=True, sep="\x01", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    lines.select(F.col(column).alias(header)).write.mode("overwrite").option("maxRecordsPerFile", LINES_PER_FILE).csv(
+        path, header=True, sep="\x01", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, compression="gzip")
     return path

@@ -63,3 +63,17 @@ def test_sets_of_a_player_are_taken_from_the_finest_grain(spark):
     assert plan.index("Expand") < plan.rindex("HashAggregate(keys=[player_id")  # expanded rows are those of the finest grain
     career = out.filter("_g = 3").collect()[0]
     assert (sorted(career["_years"]), sorted(career["_types"]), career["p_pts"], career["tm_gp"], career["floor_gp"]) == ([1998], [1], 3, 5, 12)
+
+
+def test_load_files_are_compressed_and_of_bounded_length(spark, tmp_root, monkeypatch):
+    from courtline.schemas import RAW_SCHEMAS
+    from courtline.sources import loading
+    monkeypatch.setattr(loading, "LINES_PER_FILE", 2)
+    names = RAW_SCHEMAS["team_boxscores"].fieldNames()
+    line = ",".join({"TEAM_ID": "1", "GAME_ID": "0001", "PTS": "x"}.get(c, "") for c in names)
+    rows = spark.createDataFrame([(line,)] * 5, "line string").coalesce(1)
+    files = loading.write_lines(rows, "line", f"{tmp_root}/files", "team_boxscores")
+    assert len([f for f in os.listdir(files) if f.endswith(".csv.gz")]) == 3
+    got = loading.load(spark, files, "team_boxscores", f"{tmp_root}/loaded")
+    assert got.counts == {"lines": 5, "rows": 0, "rejected_lines": 5, "rejects": 5}
+    assert {(r.column, r.value) for r in got.rejects.collect()} == {("PTS", "x")}
