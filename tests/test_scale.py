@@ -77,3 +77,11 @@ def test_load_files_are_compressed_and_of_bounded_length(spark, tmp_root, monkey
     got = loading.load(spark, files, "team_boxscores", f"{tmp_root}/loaded")
     assert got.counts == {"lines": 5, "rows": 0, "rejected_lines": 5, "rejects": 5}
     assert {(r.column, r.value) for r in got.rejects.collect()} == {("PTS", "x")}
+
+
+def test_pace_takes_every_game(spark):
+    m = catalog.model(spark, SF_SMALL)
+    games = lambda name: m[name].agg({"games": "sum"}).first()[0]
+    void = m["v_team"].join(m["excluded_games"], "game_id", "left_semi").select("game_id").distinct().count()
+    assert void > 0 and games("whole_team_sums") > games("team_sums")
+    assert "o_orderkey % 211" not in entry.oracle_sql()["pace"]
