@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtline.llm.components import components
-from courtline.llm.shared import exact, opaque, saved, small_enough, text_of
+from courtline.llm.shared import exact, opaque, saved, short_batches, small_enough, text_of
 
 SHINGLE = 5
 SLOTS, ROWS = 100, 5
@@ -58,7 +58,7 @@ class Words(dict):
     """64-bit hashes of words as they are met; emptied when it has grown too large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -148,7 +148,8 @@ SIGNED = "doc_id string, n_shingles long, print binary, bands array<long>, sig b
 
 def signed(docs: DataFrame) -> DataFrame:
     """Signature table: doc_id, set size, a 128-bit print of the set, band keys, the signature."""
-    return saved(exact(opaque(text_of(docs), "doc_id").mapInPandas(_signed, SIGNED), "doc_id"), "signatures")
+    with short_batches(docs.sparkSession):
+        return saved(exact(opaque(text_of(docs), "doc_id").mapInPandas(_signed, SIGNED), "doc_id"), "signatures")
 
 
 def _linked(percent: int):
@@ -180,8 +181,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     texts = _texts(docs, ids, "pair-texts")
     tu = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
     tv = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
-    return saved(pairs.join(tv, "v").join(tu, "u").select("u", "v", "text_u", "text_v")
-                 .mapInPandas(_linked(percent), "u long, v long"), "links")
+    with short_batches(docs.sparkSession):
+        return saved(pairs.join(tv, "v").join(tu, "u").select("u", "v", "text_u", "text_v")
+                     .mapInPandas(_linked(percent), "u long, v long"), "links")
 
 
 def _spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,8 +209,9 @@ def _rest(rows: DataFrame, groups: DataFrame, reps: DataFrame, docs: DataFrame,
     several = saved(several.select("band", "key"), "open-buckets")  # written first: see below
     members = saved(rows.join(several, ["band", "key"], "left_semi")
                     .select("rep", "component").distinct(), "open-members")
-    spread = saved(_texts(docs, members.select(F.col("rep").alias("doc_id")), "open-texts")
-                   .mapInPandas(_spread, "rep long, shingle long"), "open-shingles")
+    with short_batches(docs.sparkSession):
+        spread = saved(_texts(docs, members.select(F.col("rep").alias("doc_id")), "open-texts")
+                       .mapInPandas(_spread, "rep long, shingle long"), "open-shingles")
     # counts and groups that rows are joined back to are written first, so that Spark can split the join of a hot key
     often = saved(spread.groupBy("shingle").agg(F.count("*").alias("c")), "open-counts")
     ordered = spread.join(often, "shingle").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("c", "shingle"))).alias("s"))

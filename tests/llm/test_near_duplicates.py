@@ -96,3 +96,24 @@ def test_components_of_chains_and_stars(spark):
     df = spark.createDataFrame(links + [(None, 3)], "u long, v long").repartition(4)
     got = {r.id: r.component for r in components(df).collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 160)}, 200: 200, 201: 200}
+
+
+def test_texts_reach_python_in_short_batches(spark, monkeypatch):
+    def short(step):
+        def checked(batches):
+            def each():
+                for b in batches:
+                    assert len(b) <= 1_000
+                    yield b
+            return step(each())
+        return checked
+    for step in ("_signed", "_spread"):
+        monkeypatch.setattr(neardup, step, short(getattr(neardup, step)))
+    linked = neardup._linked
+    monkeypatch.setattr(neardup, "_linked", lambda percent: short(linked(percent)))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    rows = [(i, " ".join(f"w{i // 2}_{j}" for j in range(30)) + " more" * (i % 2)) for i in range(3_000)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i in range(3_000)}
+    assert spark.conf.get(key) == before
