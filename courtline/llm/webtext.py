@@ -13,6 +13,12 @@ and are on no more than half of its host's pages are those of an article whose c
 or dates, and are no boilerplate; on a host of under ``2 * PAGES`` pages the same holds for any page count.
 Names are counted by (host, name), so a host of any size is spread over all tasks.
 
+What an article holds goes through the same search, with a higher bar, as it is known to be content: names
+count if more than ``ARTICLES_SHARE`` of the host's distinct articles hold them, on hosts of ``2 * PAGES``
+articles and more, and an article most of whose words they cover is a copy and stays whole.  A name on
+more than that share of all is on more than that share of some stretch of articles, however they are dealt out: each task
+counts its own stretches and passes on only these names, and only they are counted over all articles.
+
 A class or id marks an element only as a whole value of known words, and never a heading.
 
 Decoded and joined: character references are decoded, white space in a block becomes one space, blocks
@@ -27,6 +33,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +47,10 @@ from courtline.llm.shared import exact, opaque, saved, ship, small_enough
 
 RUN = 10
 PAGES, PAGES_SHARE = 3, 0.1
+ARTICLES_SHARE = 0.5
+STRETCH = 2_000_000  # names that a task counts at a time
 BROADCAST_HOSTS = 500_000
+HOSTS_OF_NAMES = 2_000  # hosts whose repeated names are broadcast: some thousand names each at most
 
 _RAW = "script|style|noscript|template|iframe|textarea|svg|title|select|object|canvas|math"
 _TOKEN = re.compile(
@@ -174,7 +184,7 @@ def names(words: list[str], hashes: Words) -> np.ndarray:
     return out
 
 
-PARSED = "row string, page_id string, url string, host string, has_main boolean, print long, others string, texts array<string>, zones array<int>, links array<double>"
+PARSED = "row string, page_id string, url string, host string, has_main boolean, print long, article long, others string, texts array<string>, zones array<int>, links array<double>"
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -187,8 +197,9 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             # around an article the page shows what its host repeats
             others = " ".join(x[0] for x in found if x[1] != MAIN or not has_main)
             mark = xxhash.xxh3_64_intdigest("\n".join(x[0] for x in found).encode("utf-8", "surrogatepass")) >> 1
+            article = xxhash.xxh3_64_intdigest("\n".join(x[0] for x in kept).encode("utf-8", "surrogatepass")) >> 1
             host = host_of(url or "")
-            rows.append((f"{page_id}/{mark}/{host}", page_id, url, host, has_main, mark, others,
+            rows.append((f"{page_id}/{mark}/{host}", page_id, url, host, has_main, mark, article, others,
                          *([x[k] for x in kept] for k in range(3))))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in PARSED.split(", ")])
 
@@ -204,6 +215,71 @@ def _stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(parts) if parts else pd.DataFrame({"host": [], "name": [], "print": []})
 
 
+def _article_names(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, np.ndarray]]:
+    """Host and distinct names of each article."""
+    hashes = Words()
+    for b in batches:
+        for host, texts in zip(b["host"], b["texts"]):
+            yield host, np.unique(names(" ".join(texts).split(), hashes)).view(np.int64)
+
+
+def _often(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Host and name of what a larger share than ``ARTICLES_SHARE`` of a host's articles in a stretch of the task's hold."""
+    held, total = defaultdict(list), 0
+
+    def over() -> Iterator[pd.DataFrame]:
+        for host, found in held.items():
+            name, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pd.DataFrame({"host": host, "name": name[n > ARTICLES_SHARE * len(found)]})
+        held.clear()
+
+    for host, found in _article_names(batches):
+        held[host].append(found)
+        total += len(found)
+        if total > STRETCH:
+            yield from over()
+            total = 0
+    yield from over()
+
+
+def _article_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for host, found in _article_names(batches):
+        yield pd.DataFrame({"host": host, "name": found})
+
+
+def _runs(words: int, found: np.ndarray, repeated: np.ndarray) -> np.ndarray:
+    """Which of the words lie in a run with one of the names."""
+    covered = np.zeros(words, bool)
+    for k in np.flatnonzero(np.isin(found, repeated)):
+        covered[k:k + RUN] = True
+    return covered
+
+
+def _stays(own: np.ndarray) -> bool:
+    """Whether a block stays: under half of its words lie in repeated runs, or a run of its own is left."""
+    return 2 * own.sum() > len(own) or max(map(len, "".join("x" if o else " " for o in own).split()), default=0) >= RUN
+
+
+def _without_repeats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Articles of hosts with repeated names, without the blocks that these make up."""
+    hashes = Words()
+    for b in batches:
+        out = []
+        for texts, repeated in zip(b["texts"], b["repeated"]):
+            words = " ".join(texts).split()
+            covered = _runs(len(words), names(words, hashes).view(np.int64), np.asarray(repeated, np.int64))
+            kept, at = list(texts), 0
+            if covered.any() and 2 * covered.sum() <= len(words):  # else a copied article
+                kept = []
+                for text in texts:
+                    n = len(text.split())
+                    if _stays(~covered[at:at + n]):
+                        kept.append(text)
+                    at += n
+            out.append("\n".join(kept))
+        yield b[["page_id", "url"]].assign(text=out)
+
+
 def _unrepeated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = Words()
     for b in batches:
@@ -216,26 +292,45 @@ def _unrepeated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             covered, kept, at = np.zeros(len(words), bool), [], 0
             repeated, counts = (np.asarray(x if x is not None else [], np.int64) for x in (repeated, counts))
             for n in np.unique(counts):
-                some = np.zeros(len(words), bool)
-                for k in np.flatnonzero(np.isin(found, repeated[counts == n])):
-                    some[k:k + RUN] = True
+                some = _runs(len(words), found, repeated[counts == n])
                 if 2 * (some & loose).sum() <= loose.sum() or 2 * n > pages >= 2 * PAGES:
                     covered |= some  # else a copied article
             for text, zone, link, n in zip(texts, zones, links, lengths):
                 own = ~covered[at:at + n]
                 at += n
-                longest = max(map(len, "".join("x" if o else " " for o in own).split()), default=0)
-                if zone == LOOSE and (link < 0.5 or n >= RUN) and (2 * own.sum() > n or longest >= RUN):
+                if zone == LOOSE and (link < 0.5 or n >= RUN) and _stays(own):
                     kept.append(text)
             rows.append((row, "\n".join(kept)))
         yield pd.DataFrame(rows, columns=["row", "loose"])
 
 
+def _repeated_in_articles(articles: DataFrame) -> DataFrame:
+    """Host and ``repeated``, the names that more than ``ARTICLES_SHARE`` of its distinct articles hold."""
+    marks = articles.select("at", "host", "article")
+    first = saved(marks.groupBy("host", "article").agg(F.min("at").alias("first"), F.count("*").alias("n")), "articles")
+    sizes = saved(first.groupBy("host").agg(F.count("*").alias("articles")).filter(F.col("articles") >= 2 * PAGES), "host-articles")
+    several = first.filter("n > 1").select("host", "article", "first")
+    several = F.broadcast(several) if small_enough(several, BROADCAST_HOSTS) else several
+    again = saved(marks.join(several, ["host", "article"]).filter("at <> first").select("at"), "article-copies")
+    again = F.broadcast(again) if small_enough(again, BROADCAST_HOSTS) else again
+    sizes = F.broadcast(sizes) if small_enough(sizes, BROADCAST_HOSTS) else sizes
+    distinct = articles.join(again, "at", "left_anti").join(sizes, "host", "left_semi").select("host", "texts")
+    kind = "host string, name long"
+    often = saved(distinct.mapInPandas(_often, kind).distinct(), "often")
+    hosts = saved(often.select("host").distinct(), "often-hosts")
+    hosts = F.broadcast(hosts) if small_enough(hosts, BROADCAST_HOSTS) else hosts
+    often = F.broadcast(often) if small_enough(often, BROADCAST_HOSTS) else often
+    found = distinct.join(hosts, "host", "left_semi").mapInPandas(_article_stream, kind).join(often, ["host", "name"], "left_semi")
+    found = found.groupBy("host", "name").agg(F.count("*").alias("n")).join(sizes, "host").filter(F.col("n") > ARTICLES_SHARE * F.col("articles"))
+    return saved(found.groupBy("host").agg(F.collect_list("name").alias("repeated")), "repeated-in-articles")
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """Per row of ``pages``: page_id, url, text, n_chars (see the module's text)."""
     ship(pages.sparkSession)
     source = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-    parsed = saved(exact(opaque(source, "page_id").mapInPandas(_parse, PARSED), "page_id"), "page-blocks")
+    parsed = exact(opaque(source, "page_id").mapInPandas(_parse, PARSED), "page_id")
+    parsed = saved(parsed.withColumn("at", F.monotonically_increasing_id()), "page-blocks")
     loose = parsed.filter("not has_main")
     kind = "host string, name long, print long"
     suffixes = parsed.select("host", "print", "others").mapInPandas(_stream, kind)
@@ -250,6 +345,11 @@ def main_text(pages: DataFrame) -> DataFrame:
     judged = loose.dropDuplicates(["row"]).join(held, ["host", "print"], "left").select("row", "texts", "zones", "links", "repeated", "counts", "pages") \
         .mapInPandas(_unrepeated, "row string, loose string")
     loose_out = loose.select("row", "page_id", "url").join(judged, "row").select("page_id", "url", F.col("loose").alias("text"))
-    main_out = parsed.filter("has_main").select("page_id", "url", F.array_join("texts", "\n").alias("text"))
+    articles = parsed.filter("has_main")
+    repeated = _repeated_in_articles(articles)
+    repeated = F.broadcast(repeated) if small_enough(repeated, HOSTS_OF_NAMES) else repeated
+    whole = articles.join(repeated, "host", "left_anti").select("page_id", "url", F.array_join("texts", "\n").alias("text"))
+    judged = opaque(articles.join(repeated, "host").select("page_id", "url", "texts", "repeated"), "page_id")
+    main_out = whole.union(exact(judged.mapInPandas(_without_repeats, "page_id string, url string, text string"), "page_id"))
     out = main_out.union(loose_out)
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

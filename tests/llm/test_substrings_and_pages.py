@@ -212,3 +212,52 @@ def test_repeated_runs_of_hosts_against_the_runs_themselves(spark):
     assert Counter((r.page_id, r.text) for r in webtext.main_text(pages).collect()) == want
     whole = Counter((i, "\n".join(t for t, *_ in webtext.blocks(html or ""))) for i, _, html in rows)
     assert 20 < sum(want[x] for x in want if x not in whole) < len(rows)  # the rule acts, and not on all
+
+
+def brute_articles(rows):
+    """The rule of repeated runs inside articles, with the runs themselves."""
+    run = webtext.RUN
+    parsed = [(i, webtext.host_of(url or ""), [t for t, zone, _ in webtext.blocks(h) if zone == webtext.MAIN]) for i, url, h in rows]
+    low = lambda texts: [w.lower() for t in texts for w in t.split()]
+    runs = lambda w: [tuple(w[k:k + run]) for k in range(len(w) - run + 1)]
+    articles = defaultdict(set)
+    for _, host, texts in parsed:
+        articles[host].add(tuple(texts))
+    times = Counter((host, r) for host, found in articles.items() for texts in found for r in set(runs(low(texts))))
+    out = Counter()
+    for i, host, texts in parsed:
+        w, covered, n = low(texts), set(), len(articles[host])
+        for k, r in enumerate(runs(w)):
+            if n >= 2 * webtext.PAGES and times[host, r] > n * webtext.ARTICLES_SHARE:
+                covered.update(range(k, k + run))
+        kept, at = [], 0
+        for t in texts:
+            own = "".join(" " if j in covered else "x" for j in range(at, at + len(t.split())))
+            at += len(own)
+            if 2 * len(covered) > len(w) or 2 * own.count("x") > len(own) or max(map(len, own.split()), default=0) >= run:
+                kept.append(t)
+        out[i, "\n".join(kept)] += 1
+    return out
+
+
+def test_what_a_hosts_articles_repeat_goes(spark):
+    rng = random.Random(8)
+    some = lambda n: " ".join(rng.choice("lorem ipsum dolor sit amet elit sed do magna aliqua".split()) + str(rng.randrange(40)) for _ in range(n))
+    rows, foot = [], "Reporting by our staff in all parts of the country and editing by the desk"
+    for h, size in enumerate((4, 5, 6, 7, 12, 60)):
+        half, rare, copied = some(16), some(20), some(80)
+        for k in range(size):
+            parts = [copied] if k > size // 3 and h == 4 else [some(rng.randrange(20, 60)) for _ in range(rng.randrange(1, 4))]
+            parts += [half] * (k % 2) + [rare] * (k % 5 == 0)
+            rng.shuffle(parts)
+            parts += [f"{foot} {some(rng.randrange(3))}"] * (k != 2) + [some(40) + " " + foot] * (k == 3)
+            rows.append((len(rows), f"http://h{h}.org/{k}", f"<nav>{some(3)}</nav><article>" + "".join(f"<p>{p}</p>" for p in parts) + "</article>"))
+        rows += [(len(rows) + j, f"http://h{h}.org/again", rows[-1][2].replace("<nav>", "<nav>x ")) for j in range(size)]  # copies count once
+    rows += [(None, None, rows[5][2]), (rows[0][0], rows[0][1], rows[0][2]), (2 ** 60 + 1, rows[-1][1], rows[-1][2])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = brute_articles(rows)
+    whole = Counter((i, "\n".join(t for t, zone, _ in webtext.blocks(h) if zone == webtext.MAIN)) for i, _, h in rows)
+    assert 20 < sum(want[x] for x in want if x not in whole) < len(rows)
+    assert any(foot in t for _, t in want) and any(i is not None and foot not in t for i, t in want)
+    for parts in (1, 7):
+        assert Counter((r.page_id, r.text) for r in webtext.main_text(pages.repartition(parts)).collect()) == want
