@@ -15,9 +15,10 @@ Names are counted by (host, name), so a host of any size is spread over all task
 
 What an article holds goes through the same search, with a higher bar, as it is known to be content: names
 count if more than ``ARTICLES_SHARE`` of the host's distinct articles hold them, on hosts of ``2 * PAGES``
-articles and more, and an article most of whose words they cover is a copy and stays whole.  A name on
-more than that share of all is on more than that share of some stretch of articles, however they are dealt out: each task
-counts its own stretches and passes on only these names, and only they are counted over all articles.
+articles and more, and an article most of whose words they cover is a copy and stays whole.  Each task
+counts stretches of its own articles and passes on the names on more than half that share of a stretch; as any
+other stretch holds a name on no more than that, few names are left that may reach the share, and only these are counted
+over all articles of their hosts.
 
 A class or id marks an element only as a whole value of known words, and never a heading.
 
@@ -224,13 +225,14 @@ def _article_names(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, np.nd
 
 
 def _often(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Host and name of what a larger share than ``ARTICLES_SHARE`` of a host's articles in a stretch of the task's hold."""
+    """Host, name, its articles and all of a stretch of the task's articles, where it is on more than half of ``ARTICLES_SHARE``."""
     held, total = defaultdict(list), 0
 
     def over() -> Iterator[pd.DataFrame]:
         for host, found in held.items():
             name, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pd.DataFrame({"host": host, "name": name[n > ARTICLES_SHARE * len(found)]})
+            many = 2 * n > ARTICLES_SHARE * len(found)
+            yield pd.DataFrame({"host": host, "name": name[many], "n": n[many], "among": len(found)})
         held.clear()
 
     for host, found in _article_names(batches):
@@ -316,7 +318,9 @@ def _repeated_in_articles(articles: DataFrame) -> DataFrame:
     sizes = F.broadcast(sizes) if small_enough(sizes, BROADCAST_HOSTS) else sizes
     distinct = articles.join(again, "at", "left_anti").join(sizes, "host", "left_semi").select("host", "texts")
     kind = "host string, name long"
-    often = saved(distinct.mapInPandas(_often, kind).distinct(), "often")
+    often = distinct.mapInPandas(_often, f"{kind}, n long, among long").groupBy("host", "name").agg(F.sum("n").alias("n"), F.sum("among").alias("among"))
+    most = F.col("n") + ARTICLES_SHARE / 2 * (F.col("articles") - F.col("among"))
+    often = saved(often.join(sizes, "host").filter(most > ARTICLES_SHARE * F.col("articles")).select("host", "name"), "often")
     hosts = saved(often.select("host").distinct(), "often-hosts")
     hosts = F.broadcast(hosts) if small_enough(hosts, BROADCAST_HOSTS) else hosts
     often = F.broadcast(often) if small_enough(often, BROADCAST_HOSTS) else often
