@@ -1,6 +1,7 @@
 """What keeps the work in proportion to the input: what is shuffled, what is written and what is computed twice."""
 
 import os
+import re
 
 import __spark_entry__ as entry
 from courtline.operators import facts, measures
@@ -84,3 +85,34 @@ def test_pace_takes_every_game(spark):
     void = m["v_team"].join(m["excluded_games"], "game_id", "left_semi").select("game_id").distinct().count()
     assert void > 0 and games("whole_team_sums") > games("team_sums")
     assert "o_orderkey % 211" not in entry.oracle_sql()["pace"]
+
+
+def test_tables_by_year_are_written_once_where_they_are_kept(spark, tmp_root):
+    raw = catalog.raw_layer(spark, SF_SMALL)
+    write_model(spark, {n: raw[n] for n in raw}, tmp_root)
+    for name in ("team_rows", "player_boxscores", "team_boxscores_base", "team_boxscores_agg_team_only", "team_boxscores_agg"):
+        versions = os.listdir(f"{tmp_root}/model/{name}")
+        files = [f for y in os.listdir(f"{tmp_root}/model/{name}/{versions[0]}") if y.startswith("year=")
+                 for f in os.listdir(f"{tmp_root}/model/{name}/{versions[0]}/{y}") if f.endswith(".parquet")]
+        # the files are those of the buckets in which the next table was built, not copies of them
+        assert len(versions) == 1 and files and all(re.search(r"_\d{5}\.c\d+\.", f) for f in files), name
+
+
+def test_a_task_writes_one_season_after_another(spark, tmp_root, monkeypatch):
+    from courtline.plans.store import TableStore
+    plans, write = {}, TableStore._bucketed
+    monkeypatch.setattr(TableStore, "_bucketed", lambda self, w, name, *a: plans.update({name: _plan(w._df)}) or write(self, w, name, *a))
+    raw = catalog.raw_layer(spark, SF_SMALL)
+    write_model(spark, {n: raw[n] for n in raw}, tmp_root)
+    by_year = [n for n in plans if n.startswith(("team_", "player_"))]
+    assert len(by_year) == 5 and all("Sort [year#" in plans[n] for n in by_year)
+
+
+def test_totals_of_a_game_stay_longs(spark):
+    rows = spark.createDataFrame([(1, "0001", 9_999_999_999, None), (1, "0001", 9_999_999_999, None), (2, "0001", None, 3)],
+                                 "team_id long, game_id string, pts long, stl long")
+    rows = rows.select("team_id", "game_id", *[measures.F.col(c).cast("decimal(10,0)") for c in ("pts", "stl")])
+    out = facts.rollup_reconstruct(rows, stats=["pts", "stl"])
+    assert dict(out.dtypes)["pts"] == dict(out.dtypes)["stl"] == "decimal(18,0)"
+    assert "sum(pts" not in _plan(out) and "bigint" in _plan(out)
+    assert {tuple(r) for r in out.collect()} == {(1, "0001", 19_999_999_998, None), (2, "0001", None, 3)}
